@@ -24,3 +24,26 @@ FROM users u LEFT JOIN (
   SELECT user_id, CAST(count(DISTINCT o_id) AS BIGINT) AS n FROM ofact
   WHERE o_date BETWEEN {d(W6.begin)} AND {d(W6.end)} AND cate IN (30, 101) GROUP BY user_id) t
 ON u.user_id = t.user_id"""
+
+from shoprank.operators import features as FE  # noqa: E402
+
+from .feature_sql import feature_sql  # noqa: E402
+
+OW = C.ORDER_WINDOWS.features
+AW = C.ACTION_WINDOWS
+
+SQL["x2_order_features"] = feature_sql(
+    with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT), "ofact", "o_date",
+    FE.refactored_order_specs(OW), OW, {"o_total_price"})
+
+SQL["x2_baseline_order_features"] = feature_sql(
+    with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS), "eorders", "o_date",
+    FE.baseline_order_specs(OW), OW, {"total_price"})
+
+SQL["x3_action_features"] = feature_sql(
+    with_(USERS, SKUS, ACTIONS, ACTION_FACT), "afact", "a_date",
+    FE.refactored_action_specs(AW), AW, set())
+
+SQL["x3_baseline_action_features"] = feature_sql(
+    with_(USERS, SKUS, ACTIONS, ENRICHED_ACTIONS), "eactions", "a_date",
+    FE.baseline_action_specs(AW), AW, set())

@@ -42,3 +42,39 @@ def a1_target_orders_6m(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = retail.retail_from_testdata(spark, sf_dir)
     of = enrich.order_fact(b)
     return features.anchor(b.user.select("user_id"), features.target_order_count(of, WIDEST))
+
+
+def _users(b) -> DataFrame:
+    return b.user.select("user_id")
+
+
+@query("x2_order_features")
+def x2_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 refactored (A1-A25, A27, A28): order features of the 1/3/6-month windows."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    f = features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features)
+    return features.anchor(_users(b), f)
+
+
+@query("x2_baseline_order_features")
+def x2_baseline_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 baseline (A1-A26, A28) over the enriched order lines."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    f = features.baseline_order_features(enrich.enrich_orders(b), ORDER_WINDOWS.features)
+    return features.anchor(_users(b), f)
+
+
+@query("x3_action_features")
+def x3_action_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 refactored (A29-A31, A33): action features of three nested windows."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    f = features.refactored_action_features(enrich.action_fact(b), ACTION_WINDOWS)
+    return features.anchor(_users(b), f)
+
+
+@query("x3_baseline_action_features")
+def x3_baseline_action_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 baseline (A32-A35) over the enriched actions."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    f = features.baseline_action_features(enrich.enrich_actions(b), ACTION_WINDOWS)
+    return features.anchor(_users(b), f)
