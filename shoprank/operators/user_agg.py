@@ -22,10 +22,13 @@ Level 2 — ``groupBy(user)`` over the level-1 rows, again with partial
   measures, bit counts of the masks (distinct counts without Spark's
   per-expression ``Expand``), ``max_by`` for modes.
 
-Gap deviation needs the previous date of each date, so it runs on the date
-  rows of level 1 (at most one row per user and day of the widest window, a
-  bound set by the window length, not by the data volume) with one ``last``
-  window per user, then one aggregation. It shares the level-1 exchange.
+Gap deviation needs successive dates. Level 2 keeps, per user and
+  predicate, the sorted list of distinct dates with rows (``collect_list``
+  over the tag-0 rows: at most one entry per day of the window hull, a bound
+  set by the window length and not by the data volume), and sums squared
+  differences of neighbours with higher-order functions. Repeated dates are
+  zero gaps, so with n rows, first/last date and that sum the sample
+  deviation follows exactly. No second scan, no window shuffle.
 
 Guards (N15): a count, distinct count or sum is NULL when the user has no
 row in the window and predicate, as in the reference where such a user is
@@ -38,7 +41,6 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..plans.windows import Win
@@ -226,7 +228,6 @@ def user_window_agg(
         return in_win(win) & (F.col(f"r_{pidx[where]}") > 0)
 
     out: list[Column] = []
-    gap_specs: list[Agg] = []
     for s in specs:
         g = rows_w(s.where, s.win) > 0
         k = f"{pidx[s.where]}_{widx[s.win]}"
@@ -266,38 +267,22 @@ def user_window_agg(
             mx = need(f"DMX_{k}", F.max(F.when(present(s.where, s.win), kv)))
             n = rows_w(s.where, s.win)
             val = F.when(n > 1, F.floor((mx - mn) / (n - 1))).cast("long")
-        else:  # gap_std, second branch
-            gap_specs.append(s)
-            continue
+        else:  # gap_std
+            # Sorted distinct dates of the predicate: one entry per day of the
+            # window hull at most, so the list is bounded by the window length.
+            dl = need(f"DL_{pidx[s.where]}", F.array_sort(F.collect_list(F.when(is_date & (F.col(f"r_{pidx[s.where]}") > 0), kv))))
+            b, e = wb[s.win]
+            arr = F.filter(dl, lambda x: x.between(b, e))
+            nd = F.size(arr)
+            sq = F.zip_with(F.slice(arr, 2, nd - 1), F.slice(arr, 1, nd - 1), lambda x, y: (x - y) * (x - y))
+            ss = F.when(nd > 1, F.aggregate(sq, F.lit(0).cast("long"), lambda acc, x: acc + x)).otherwise(F.lit(0))
+            n = rows_w(s.where, s.win)
+            m = (n - 1).cast("double")
+            span = (F.element_at(arr, -1) - F.element_at(arr, 1)).cast("double")
+            var = (ss.cast("double") - span * span / m) / (m - 1)
+            val = F.when(nd > 2, F.sqrt(F.greatest(var, F.lit(0.0))))
         out.append(val.alias(s.name))
 
     main = level1.groupBy("_u").agg(*[e.alias(n) for n, e in l2.items()]).select("_u", *out)
 
-    if gap_specs:
-        gap_preds = sorted({s.where for s in gap_specs})
-        dates = level1.where(is_date).select("_u", "kv", *[f"r_{pidx[x]}" for x in gap_preds])
-        wdw = W.partitionBy("_u").orderBy("kv").rowsBetween(W.unboundedPreceding, -1)
-        for x in gap_preds:
-            r = F.col(f"r_{pidx[x]}")
-            dates = dates.withColumn(f"prev_{pidx[x]}", F.last(F.when(r > 0, kv), ignorenulls=True).over(wdw))
-        g2: dict[str, Column] = {}
-        gout = []
-        for s in gap_specs:
-            b, e = wb[s.win]
-            r = F.col(f"r_{pidx[s.where]}")
-            prev = F.col(f"prev_{pidx[s.where]}")
-            inw = kv.between(b, e) & (r > 0)
-            k = f"{pidx[s.where]}_{widx[s.win]}"
-            g2.setdefault(f"n_{k}", F.sum(F.when(inw, r)))
-            g2.setdefault(f"nd_{k}", F.count(F.when(inw, F.lit(1))))
-            g2.setdefault(f"mn_{k}", F.min(F.when(inw, kv)))
-            g2.setdefault(f"mx_{k}", F.max(F.when(inw, kv)))
-            g2.setdefault(f"ss_{k}", F.sum(F.when(inw & (prev >= b), (kv - prev) * (kv - prev))))
-            m = F.col(f"n_{k}") - 1
-            span = (F.col(f"mx_{k}") - F.col(f"mn_{k}")).cast("double")
-            var = (F.coalesce(F.col(f"ss_{k}"), F.lit(0)).cast("double") - span * span / m) / (m - 1)
-            gout.append(F.when(F.col(f"nd_{k}") > 2, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(s.name))
-        gaps = dates.groupBy("_u").agg(*[e.alias(n) for n, e in g2.items()]).select("_u", *gout)
-        main = main.join(gaps, "_u", "left")
-
     return main.select(F.col("_u").alias(key), *[F.col(s.name) for s in specs])
