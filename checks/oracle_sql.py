@@ -47,3 +47,26 @@ SQL["x3_action_features"] = feature_sql(
 SQL["x3_baseline_action_features"] = feature_sql(
     with_(USERS, SKUS, ACTIONS, ENRICHED_ACTIONS), "eactions", "a_date",
     FE.baseline_action_specs(AW), AW, set())
+
+
+def _pair_sql(strict: bool, by_cate: bool, name) -> str:
+    cte_pa = ("pa AS (SELECT a.user_id, a.sku_id, c.cate, a.a_date FROM pactions a "
+              "LEFT JOIN (SELECT DISTINCT sku_id, cate FROM skus) c ON a.sku_id = c.sku_id)")
+    cte_po = ("po AS (SELECT o.user_id, o.sku_id, coalesce(c.cate, -1) AS cate, o.o_date FROM porders o "
+              "LEFT JOIN (SELECT DISTINCT sku_id, cate FROM skus) c ON o.sku_id = c.sku_id)")
+    on = "pa.user_id = po.user_id AND pa.sku_id = po.sku_id" + (" AND pa.cate = po.cate" if by_cate else "")
+    cmp = ">" if strict else ">="
+    cte_pairs = (f"pr AS (SELECT pa.user_id, pa.a_date, po.o_date, date_diff('day', pa.a_date, po.o_date) AS g "
+                 f"FROM pa JOIN po ON {on} WHERE po.o_date {cmp} pa.a_date)")
+    sel, joins = ["u.user_id"], []
+    for i, w in enumerate(OW):
+        cond = f"a_date BETWEEN {d(w.begin)} AND {d(w.end)} AND o_date BETWEEN {d(w.begin)} AND {d(w.end)}"
+        joins.append(f"LEFT JOIN (SELECT user_id, CAST(avg(g) AS DOUBLE) AS v FROM pr WHERE {cond} "
+                     f"GROUP BY user_id) w{i} ON u.user_id = w{i}.user_id")
+        sel.append(f"w{i}.v AS \"{name(w.label)}\"")
+    return (with_(USERS, SKUS, PAIR_ACTIONS, PAIR_ORDERS, cte_pa, cte_po, cte_pairs)
+            + "SELECT " + ", ".join(sel) + " FROM users u " + " ".join(joins))
+
+
+SQL["x4_action_order_features"] = _pair_sql(False, True, lambda k: f"{k}mo_action_order_all_date_gap")
+SQL["x4_baseline_action_order_gap"] = _pair_sql(True, False, lambda k: f"GM{k}_action2order_diff")

@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import enrich, features
+from ..operators import enrich, features, pairs
 from ..plans.windows import Win, feature_windows
 from ..sources import retail
 
@@ -78,3 +78,23 @@ def x3_baseline_action_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = retail.retail_from_testdata(spark, sf_dir)
     f = features.baseline_action_features(enrich.enrich_actions(b), ACTION_WINDOWS)
     return features.anchor(_users(b), f)
+
+
+@query("x4_action_order_features")
+def x4_action_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 + A36 refactored: mean days from action to a same-or-later order, per window."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    pa, po = retail.pair_sources_from_testdata(spark, sf_dir)
+    cat = enrich.sku_category(b.sku)
+    f = pairs.refactored_action_order_features(pa.join(cat, "sku_id", "left"), po.join(cat, "sku_id", "left"),
+                                               ORDER_WINDOWS.features)
+    return features.anchor(_users(b), f)
+
+
+@query("x4_baseline_action_order_gap")
+def x4_baseline_action_order_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 + A36 baseline: mean days from action to a strictly later order, per window."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    pa, po = retail.pair_sources_from_testdata(spark, sf_dir)
+    f = pairs.baseline_action_order_features(pa, po, ORDER_WINDOWS.features)
+    return features.anchor(_users(b), f)
