@@ -70,3 +70,164 @@ def _pair_sql(strict: bool, by_cate: bool, name) -> str:
 
 SQL["x4_action_order_features"] = _pair_sql(False, True, lambda k: f"{k}mo_action_order_all_date_gap")
 SQL["x4_baseline_action_order_gap"] = _pair_sql(True, False, lambda k: f"GM{k}_action2order_diff")
+
+LB, LE = C.LABEL.label_begin, C.LABEL.label_end
+_IN_LABEL = f"o_date BETWEEN {d(LB)} AND {d(LE)}"
+
+SQL["x6_labels"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT) + f"""
+, lab AS (SELECT user_id, count(DISTINCT o_id) AS n, min(date_diff('day', {d(LB)}, o_date)) AS pd
+          FROM ofact WHERE {_IN_LABEL} AND cate IN (30, 101) GROUP BY user_id)
+SELECT u.user_id, CAST(coalesce(lab.n, 0) AS BIGINT) AS order_num, CAST(coalesce(lab.pd, 0) AS BIGINT) AS pred_date,
+       lab.n IS NOT NULL AS has_order
+FROM users u LEFT JOIN lab ON u.user_id = lab.user_id"""
+
+SQL["x6_baseline_labels"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS) + f"""
+, lab AS (SELECT user_id, count(DISTINCT o_id) AS n, min(date_diff('day', {d(LB)}, o_date)) AS pd
+          FROM eorders WHERE {_IN_LABEL} AND cate IN (30, 101) GROUP BY user_id)
+SELECT u.user_id, u.age, u.sex, u.user_lv_cd, CAST(coalesce(lab.n, 0) AS BIGINT) AS Label_30_101_BuyNum,
+       CAST(coalesce(lab.pd, 0) AS BIGINT) AS Label_30_101_FirstTime
+FROM users u LEFT JOIN lab ON u.user_id = lab.user_id"""
+
+SQL["a42_inference_labels"] = with_(USERS) + """
+SELECT user_id, age, sex, user_lv_cd, CAST(-1 AS BIGINT) AS Label_30_101_BuyNum, CAST(-1 AS BIGINT) AS Label_30_101_FirstTime
+FROM users"""
+
+SQL["a43_ground_truth"] = with_(ORDERS) + f"""
+SELECT user_id, min(o_date) AS order_date FROM orders_r WHERE {_IN_LABEL} GROUP BY user_id"""
+
+
+def _label_month(b, e):
+    return (f"SELECT user_id, CAST(count(DISTINCT o_id) AS BIGINT) AS order_num, "
+            f"CAST(min(date_diff('day', {d(b)}, o_date)) AS BIGINT) AS pred_date, {d(b)} AS cutoff "
+            f"FROM ofact WHERE o_date BETWEEN {d(b)} AND {d(e)} AND cate IN (30, 101) GROUP BY user_id")
+
+
+from datetime import date as _date  # noqa: E402
+
+SQL["u1_stacked_periods"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT) + "\nUNION ALL\n".join([
+    _label_month(_date(2000, 12, 1), _date(2000, 12, 31)),
+    _label_month(_date(2001, 1, 1), _date(2001, 1, 31)),
+    _label_month(_date(2001, 2, 1), _date(2001, 2, 28)),
+])
+
+SQL["f10_sku_bands"] = with_(SKUS) + """
+, e AS (SELECT quantile_cont(CAST(price AS DOUBLE), [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS pe,
+               quantile_cont(CAST(para_1 AS DOUBLE), [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS p1 FROM skus)
+SELECT s.sku_id,
+  CASE WHEN s.price IS NULL THEN NULL WHEN s.price <= e.pe[2] THEN 0 WHEN s.price <= e.pe[3] THEN 1
+       WHEN s.price <= e.pe[4] THEN 2 WHEN s.price <= e.pe[5] THEN 3 ELSE 4 END AS price,
+  CASE WHEN s.cate = 30 THEN 1 WHEN s.cate = 101 THEN 2 ELSE 0 END AS cate,
+  CASE WHEN s.para_1 IS NULL THEN NULL WHEN s.para_1 <= e.p1[2] THEN 0 WHEN s.para_1 <= e.p1[3] THEN 1
+       WHEN s.para_1 <= e.p1[4] THEN 2 WHEN s.para_1 <= e.p1[5] THEN 3 ELSE 4 END AS para_1,
+  s.para_2, s.para_3
+FROM skus s, e"""
+
+# The prototype's order table by plain pair expansion (m order lines x n scored lines per user, sku, day).
+PROTO_ORDERS = """pj AS (
+  SELECT od.user_id, od.sku_id, od.o_date, coalesce(sd.score_level, -1) AS score_level
+  FROM orders_r od LEFT JOIN (
+    SELECT o.user_id, o.sku_id, o.o_date, c.score_level FROM orders_r o
+    JOIN comments c ON o.o_id = c.o_id AND o.user_id = c.user_id WHERE c.score_level IS NOT NULL) sd
+  ON od.user_id = sd.user_id AND od.sku_id = sd.sku_id AND od.o_date = sd.o_date)"""
+
+SQL["j6_prototype_order_scores"] = with_(ORDERS, COMMENTS, PROTO_ORDERS) + """
+SELECT user_id, sku_id, o_date, CAST(score_level AS INTEGER) AS score_level, CAST(count(*) AS BIGINT) AS weight
+FROM pj GROUP BY user_id, sku_id, o_date, score_level"""
+
+PSKU = "psku AS (SELECT sku_id, CASE WHEN cate = 30 THEN 1 WHEN cate = 101 THEN 2 ELSE 0 END AS cc FROM skus)"
+PG = {"30": "cc = 1", "101": "cc = 2", "tg": "cc <> 0", "ntg": "cc = 0"}
+FB, FE_ = C.PROTO_FEATURE
+
+
+def _proto_feature_ctes():
+    av = ", ".join(f"sum(CASE WHEN {PG[g]} AND a_type = 1 THEN a_num END) AS view_num_{g}, "
+                   f"sum(CASE WHEN {PG[g]} AND a_type = 2 THEN a_num END) AS star_num_{g}" for g in C.PROTO_GROUPS)
+    ov = ", ".join(f"count(CASE WHEN {PG[g]} THEN 1 END) AS order_num_{g}, "
+                   f"count(CASE WHEN {PG[g]} AND score_level = 1 THEN 1 END) AS good_score_num_{g}, "
+                   f"count(CASE WHEN {PG[g]} AND score_level = 3 THEN 1 END) AS bad_score_num_{g}"
+                   for g in C.PROTO_GROUPS)
+    anyg = " OR ".join(f"({PG[g]})" for g in C.PROTO_GROUPS)
+    af = (f"af AS (SELECT a.user_id, {av} FROM actions a JOIN psku p ON a.sku_id = p.sku_id "
+          f"WHERE a.a_date BETWEEN {d(FB)} AND {d(FE_)} AND a.a_type IN (1, 2) AND ({anyg}) GROUP BY a.user_id)")
+    of = (f"ofe AS (SELECT o.user_id, {ov} FROM pj o JOIN psku p ON o.sku_id = p.sku_id "
+          f"WHERE o.o_date BETWEEN {d(FB)} AND {d(FE_)} AND ({anyg}) GROUP BY o.user_id)")
+    return af, of
+
+
+_AF, _OF = _proto_feature_ctes()
+_PF_COLS = ([f"{k}_num_{g}" for g in C.PROTO_GROUPS for k in ("view", "star")]
+            + [f"{k}_{g}" for g in C.PROTO_GROUPS for k in ("order_num", "good_score_num", "bad_score_num")])
+
+SQL["x7_prototype_features"] = with_(USERS, SKUS, ORDERS, COMMENTS, ACTIONS, PROTO_ORDERS, PSKU, _AF, _OF) + \
+    "SELECT coalesce(af.user_id, ofe.user_id) AS user_id, " + \
+    ", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in _PF_COLS) + \
+    " FROM af FULL OUTER JOIN ofe ON af.user_id = ofe.user_id"
+
+_lab_cols = ", ".join(
+    f"min(CASE WHEN {PG[g]} THEN date_diff('day', {d(LB)}, o.o_date) END) AS pred_date_{g}, "
+    f"nullif(count(CASE WHEN {PG[g]} THEN 1 END), 0) AS order_num_{g}" for g in C.PROTO_GROUPS)
+_anyg = " OR ".join(f"({PG[g]})" for g in C.PROTO_GROUPS)
+PLAB = (f"plab AS (SELECT o.user_id, {_lab_cols} FROM pj o JOIN psku p ON o.sku_id = p.sku_id "
+        f"WHERE o.o_date BETWEEN {d(LB)} AND {d(LE)} AND ({_anyg}) GROUP BY o.user_id)")
+FUSERS = "fu AS (SELECT user_id FROM af UNION SELECT user_id FROM ofe)"
+_PL_COLS = [f"{k}_{g}" for g in C.PROTO_GROUPS for k in ("pred_date", "order_num")]
+PROTO_LABELS = ("plabels AS (SELECT fu.user_id, " + ", ".join(f"CAST(coalesce(plab.{c}, -1) AS BIGINT) AS {c}" for c in _PL_COLS)
+                + " FROM fu LEFT JOIN plab ON fu.user_id = plab.user_id)")
+_PROTO_BASE = (USERS, SKUS, ORDERS, COMMENTS, ACTIONS, PROTO_ORDERS, PSKU, _AF, _OF, PLAB, FUSERS, PROTO_LABELS)
+
+SQL["x7_prototype_labels"] = with_(*_PROTO_BASE) + "SELECT * FROM plabels"
+SQL["u2_align_users"] = SQL["x7_prototype_labels"]
+
+_MID = "DATE '2001-02-14'"
+_valid = {g: f"(pred_date_{g} >= 0.5 AND order_num_{g} >= 0.5)" for g in C.PROTO_GROUPS}
+_day = "least(" + ", ".join(f"CASE WHEN {_valid[g]} THEN pred_date_{g} END" for g in C.PROTO_GROUPS) + ")"
+_num = " + ".join(f"coalesce(CASE WHEN {_valid[g]} THEN order_num_{g} END, 0)" for g in C.PROTO_GROUPS)
+SQL["x9_submission_prototype"] = with_(*_PROTO_BASE) + f"""
+, m AS (SELECT user_id, {_day} AS dd, {_num} AS sc FROM plabels)
+, r AS (SELECT user_id, dd, row_number() OVER (ORDER BY sc DESC, user_id) AS rank FROM m WHERE dd IS NOT NULL)
+SELECT user_id, least(CAST({d(LB)} + CAST(floor(dd) AS INTEGER) AS DATE), {_MID}) AS pred_date, rank
+FROM r WHERE rank <= {C.TOP_N}"""
+
+_PRED = (f"pred AS (SELECT user_id, count(DISTINCT o_id) AS n, min(o_day) AS pd FROM ofact "
+         f"WHERE o_date BETWEEN {d(W6.begin)} AND {d(W6.end)} AND cate IN (30, 101) GROUP BY user_id)")
+_RANKED = "ranked AS (SELECT user_id, n, pd, row_number() OVER (ORDER BY n DESC, user_id) AS rank FROM pred)"
+
+SQL["k1_top_users"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT, _PRED, _RANKED) + f"""
+SELECT user_id, CAST(n AS BIGINT) AS order_num, rank FROM ranked WHERE rank <= {C.TOP_N}"""
+
+_SUB_REF = (f"sub AS (SELECT user_id, CAST({d(LB)} + CAST(floor(pd) AS INTEGER) AS DATE) AS pred_date, rank "
+            f"FROM ranked WHERE rank <= {C.TOP_N})")
+SQL["x9_submission_refactored"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT, _PRED, _RANKED, _SUB_REF) + \
+    "SELECT * FROM sub"
+
+_TRUTH = f"truth AS (SELECT user_id, min(o_date) AS order_date FROM orders_r WHERE {_IN_LABEL} GROUP BY user_id)"
+SQL["x10_score"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT, _PRED, _RANKED, _SUB_REF, _TRUTH) + """
+, s1 AS (SELECT sum(CASE WHEN t.user_id IS NOT NULL THEN 1.0 / (1 + ln(s.rank)) ELSE 0 END) / sum(1.0 / (1 + ln(s.rank))) AS v
+         FROM sub s LEFT JOIN truth t ON s.user_id = t.user_id)
+, s2 AS (SELECT coalesce(sum(10.0 / (10 + power(date_diff('day', t.order_date, s.pred_date), 2))), 0)
+                / (SELECT count(*) FROM truth) AS v FROM truth t JOIN sub s ON s.user_id = t.user_id)
+SELECT CAST(s1.v AS DOUBLE) AS s1, CAST(s2.v AS DOUBLE) AS s2, CAST(0.4 * s1.v + 0.6 * s2.v AS DOUBLE) AS s FROM s1, s2"""
+
+
+def _gapvar(k_label, w):
+    lag = (f"SELECT user_id, o_date, date_diff('day', lag(o_date) OVER (PARTITION BY user_id ORDER BY o_date), o_date) AS g "
+           f"FROM eorders WHERE o_date BETWEEN {d(w.begin)} AND {d(w.end)} AND cate IN (30, 101)")
+    return (f"g{k_label} AS (SELECT user_id, CASE WHEN count(DISTINCT o_date) > 2 THEN stddev_samp(g) END AS v "
+            f"FROM ({lag}) GROUP BY user_id)")
+
+
+_GV = [_gapvar(w.label, w) for w in OW]
+_W = ("coalesce(exp(-g1.v / 4.9), 0) / 2 + coalesce(exp(-g3.v / 12.5), 0) / 3 + coalesce(exp(-g6.v / 21.2), 0) / 6")
+_GJ = " ".join(f"LEFT JOIN g{k} ON u.user_id = g{k}.user_id" for k in ("1", "3", "6"))
+SQL["x8_regularity_weight"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS, *_GV) + f"""
+SELECT u.user_id, CAST({_W} AS DOUBLE) AS weight FROM users u {_GJ}"""
+
+_BP = (f"bp AS (SELECT user_id, CASE WHEN count(CASE WHEN cate IN (30, 101) THEN 1 END) > 0 "
+       f"THEN count(DISTINCT CASE WHEN cate IN (30, 101) THEN o_id END) END AS cnt6, "
+       f"min(CASE WHEN cate IN (30, 101) THEN day END) AS first6 FROM eorders "
+       f"WHERE o_date BETWEEN {d(W6.begin)} AND {d(W6.end)} GROUP BY user_id)")
+SQL["x9_submission_baseline"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS, *_GV, _BP) + f"""
+, sc AS (SELECT u.user_id, u.cnt6 * ({_W}) AS score, u.first6 FROM bp u {_GJ})
+, r AS (SELECT user_id, first6, row_number() OVER (ORDER BY score DESC NULLS LAST, user_id) AS rank FROM sc)
+SELECT user_id, least(CAST({d(LB)} + CAST(trunc(first6 + 0.49 - 1) AS INTEGER) AS DATE), DATE '2001-02-14') AS pred_date, rank
+FROM r WHERE rank <= {C.TOP_N}"""

@@ -12,7 +12,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import enrich, features, pairs
+from pyspark.sql import functions as F
+
+from ..operators import enrich, features, labels, pairs, prototype, ranking, scoring
+from ..operators.user_agg import Agg
 from ..plans.windows import Win, feature_windows
 from ..sources import retail
 
@@ -98,3 +101,161 @@ def x4_baseline_action_order_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa, po = retail.pair_sources_from_testdata(spark, sf_dir)
     f = pairs.baseline_action_order_features(pa, po, ORDER_WINDOWS.features)
     return features.anchor(_users(b), f)
+
+
+LABEL = ORDER_WINDOWS  # label window: 2001-02-01 .. 2001-02-28
+PROTO_FEATURE = (date(2000, 8, 1), date(2001, 1, 31))
+PROTO_GROUPS = ("30", "101", "tg", "ntg")
+TOP_N = 300  # list size for the registered submission queries (the 50,000 default never bites here)
+BASELINE_CAP = date(2001, 2, 14)
+
+
+@query("x6_labels")
+def x6_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 refactored: order_num (A40), pred_date (A41), has_order (D10), 0-filled, per user."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return labels.build_labels(b.user, enrich.order_fact(b), LABEL.label_begin, LABEL.label_end)
+
+
+@query("x6_baseline_labels")
+def x6_baseline_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 baseline: user attributes + Label_30_101_BuyNum / Label_30_101_FirstTime."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return labels.build_baseline_labels(b.user, enrich.enrich_orders(b), LABEL.label_begin, LABEL.label_end)
+
+
+@query("a42_inference_labels")
+def a42_inference_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction-period frame with both labels set to -1."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return labels.inference_labels(b.user)
+
+
+@query("a43_ground_truth")
+def a43_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First order date per user in the label month, all categories."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return labels.ground_truth(b.order, LABEL.label_begin, LABEL.label_end)
+
+
+@query("u1_stacked_periods")
+def u1_stacked_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of three consecutive label months stacked with a cutoff column."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    of = enrich.order_fact(b)
+    frames = []
+    for m in (12, 1, 2):
+        w = feature_windows(date(2000 if m == 12 else 2001, m, 1))
+        frames.append((w.label_begin, labels.label_aggregates(of, w.label_begin, w.label_end)))
+    return labels.stack_periods(frames)
+
+
+@query("f10_sku_bands")
+def f10_sku_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 + F10: prototype sku table (recoded category, price and para_1 quintile bands)."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return enrich.prototype_skus(b.sku)
+
+
+@query("j6_prototype_order_scores")
+def j6_prototype_order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 + F7 + F13: order rows with re-attached scores as (key, score, weight)."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return enrich.prototype_order_scores(b.order, b.comment)
+
+
+def _proto(spark, sf_dir):
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return b, enrich.prototype_skus(b.sku), enrich.prototype_order_scores(b.order, b.comment)
+
+
+@query("x7_prototype_features")
+def x7_prototype_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View, star, order, good and bad totals per group."""
+    b, sku, osc = _proto(spark, sf_dir)
+    return prototype.prototype_features(b.action, osc, sku, *PROTO_FEATURE, PROTO_GROUPS)
+
+
+@query("x7_prototype_labels")
+def x7_prototype_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-order day and order rows per group, on the feature users."""
+    b, sku, osc = _proto(spark, sf_dir)
+    feats = prototype.prototype_features(b.action, osc, sku, *PROTO_FEATURE, PROTO_GROUPS)
+    return prototype.prototype_labels(osc, sku, LABEL.label_begin, LABEL.label_end, feats, PROTO_GROUPS)
+
+
+@query("u2_align_users")
+def u2_align_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10 + J11 + U2 in explicit form: semi join, anti join, append with -1."""
+    b, sku, osc = _proto(spark, sf_dir)
+    feats = prototype.prototype_features(b.action, osc, sku, *PROTO_FEATURE, PROTO_GROUPS)
+    lab = prototype.prototype_label_aggregates(osc, sku, LABEL.label_begin, LABEL.label_end, PROTO_GROUPS)
+    return prototype.align_to_users(lab, feats)
+
+
+def _order_count_prediction(b) -> DataFrame:
+    """A stand-in prediction: last-6-month target orders and first order day."""
+    specs = [Agg("order_num", "nunique", "o_id", "30_101", "6"), Agg("pred_date", "min", "o_day", "30_101", "6")]
+    f = features.user_window_agg(enrich.order_fact(b), specs, (WIDEST,), features._group_preds(), "o_date")
+    return f.where(F.col("order_num").isNotNull())
+
+
+@query("k1_top_users")
+def k1_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + W3: top users by last-6-month target orders, ranked (ties by user_id)."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return ranking.top_ranked(_order_count_prediction(b), "order_num", TOP_N).select("user_id", "order_num", "rank")
+
+
+@query("x9_submission_refactored")
+def x9_submission_refactored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X9 refactored: ranked list dated begin + predicted day offset."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return ranking.submission_refactored(_order_count_prediction(b), LABEL.label_begin, TOP_N)
+
+
+def _baseline_prediction(b) -> DataFrame:
+    specs = [Agg(f"OM{w.label}_o_date_cate_30_101_gap_var", "gap_std", "o_date", "30_101", w.label)
+             for w in ORDER_WINDOWS.features]
+    specs += [Agg("cnt6", "nunique", "o_id", "30_101", "6"), Agg("first6", "min", "day", "30_101", "6")]
+    f = features.user_window_agg(enrich.enrich_orders(b), specs, ORDER_WINDOWS.features,
+                                 features._group_preds(), "o_date")
+    return f.select("user_id", (F.col("cnt6") * ranking.regularity_weight(f)).alias("Label_30_101_BuyNum"),
+                    F.col("first6").alias("Label_30_101_FirstTime"))
+
+
+@query("x8_regularity_weight")
+def x8_regularity_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X8 + C6 + C8: regularity weight from the 1/3/6-month gap deviations, per user."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    specs = [Agg(f"OM{w.label}_o_date_cate_30_101_gap_var", "gap_std", "o_date", "30_101", w.label)
+             for w in ORDER_WINDOWS.features]
+    f = features.user_window_agg(enrich.enrich_orders(b), specs, ORDER_WINDOWS.features,
+                                 features._group_preds(), "o_date")
+    f = features.anchor(_users(b), f)
+    return f.select("user_id", ranking.regularity_weight(f).alias("weight"))
+
+
+@query("x9_submission_baseline")
+def x9_submission_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X9 baseline: weighted count ranking, truncated day offset, date cap."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return ranking.submission_baseline(_baseline_prediction(b), LABEL.label_begin, BASELINE_CAP, TOP_N)
+
+
+@query("x9_submission_prototype")
+def x9_submission_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X9 prototype: F14 invalidation, N14 merge over groups, mid-month cap."""
+    b, sku, osc = _proto(spark, sf_dir)
+    feats = prototype.prototype_features(b.action, osc, sku, *PROTO_FEATURE, PROTO_GROUPS)
+    lab = prototype.prototype_labels(osc, sku, LABEL.label_begin, LABEL.label_end, feats, PROTO_GROUPS)
+    return ranking.submission_prototype(lab, LABEL.label_begin, LABEL.label_end, TOP_N)
+
+
+@query("x10_score")
+def x10_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1, S2, S of the refactored submission against the label-month truth."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    truth = labels.ground_truth(b.order, LABEL.label_begin, LABEL.label_end)
+    pred = ranking.submission_refactored(_order_count_prediction(b), LABEL.label_begin, TOP_N)
+    return scoring.score(truth, pred)
