@@ -231,3 +231,64 @@ SQL["x9_submission_baseline"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_OR
 , r AS (SELECT user_id, first6, row_number() OVER (ORDER BY score DESC NULLS LAST, user_id) AS rank FROM sc)
 SELECT user_id, least(CAST({d(LB)} + CAST(trunc(first6 + 0.49 - 1) AS INTEGER) AS DATE), DATE '2001-02-14') AS pred_date, rank
 FROM r WHERE rank <= {C.TOP_N}"""
+
+EDGES = """e AS (SELECT o.o_custkey AS src, l.l_partkey AS dst FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+DEG = """deg AS (SELECT id, sum(o) AS out_deg, sum(i) AS in_deg FROM (
+  SELECT src AS id, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst AS id, 0 AS o, 1 AS i FROM e) GROUP BY id)"""
+
+
+def _pagerank_sql(iters: int) -> str:
+    ctes = [EDGES,
+            "links AS (SELECT src, dst, count(*) AS cnt FROM e WHERE src <> dst GROUP BY src, dst)",
+            "od AS (SELECT src, sum(cnt) AS deg FROM links GROUP BY src)",
+            "nodes AS (SELECT n.id, od.deg FROM (SELECT src AS id FROM e UNION SELECT dst FROM e) n "
+            "LEFT JOIN od ON n.id = od.src)",
+            "nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes)",
+            "r0 AS MATERIALIZED (SELECT id, deg, 1.0 / (SELECT n FROM nn) AS rank FROM nodes)"]
+    for i in range(1, iters + 1):
+        prev = f"r{i - 1}"
+        ctes.append(
+            f"r{i} AS MATERIALIZED (SELECT r.id, r.deg, 0.85 * (coalesce(c.s, 0) + "
+            f"(SELECT coalesce(sum(rank), 0) FROM {prev} WHERE deg IS NULL) / (SELECT n FROM nn)) "
+            f"+ 0.15 / (SELECT n FROM nn) AS rank FROM {prev} r LEFT JOIN ("
+            f"SELECT l.dst, sum(p.rank / p.deg * l.cnt) AS s FROM links l JOIN {prev} p ON l.src = p.id "
+            f"GROUP BY l.dst) c ON r.id = c.dst)")
+    return with_(*ctes) + f"SELECT id, round(rank, 10) AS rank FROM r{iters}"
+
+
+SQL["x14_pagerank"] = _pagerank_sql(C.PR_FIXED_ITER)
+SQL["k2_top100_ranks"] = ("SELECT id, rank, row_number() OVER (ORDER BY rank DESC, id) AS pos FROM ("
+                          + SQL["x14_pagerank"] + ") ORDER BY rank DESC, id LIMIT 100")
+SQL["x15_rank_of"] = f"SELECT id, rank FROM ({SQL['x14_pagerank']}) WHERE id = {C.RANK_NODE}"
+
+SQL["a44_graph_counts"] = with_(EDGES) + """
+SELECT CAST(count(*) AS BIGINT) AS n_edges,
+       CAST((SELECT count(DISTINCT src) FROM e) AS BIGINT) AS n_sources,
+       CAST((SELECT count(DISTINCT dst) FROM e) AS BIGINT) AS n_targets,
+       CAST((SELECT count(*) FROM (SELECT src FROM e UNION SELECT dst FROM e)) AS BIGINT) AS n_nodes,
+       CAST((SELECT count(*) FROM (SELECT src FROM e UNION SELECT dst FROM e EXCEPT SELECT src FROM e)) AS BIGINT) AS n_dead_ends,
+       CAST((SELECT count(*) FROM (SELECT src FROM e UNION SELECT dst FROM e EXCEPT SELECT dst FROM e)) AS BIGINT) AS n_dead_starts
+FROM e"""
+
+SQL["a45_degrees"] = with_(EDGES) + """
+SELECT n.id, CAST(coalesce(o.c, 0) AS BIGINT) AS out_deg, CAST(coalesce(i.c, 0) AS BIGINT) AS in_deg
+FROM (SELECT src AS id FROM e UNION SELECT dst FROM e) n
+LEFT JOIN (SELECT src, count(*) AS c FROM e GROUP BY src) o ON n.id = o.src
+LEFT JOIN (SELECT dst, count(*) AS c FROM e GROUP BY dst) i ON n.id = i.dst"""
+
+_DESC = """SELECT '{k}' AS kind, CAST(count(*) AS BIGINT) AS count, avg(c) AS mean, stddev_samp(c) AS std,
+  CAST(min(c) AS BIGINT) AS min, quantile_cont(c, 0.25) AS p25, quantile_cont(c, 0.5) AS p50,
+  quantile_cont(c, 0.75) AS p75, CAST(max(c) AS BIGINT) AS max
+FROM (SELECT {col}, CAST(count(*) AS DOUBLE) AS c FROM e GROUP BY {col})"""
+SQL["a46_degree_summary"] = with_(EDGES) + _DESC.format(k="out", col="src") + "\nUNION ALL\n" + _DESC.format(k="in", col="dst")
+
+SQL["a47_degree_histogram"] = with_(EDGES) + """
+SELECT 'out' AS kind, CAST(c AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT src, count(*) AS c FROM e GROUP BY src) WHERE c < 40 GROUP BY c
+UNION ALL
+SELECT 'in' AS kind, CAST(c AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT dst, count(*) AS c FROM e GROUP BY dst) WHERE c < 200 GROUP BY c"""
+
+SQL["u3_all_nodes"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e"
+SQL["u4_dead_ends"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e EXCEPT SELECT src FROM e"
+SQL["u5_dead_starts"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e EXCEPT SELECT dst FROM e"

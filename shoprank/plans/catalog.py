@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..operators import enrich, features, labels, pairs, prototype, ranking, scoring
+from ..operators import enrich, features, graph, labels, pairs, prototype, ranking, scoring
 from ..operators.user_agg import Agg
 from ..plans.windows import Win, feature_windows
+from ..sources import edges as edges_src
 from ..sources import retail
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -259,3 +260,80 @@ def x10_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = labels.ground_truth(b.order, LABEL.label_begin, LABEL.label_end)
     pred = ranking.submission_refactored(_order_count_prediction(b), LABEL.label_begin, TOP_N)
     return scoring.score(truth, pred)
+
+
+PR_FIXED_ITER = 10  # fixed iteration count of the SQL-checked PageRank query
+RANK_NODE = 15
+
+
+def _edges(spark, sf_dir):
+    return edges_src.edges_from_testdata(spark, sf_dir)
+
+
+@query("x14_pagerank")
+def x14_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PageRank of the customer -> part graph, 10 Jacobi updates (ranks rounded to 10 places)."""
+    r = graph.pagerank(_edges(spark, sf_dir), rtol=None, max_iter=PR_FIXED_ITER)
+    return r.select("id", F.round("rank", 10).alias("rank"))
+
+
+@query("x14_pagerank_converged")
+def x14_pagerank_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X14 with the reference stopping rule (rtol 1e-5, atol 1e-8)."""
+    return graph.pagerank(_edges(spark, sf_dir))
+
+
+@query("k2_top100_ranks")
+def k2_top100_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + S7 content: the 100 highest ranks with their position."""
+    r = graph.pagerank(_edges(spark, sf_dir), rtol=None, max_iter=PR_FIXED_ITER)
+    return graph.top_ranks(r.select("id", F.round("rank", 10).alias("rank")), 100)
+
+
+@query("x15_rank_of")
+def x15_rank_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank lookup of one node by id."""
+    r = graph.pagerank(_edges(spark, sf_dir), rtol=None, max_iter=PR_FIXED_ITER)
+    return graph.rank_of(r.select("id", F.round("rank", 10).alias("rank")), RANK_NODE)
+
+
+@query("a44_graph_counts")
+def a44_graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edge, source, target, node, dead-end and dead-start counts."""
+    return graph.graph_counts(_edges(spark, sf_dir))
+
+
+@query("a45_degrees")
+def a45_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out- and in-degree of every node."""
+    return graph.degrees(_edges(spark, sf_dir))
+
+
+@query("a46_degree_summary")
+def a46_degree_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """describe() of out-degrees (sources) and in-degrees (targets)."""
+    return graph.degree_summary(_edges(spark, sf_dir))
+
+
+@query("a47_degree_histogram")
+def a47_degree_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degree distributions cut at out < 40 and in < 200."""
+    return graph.degree_histogram(_edges(spark, sf_dir), width=1, below={"out": 40, "in": 200})
+
+
+@query("u3_all_nodes")
+def u3_all_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node id."""
+    return graph.all_nodes(_edges(spark, sf_dir))
+
+
+@query("u4_dead_ends")
+def u4_dead_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4: nodes without out-edges."""
+    return graph.dead_ends(_edges(spark, sf_dir))
+
+
+@query("u5_dead_starts")
+def u5_dead_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes without in-edges."""
+    return graph.dead_starts(_edges(spark, sf_dir))
