@@ -292,3 +292,51 @@ FROM (SELECT dst, count(*) AS c FROM e GROUP BY dst) WHERE c < 200 GROUP BY c"""
 SQL["u3_all_nodes"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e"
 SQL["u4_dead_ends"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e EXCEPT SELECT src FROM e"
 SQL["u5_dead_starts"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e EXCEPT SELECT dst FROM e"
+
+SQL["s8_users"] = with_(USERS) + "SELECT * FROM users"
+SQL["s8_skus"] = with_(SKUS) + "SELECT * FROM skus"
+SQL["s8_orders"] = with_(ORDERS) + "SELECT * FROM orders_r"
+SQL["s8_comments"] = with_(COMMENTS) + "SELECT * FROM comments"
+SQL["s8_actions"] = with_(ACTIONS) + "SELECT * FROM actions"
+SQL["j1_enrich_orders"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS) + "SELECT * FROM eorders"
+SQL["j2_enrich_actions"] = with_(USERS, SKUS, ACTIONS, ENRICHED_ACTIONS) + "SELECT * FROM eactions"
+SQL["j3_j5_order_fact"] = with_(SKUS, ORDERS, COMMENTS, ORDER_FACT) + "SELECT * FROM ofact"
+SQL["j3_action_fact"] = with_(SKUS, ACTIONS, ACTION_FACT) + "SELECT * FROM afact"
+
+SQL["w1_successive_gaps"] = with_(SKUS, ORDERS, COMMENTS, ORDER_FACT) + f"""
+, r AS (SELECT user_id, o_date, date_diff('day', lag(o_date) OVER (PARTITION BY user_id ORDER BY o_date), o_date) AS g
+        FROM ofact WHERE o_date BETWEEN {d(W6.begin)} AND {d(W6.end)} AND cate IN (30, 101))
+SELECT user_id, o_date, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(CASE WHEN o_date = min(min(o_date)) OVER (PARTITION BY user_id) THEN NULL ELSE max(g) END AS BIGINT) AS gap
+FROM r GROUP BY user_id, o_date"""
+
+_F2 = []
+for _w in OW:
+    for _g in ("30", "101", "30_101", "others", "all"):
+        from .feature_sql import PRED_SQL as _P  # noqa: E402
+        _F2.append(f"SELECT '{_w.label}' AS window, '{_g}' AS grp, CAST(count(*) AS BIGINT) AS n_lines, "
+                   f"CAST(count(DISTINCT user_id) AS BIGINT) AS n_users FROM ofact "
+                   f"WHERE o_date BETWEEN {d(_w.begin)} AND {d(_w.end)} AND {_P[_g]} HAVING count(*) > 0")
+SQL["f2_group_line_counts"] = with_(SKUS, ORDERS, COMMENTS, ORDER_FACT) + "\nUNION ALL\n".join(_F2)
+
+SQL["c_scalar_functions"] = with_(ORDERS) + f"""
+SELECT user_id, o_id, sku_id, CAST(year(o_date) AS INTEGER) AS year, CAST(month(o_date) AS INTEGER) AS month,
+  CAST(day(o_date) AS INTEGER) AS day, CAST(date_diff('day', {d(LB)}, o_date) AS INTEGER) AS offset,
+  CAST({d(LB)} + CAST(trunc(o_sku_num / 7.0 + 0.49 - 1) AS INTEGER) AS DATE) AS date_trunc,
+  CAST({d(LB)} + CAST(floor(o_sku_num / 7.0) AS INTEGER) AS DATE) AS date_floor,
+  least(o_date, {d(C.BASELINE_CAP)}) AS date_capped,
+  round(coalesce(exp(-(CASE WHEN o_area > 2 THEN o_sku_num END) / 12.5), 0), 8) AS decay,
+  round(1.0 / (1 + ln(o_sku_num + 1)), 8) AS weight,
+  round(10.0 / (10 + power(date_diff('day', {d(LB)}, o_date) - 14, 2)), 8) AS closeness,
+  abs(o_sku_num - 25.0) <= 1.0 + 0.2 * abs(25.0) AS close,
+  CAST(trunc(o_sku_num / 4.0) AS INTEGER) AS quarter_trunc
+FROM orders_r WHERE o_date BETWEEN {d(LB)} AND {d(LE)}"""
+
+SQL["x5_build_features"] = (with_(USERS) + "SELECT * FROM users u "
+                            + f"JOIN ({SQL['x3_action_features']}) a USING (user_id) "
+                            + f"JOIN ({SQL['x2_order_features']}) o USING (user_id) "
+                            + f"JOIN ({SQL['x4_action_order_features']}) ao USING (user_id)")
+SQL["x5_baseline_features"] = (f"SELECT * FROM ({SQL['x6_baseline_labels']}) l "
+                               + f"JOIN ({SQL['x2_baseline_order_features']}) o USING (user_id) "
+                               + f"JOIN ({SQL['x3_baseline_action_features']}) a USING (user_id) "
+                               + f"JOIN ({SQL['x4_baseline_action_order_gap']}) g USING (user_id)")

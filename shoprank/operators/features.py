@@ -175,3 +175,68 @@ def order_columns_like_reference(df: DataFrame, first: list[str], groups: list[l
     for g in groups:
         cols += [c for c in g if c not in cols]
     return df.select(*[F.col(c) for c in cols])
+
+
+def successive_gaps(fact: DataFrame, date_col: str, where: Column | None = None, key: str = "user_id") -> DataFrame:
+    """Day gaps between a user's successive dates, in compact form.
+
+    The reference sorts a user's rows by date and differences neighbours, so
+    a day with k rows yields k - 1 zero gaps plus one gap to the previous
+    day. Here the rows are first counted per (user, day) and the window runs
+    over those days only — at most one row per calendar day in the data's
+    span, whatever the number of rows — giving ``(user, day, n_rows, gap)``
+    with ``gap`` NULL on the user's first day.
+    """
+    from pyspark.sql import Window as W
+
+    rows = fact if where is None else fact.where(where)
+    days = rows.where(F.col(key).isNotNull() & F.col(date_col).isNotNull()).groupBy(key, date_col).agg(
+        F.count(F.lit(1)).cast("long").alias("n_rows"))
+    prev = F.lag(F.col(date_col)).over(W.partitionBy(key).orderBy(date_col))
+    return days.select(key, date_col, "n_rows", F.datediff(F.col(date_col), prev).cast("long").alias("gap"))
+
+
+def group_line_counts(fact: DataFrame, windows: tuple[Win, ...], date_col: str = "o_date") -> DataFrame:
+    """F1 + F2: ``(window, grp, n_lines, n_users)`` for the five category groups.
+
+    One pass: each row is tagged with the (window, group) pairs it belongs to
+    and counted; distinct users come from a second, pre-aggregated level.
+    """
+    groups = cate_groups()
+    tags = []
+    for w in windows:
+        inw = F.col(date_col).between(F.lit(w.begin), F.lit(w.end))
+        for name, g in groups.items():
+            tags.append(F.when(inw & F.coalesce(g.predicate, F.lit(False)),
+                               F.struct(F.lit(w.label).alias("window"), F.lit(name).alias("grp"))))
+    lo = min(w.begin for w in windows)
+    hi = max(w.end for w in windows)
+    rows = fact.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+    ex = rows.select("user_id", F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("t")) \
+        .select("user_id", "t.window", "t.grp")
+    per_user = ex.groupBy("window", "grp", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_user.groupBy("window", "grp").agg(F.sum("n").cast("long").alias("n_lines"),
+                                                 F.count(F.lit(1)).cast("long").alias("n_users"))
+
+
+def scalar_showcase(order: DataFrame, begin, end, cap) -> DataFrame:
+    """C1-C4, C6-C11 applied to the order lines of one window, one row per line."""
+    from ..functions.dates import add_days_floor, add_days_trunc, cap_date, days_between
+    from ..functions.mathx import date_closeness, decay, rank_weight, within_tolerance
+
+    rows = order.where(F.col("o_date").between(F.lit(begin), F.lit(end)))
+    off = days_between("o_date", F.lit(begin))
+    x = F.col("o_sku_num").cast("double")
+    return rows.select(
+        "user_id", "o_id", "sku_id",
+        F.year("o_date").alias("year"), F.month("o_date").alias("month"), F.dayofmonth("o_date").alias("day"),
+        off.alias("offset"),
+        add_days_trunc(begin, x / 7 + F.lit(0.49) - F.lit(1)).alias("date_trunc"),
+        add_days_floor(begin, x / 7).alias("date_floor"),
+        cap_date(F.col("o_date"), cap).alias("date_capped"),
+        F.round(decay(F.when(F.col("o_area") > 2, x), 12.5), 8).alias("decay"),
+        F.round(rank_weight(F.col("o_sku_num") + 1), 8).alias("weight"),
+        F.round(date_closeness(off - 14), 8).alias("closeness"),
+        within_tolerance(x, F.lit(25.0), 0.2, 1.0).alias("close"),
+        (x / 4).cast("int").alias("quarter_trunc"),
+    )

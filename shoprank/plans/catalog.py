@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich, features, graph, labels, pairs, prototype, ranking, scoring
 from ..operators.user_agg import Agg
+from ..plans import pipeline
 from ..plans.windows import Win, feature_windows
 from ..sources import edges as edges_src
 from ..sources import retail
@@ -337,3 +338,97 @@ def u4_dead_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 def u5_dead_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes without in-edges."""
     return graph.dead_starts(_edges(spark, sf_dir))
+
+
+@query("s8_users")
+def s8_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User table from customer."""
+    return retail.users_from_testdata(spark, sf_dir)
+
+
+@query("s8_skus")
+def s8_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sku table from part (STANDARD parts have an unknown category)."""
+    return retail.skus_from_testdata(spark, sf_dir)
+
+
+@query("s8_orders")
+def s8_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines from lineitem joined with orders."""
+    return retail.orders_from_testdata(spark, sf_dir)
+
+
+@query("s8_comments")
+def s8_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments (scores) from order status."""
+    return retail.comments_from_testdata(spark, sf_dir)
+
+
+@query("s8_actions")
+def s8_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions from events."""
+    return retail.actions_from_testdata(spark, sf_dir)
+
+
+@query("j1_enrich_orders")
+def j1_enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + F11 + F12: order lines with comments, user and sku attributes, total price, date parts."""
+    return enrich.enrich_orders(retail.retail_from_testdata(spark, sf_dir))
+
+
+@query("j2_enrich_actions")
+def j2_enrich_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + F11: actions with user and sku attributes and date parts."""
+    return enrich.enrich_actions(retail.retail_from_testdata(spark, sf_dir))
+
+
+@query("j3_j5_order_fact")
+def j3_j5_order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + J4 + J5 + U6 + F6 + F11 + F12: refactored order fact."""
+    return enrich.order_fact(retail.retail_from_testdata(spark, sf_dir))
+
+
+@query("j3_action_fact")
+def j3_action_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + F11: refactored action fact."""
+    return enrich.action_fact(retail.retail_from_testdata(spark, sf_dir))
+
+
+@query("w1_successive_gaps")
+def w1_successive_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps between successive target-group order days per user, last 6 months."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    of = enrich.order_fact(b)
+    where = F.col("o_date").between(F.lit(WIDEST.begin), F.lit(WIDEST.end)) & F.col("cate").isin(30, 101)
+    return features.successive_gaps(of, "o_date", where)
+
+
+@query("f2_group_line_counts")
+def f2_group_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + F2 (N1): order lines and users per category group in each window."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    of = enrich.order_fact(b)
+    return features.group_line_counts(of, ORDER_WINDOWS.features)
+
+
+@query("c_scalar_functions")
+def c_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date parts, day differences, day offsets, caps, exp/ln/power, tolerance, casts."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return features.scalar_showcase(b.order, LABEL.label_begin, LABEL.label_end, BASELINE_CAP)
+
+
+@query("x5_build_features")
+def x5_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 refactored: user attributes + action, order and action-order features of 1/3/6 windows."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return pipeline.build_features(b, ORDER_WINDOWS.features, ACTION_WINDOWS,
+                                   retail.pair_sources_from_testdata(spark, sf_dir))
+
+
+@query("x5_baseline_features")
+def x5_baseline_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 baseline: user attributes + labels + OM/AM/GM features."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return pipeline.build_baseline_features(b, ORDER_WINDOWS.features, LABEL.label_begin, LABEL.label_end,
+                                            ACTION_WINDOWS, True, retail.pair_sources_from_testdata(spark, sf_dir))
