@@ -340,3 +340,8 @@ SQL["x5_baseline_features"] = (f"SELECT * FROM ({SQL['x6_baseline_labels']}) l "
                                + f"JOIN ({SQL['x2_baseline_order_features']}) o USING (user_id) "
                                + f"JOIN ({SQL['x3_baseline_action_features']}) a USING (user_id) "
                                + f"JOIN ({SQL['x4_baseline_action_order_gap']}) g USING (user_id)")
+
+_M3_COLS = [s.name for s in FE.refactored_order_specs(OW)]
+SQL["m3_prepare_matrix"] = ("SELECT user_id, " + ", ".join(
+    f"CAST(coalesce(CAST(\"{c}\" AS DOUBLE), -999.0) AS DOUBLE) AS \"{c}\", CAST(\"{c}\" IS NULL AS INTEGER) AS \"{c}_missing\""
+    for c in _M3_COLS) + f" FROM ({SQL['x2_order_features']})")

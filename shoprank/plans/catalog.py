@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich, features, graph, labels, pairs, prototype, ranking, scoring
 from ..operators.user_agg import Agg
-from ..plans import pipeline
+from ..plans import models, pipeline
 from ..plans.windows import Win, feature_windows
 from ..sources import edges as edges_src
 from ..sources import retail
@@ -432,3 +432,83 @@ def x5_baseline_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = retail.retail_from_testdata(spark, sf_dir)
     return pipeline.build_baseline_features(b, ORDER_WINDOWS.features, LABEL.label_begin, LABEL.label_end,
                                             ACTION_WINDOWS, True, retail.pair_sources_from_testdata(spark, sf_dir))
+
+
+TRAIN_WINDOWS = feature_windows(date(2001, 1, 1))  # train: features to 2000-12-31, labels of January 2001
+# Boosting rounds of the registered model queries. The library default is the
+# reference's 100; the checked queries use fewer rounds to bound their run time
+# on one machine (the plan shape is the same).
+ML_ROUNDS = 10
+
+
+def _ml_frames(spark, sf_dir):
+    """Train (features + labels of the previous month) and test (current features) frames."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    of = enrich.order_fact(b)
+    xtr = features.anchor(_users(b), features.refactored_order_features(of, TRAIN_WINDOWS.features))
+    xte = features.anchor(_users(b), features.refactored_order_features(of, ORDER_WINDOWS.features))
+    # both periods under one set of names: strip nothing, names are per-window labels
+    ytr = labels.build_labels(b.user, of, TRAIN_WINDOWS.label_begin, TRAIN_WINDOWS.label_end)
+    cols = [c for c in xtr.columns if c != "user_id"]
+    return b, xtr.join(ytr, "user_id"), xte, cols
+
+
+@query("m3_prepare_matrix")
+def m3_prepare_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: sentinel-filled feature matrix with missing indicators (order features)."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    f = features.anchor(_users(b), features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features))
+    return models.prepare_matrix(f, [c for c in f.columns if c != "user_id"])
+
+
+@query("w4_folds")
+def w4_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash folds (k = 5) and stratified folds on the label."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    y = labels.build_labels(b.user, enrich.order_fact(b), LABEL.label_begin, LABEL.label_end)
+    y = models.fold_column(y, 5)
+    return models.fold_column(y, 5, stratify="has_order", name="strat_fold")
+
+
+@query("x11_two_target_gbt")
+def x11_two_target_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11: boosted-tree regressions for order count and first-order day; date model on buyers only."""
+    b, train, test, cols = _ml_frames(spark, sf_dir)
+    pred, _ = models.train_predict_two_target(train, test, cols, date_only_buyers="has_order", maxIter=ML_ROUNDS)
+    return pred
+
+
+@query("x18_feature_importance")
+def x18_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature importances of the order-count model, descending."""
+    b, train, test, cols = _ml_frames(spark, sf_dir)
+    _, ms = models.train_predict_two_target(train, test, cols, date_only_buyers="has_order", maxIter=ML_ROUNDS)
+    return models.feature_importance(spark, ms["order_num"], ms["columns"])
+
+
+@query("x12_stacked_bagged")
+def x12_stacked_bagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-fold stacking + 3 bagged models with validation-based early stopping."""
+    b, train, test, cols = _ml_frames(spark, sf_dir)
+    return models.stacked_bagged_regressor(train, test, cols, "order_num", k=5, bags=3, maxIter=ML_ROUNDS // 2)
+
+
+@query("x13_per_label_forest")
+def x13_per_label_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One random forest per prototype label, trained on the previous month."""
+    b, sku, osc = _proto(spark, sf_dir)
+    tr_f = prototype.prototype_features(b.action, osc, sku, date(2000, 7, 1), date(2000, 12, 31), PROTO_GROUPS)
+    tr_y = prototype.prototype_labels(osc, sku, date(2001, 1, 1), date(2001, 1, 31), tr_f, PROTO_GROUPS)
+    te_f = prototype.prototype_features(b.action, osc, sku, *PROTO_FEATURE, PROTO_GROUPS)
+    cols = [c for c in tr_f.columns if c != "user_id"]
+    tr_y = tr_y.select("user_id", *[F.col(c).alias(f"y_{c}") for c in tr_y.columns if c != "user_id"])
+    ycols = [c for c in tr_y.columns if c != "user_id"]
+    return models.per_label_forest(tr_f.join(tr_y, "user_id"), te_f, cols, ycols)
+
+
+@query("x17_holdout_validation")
+def x17_holdout_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train on January 2001, predict February 2001, score against February's first orders."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    return models.holdout_validation(b, LABEL.label_begin, action_windows=ACTION_WINDOWS,
+                                     pair_sources=retail.pair_sources_from_testdata(spark, sf_dir), maxIter=ML_ROUNDS)
