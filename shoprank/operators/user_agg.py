@@ -114,9 +114,6 @@ def user_window_agg(
         b, e = wb[w]
         rows = rows.withColumn(f"_w{widx[w]}", F.col("_d").between(b, e))
 
-    def p(name: str) -> Column:
-        return F.col(f"_p{pidx[name]}")
-
     def v(c: str) -> Column:
         return F.col("_d") if c == date_col else F.col(f"_v_{c}")
 
@@ -146,143 +143,130 @@ def user_window_agg(
     structs += [F.struct(F.lit(tag_of[c]).alias("t"), v(c).cast("long").alias("kv")) for c in tag_cols]
     ex = rows.select("*", F.explode(F.array(*structs)).alias("_tk")).select("*", "_tk.t", "_tk.kv").drop("_tk")
     ex = ex.where(F.col("kv").isNotNull())
-    t = F.col("t")
-    is_date = t == 0
 
-    def by_tag(per_tag: dict[str, Column]) -> Column:
-        expr = None
-        for c, e in per_tag.items():
-            expr = F.when(t == tag_of[c], e) if expr is None else expr.when(t == tag_of[c], e)
-        return expr
+    # The aggregate expressions are written as SQL text: one JVM call per
+    # expression keeps plan construction cheap for a hundred features.
+    def P(name: str) -> str:
+        return f"_p{pidx[name]}"
+
+    def V(c: str) -> str:
+        return "_d" if c == date_col else f"`_v_{c}`"
+
+    def Wf(win: str) -> str:
+        return f"_w{widx[win]}"
+
+    def by_tag(per_tag: dict[str, str]) -> str:
+        return "CASE " + " ".join(f"WHEN t = {tag_of[c]} THEN {e}" for c, e in per_tag.items()) + " END"
 
-    l1: dict[str, Column] = {}
+    l1: dict[str, str] = {}
     if any_bits:
         masks = {}
         for c in tag_cols:
-            m = F.lit(0).cast("long")
-            for (where, win), i in ((k[1:], i) for k, i in bits.items() if k[0] == c):
-                m = m.bitwiseOR(F.when(p(where) & F.col(f"_w{widx[win]}"), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-            masks[c] = m
-        l1["mask"] = F.bit_or(by_tag(masks))
+            terms = [f"(CASE WHEN {P(where)} AND {Wf(win)} THEN {1 << i}L ELSE 0L END)"
+                     for (cc, where, win), i in bits.items() if cc == c]
+            if terms:
+                masks[c] = "(" + " | ".join(terms) + ")"
+        l1["mask"] = f"bit_or({by_tag(masks)})"
     for i in range(n_slots):
         per = {}
-        for c in tag_cols:
-            for (cc, where, win), j in slots.items():
-                if cc == c and j == i:
-                    per[c] = F.when(p(where) & F.col(f"_w{widx[win]}"), F.lit(1)).otherwise(F.lit(0))
+        for (cc, where, win), j in slots.items():
+            if j == i:
+                per[cc] = f"(CASE WHEN {P(where)} AND {Wf(win)} THEN 1 ELSE 0 END)"
         if per:
-            l1[f"mc{i}"] = F.sum(by_tag(per))
+            l1[f"mc{i}"] = f"sum({by_tag(per)})"
 
     # date-grain measures, window-independent
-    def need_l1(name: str, expr: Column) -> str:
+    def need_l1(name: str, expr: str) -> str:
         l1.setdefault(name, expr)
         return name
 
-    def rows_l1(where: str) -> str:
-        return need_l1(f"r_{pidx[where]}", F.sum(F.when(is_date & p(where), F.lit(1))))
-
-    def cnt_l1(where: str, c: str) -> str:
-        return need_l1(f"c_{pidx[where]}_{c}", F.sum(F.when(is_date & p(where) & v(c).isNotNull(), F.lit(1))))
-
-    def sum_l1(where: str, c: str) -> str:
-        return need_l1(f"s_{pidx[where]}_{c}", F.sum(F.when(is_date & p(where), v(c))))
+    for sp in specs:
+        w, c = sp.where, sp.col
+        need_l1(f"r_{pidx[w]}", f"sum(CASE WHEN t = 0 AND {P(w)} THEN 1 END)")
+        if sp.kind in ("count", "mean") and c:
+            need_l1(f"c_{pidx[w]}_{c}", f"sum(CASE WHEN t = 0 AND {P(w)} AND {V(c)} IS NOT NULL THEN 1 END)")
+        if sp.kind in ("sum", "mean"):
+            need_l1(f"s_{pidx[w]}_{c}", f"sum(CASE WHEN t = 0 AND {P(w)} THEN {V(c)} END)")
+        if sp.kind == "min":
+            need_l1(f"mn_{pidx[w]}_{c}", f"min(CASE WHEN t = 0 AND {P(w)} THEN {V(c)} END)")
+        if sp.kind == "max":
+            need_l1(f"mx_{pidx[w]}_{c}", f"max(CASE WHEN t = 0 AND {P(w)} THEN {V(c)} END)")
 
-    def min_l1(where: str, c: str) -> str:
-        return need_l1(f"mn_{pidx[where]}_{c}", F.min(F.when(is_date & p(where), v(c))))
-
-    def max_l1(where: str, c: str) -> str:
-        return need_l1(f"mx_{pidx[where]}_{c}", F.max(F.when(is_date & p(where), v(c))))
-
-    for s in specs:
-        rows_l1(s.where)
-        if s.kind == "count" and s.col:
-            cnt_l1(s.where, s.col)
-        elif s.kind == "sum":
-            sum_l1(s.where, s.col)
-        elif s.kind == "mean":
-            sum_l1(s.where, s.col)
-            cnt_l1(s.where, s.col)
-        elif s.kind == "min":
-            min_l1(s.where, s.col)
-        elif s.kind == "max":
-            max_l1(s.where, s.col)
-
-    level1 = ex.groupBy("_u", "t", "kv").agg(*[e.alias(n) for n, e in l1.items()])
+    level1 = ex.groupBy("_u", "t", "kv").agg(*[F.expr(e).alias(n) for n, e in l1.items()])
 
     # ---- level 2: per user
-    kv = F.col("kv")
-    l2: dict[str, Column] = {}
+    l2: dict[str, str] = {}
 
-    def need(name: str, expr: Column) -> Column:
+    def need(name: str, expr: str) -> str:
         l2.setdefault(name, expr)
-        return F.col(name)
+        return f"`{name}`"
 
-    def in_win(win: str) -> Column:
+    def in_win(win: str) -> str:
         b, e = wb[win]
-        return is_date & kv.between(b, e)
-
-    def rows_w(where: str, win: str) -> Column:
-        return need(f"R_{pidx[where]}_{widx[win]}", F.sum(F.when(in_win(win), F.col(f"r_{pidx[where]}"))))
-
-    def present(where: str, win: str) -> Column:
-        return in_win(win) & (F.col(f"r_{pidx[where]}") > 0)
-
-    out: list[Column] = []
-    for s in specs:
-        g = rows_w(s.where, s.win) > 0
-        k = f"{pidx[s.where]}_{widx[s.win]}"
-        if s.kind == "rows" or (s.kind == "count" and not s.col):
-            val = F.when(g, rows_w(s.where, s.win)).cast("long")
-        elif s.kind == "count":
-            c = need(f"C_{k}_{s.col}", F.sum(F.when(in_win(s.win), F.col(f"c_{pidx[s.where]}_{s.col}"))))
-            val = F.when(g, F.coalesce(c, F.lit(0))).cast("long")
-        elif s.kind == "sum":
-            sm = need(f"S_{k}_{s.col}", F.sum(F.when(in_win(s.win), F.col(f"s_{pidx[s.where]}_{s.col}"))))
-            val = F.when(g, F.coalesce(sm, F.lit(0)))
-        elif s.kind == "mean":
-            sm = need(f"S_{k}_{s.col}", F.sum(F.when(in_win(s.win), F.col(f"s_{pidx[s.where]}_{s.col}"))))
-            c = need(f"C_{k}_{s.col}", F.sum(F.when(in_win(s.win), F.col(f"c_{pidx[s.where]}_{s.col}"))))
-            val = (sm.cast("double") / F.when(c > 0, c)).cast("double")
-        elif s.kind == "min":
-            val = need(f"MN_{k}_{s.col}", F.min(F.when(in_win(s.win), F.col(f"mn_{pidx[s.where]}_{s.col}"))))
-        elif s.kind == "max":
-            val = need(f"MX_{k}_{s.col}", F.max(F.when(in_win(s.win), F.col(f"mx_{pidx[s.where]}_{s.col}"))))
-        elif s.kind == "nunique" and s.col == date_col:
-            nd = need(f"ND_{k}", F.count(F.when(present(s.where, s.win), F.lit(1))))
-            val = F.when(g, nd).cast("long")
-        elif s.kind == "nunique":
-            bit = 1 << bits[(s.col, s.where, s.win)]
-            hit = (t == tag_of[s.col]) & (F.col("mask").bitwiseAND(F.lit(bit).cast("long")) != 0)
-            nu = need(f"NU_{k}_{s.col}", F.count(F.when(hit, F.lit(1))))
-            val = F.when(g, nu).cast("long")
-        elif s.kind == "mode":
-            if s.col == date_col:
+        return f"(t = 0 AND kv BETWEEN {b} AND {e})"
+
+    def rows_w(where: str, win: str) -> str:
+        return need(f"R_{pidx[where]}_{widx[win]}", f"sum(CASE WHEN {in_win(win)} THEN r_{pidx[where]} END)")
+
+    def present(where: str, win: str) -> str:
+        return f"({in_win(win)} AND r_{pidx[where]} > 0)"
+
+    out: list[str] = []
+    for sp in specs:
+        n = rows_w(sp.where, sp.win)
+        g = f"{n} > 0"
+        k = f"{pidx[sp.where]}_{widx[sp.win]}"
+        c = sp.col
+        if sp.kind == "rows" or (sp.kind == "count" and not c):
+            val = f"CAST(CASE WHEN {g} THEN {n} END AS BIGINT)"
+        elif sp.kind == "count":
+            cc = need(f"C_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `c_{pidx[sp.where]}_{c}` END)")
+            val = f"CAST(CASE WHEN {g} THEN coalesce({cc}, 0) END AS BIGINT)"
+        elif sp.kind == "sum":
+            sm = need(f"S_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `s_{pidx[sp.where]}_{c}` END)")
+            val = f"CASE WHEN {g} THEN coalesce({sm}, 0) END"
+        elif sp.kind == "mean":
+            sm = need(f"S_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `s_{pidx[sp.where]}_{c}` END)")
+            cc = need(f"C_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `c_{pidx[sp.where]}_{c}` END)")
+            val = f"CAST({sm} AS DOUBLE) / CASE WHEN {cc} > 0 THEN {cc} END"
+        elif sp.kind == "min":
+            val = need(f"MN_{k}_{c}", f"min(CASE WHEN {in_win(sp.win)} THEN `mn_{pidx[sp.where]}_{c}` END)")
+        elif sp.kind == "max":
+            val = need(f"MX_{k}_{c}", f"max(CASE WHEN {in_win(sp.win)} THEN `mx_{pidx[sp.where]}_{c}` END)")
+        elif sp.kind == "nunique" and c == date_col:
+            nd = need(f"ND_{k}", f"count(CASE WHEN {present(sp.where, sp.win)} THEN 1 END)")
+            val = f"CAST(CASE WHEN {g} THEN {nd} END AS BIGINT)"
+        elif sp.kind == "nunique":
+            bit = 1 << bits[(c, sp.where, sp.win)]
+            nu = need(f"NU_{k}_{c}", f"count(CASE WHEN t = {tag_of[c]} AND (mask & {bit}L) <> 0 THEN 1 END)")
+            val = f"CAST(CASE WHEN {g} THEN {nu} END AS BIGINT)"
+        elif sp.kind == "mode":
+            if c == date_col:
                 raise ValueError("mode of the window date column is not supported")
-            slot = F.col(f"mc{slots[(s.col, s.where, s.win)]}")
-            cand = (t == tag_of[s.col]) & (slot > 0)
-            mo = need(f"MO_{k}_{s.col}", F.max_by(F.when(cand, kv), F.when(cand, F.struct(slot, -kv))))
-            val = mo.cast(fact.schema[s.col].dataType)
-        elif s.kind == "gap_mean":
-            mn = need(f"DMN_{k}", F.min(F.when(present(s.where, s.win), kv)))
-            mx = need(f"DMX_{k}", F.max(F.when(present(s.where, s.win), kv)))
-            n = rows_w(s.where, s.win)
-            val = F.when(n > 1, F.floor((mx - mn) / (n - 1))).cast("long")
+            slot = f"mc{slots[(c, sp.where, sp.win)]}"
+            cand = f"t = {tag_of[c]} AND {slot} > 0"
+            mo = need(f"MO_{k}_{c}", f"max_by(CASE WHEN {cand} THEN kv END, CASE WHEN {cand} THEN struct({slot}, -kv) END)")
+            val = f"CAST({mo} AS {fact.schema[c].dataType.simpleString()})"
+        elif sp.kind == "gap_mean":
+            mn = need(f"DMN_{k}", f"min(CASE WHEN {present(sp.where, sp.win)} THEN kv END)")
+            mx = need(f"DMX_{k}", f"max(CASE WHEN {present(sp.where, sp.win)} THEN kv END)")
+            val = f"CAST(CASE WHEN {n} > 1 THEN floor(({mx} - {mn}) / ({n} - 1)) END AS BIGINT)"
         else:  # gap_std
             # Sorted distinct dates of the predicate: one entry per day of the
             # window hull at most, so the list is bounded by the window length.
-            dl = need(f"DL_{pidx[s.where]}", F.array_sort(F.collect_list(F.when(is_date & (F.col(f"r_{pidx[s.where]}") > 0), kv))))
-            b, e = wb[s.win]
-            arr = F.filter(dl, lambda x: x.between(b, e))
-            nd = F.size(arr)
-            sq = F.zip_with(F.slice(arr, 2, nd - 1), F.slice(arr, 1, nd - 1), lambda x, y: (x - y) * (x - y))
-            ss = F.when(nd > 1, F.aggregate(sq, F.lit(0).cast("long"), lambda acc, x: acc + x)).otherwise(F.lit(0))
-            n = rows_w(s.where, s.win)
-            m = (n - 1).cast("double")
-            span = (F.element_at(arr, -1) - F.element_at(arr, 1)).cast("double")
-            var = (ss.cast("double") - span * span / m) / (m - 1)
-            val = F.when(nd > 2, F.sqrt(F.greatest(var, F.lit(0.0))))
-        out.append(val.alias(s.name))
-
-    main = level1.groupBy("_u").agg(*[e.alias(n) for n, e in l2.items()]).select("_u", *out)
+            dl = need(f"DL_{pidx[sp.where]}",
+                      f"array_sort(collect_list(CASE WHEN t = 0 AND r_{pidx[sp.where]} > 0 THEN kv END))")
+            b, e = wb[sp.win]
+            arr = f"filter({dl}, x -> x BETWEEN {b} AND {e})"
+            nd = f"size({arr})"
+            ss = (f"CASE WHEN {nd} > 1 THEN aggregate(zip_with(slice({arr}, 2, {nd} - 1), slice({arr}, 1, {nd} - 1), "
+                  f"(x, y) -> (x - y) * (x - y)), 0L, (acc, z) -> acc + z) ELSE 0 END")
+            m = f"CAST({n} - 1 AS DOUBLE)"
+            span = f"CAST(element_at({arr}, -1) - element_at({arr}, 1) AS DOUBLE)"
+            var = f"((CAST({ss} AS DOUBLE) - {span} * {span} / {m}) / ({m} - 1))"
+            val = f"CASE WHEN {nd} > 2 THEN sqrt(greatest({var}, 0.0)) END"
+        out.append(f"{val} AS `{sp.name}`")
+
+    main = level1.groupBy("_u").agg(*[F.expr(e).alias(n) for n, e in l2.items()]).selectExpr("_u", *out)
 
     return main.select(F.col("_u").alias(key), *[F.col(s.name) for s in specs])
