@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.mathx import within_tolerance
-from ..session import ensure_checkpoint_dir
+from ..session import conf_override, ensure_checkpoint_dir
 
 # Damping and tolerances of the reference defaults.
 DAMPING = 0.85
@@ -105,7 +105,8 @@ def degree_histogram(edges: DataFrame, width: int = 1, below: dict[str, int] | N
 
 
 def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, atol: float = ATOL,
-             max_iter: int = 100, partitions: int | None = None) -> DataFrame:
+             max_iter: int = 100, partitions: int | None = None, heavy_degree: int = 1_000_000,
+             salts: int = 32) -> DataFrame:
     """PageRank ``(id, rank)`` of every node; ranks sum to 1.
 
     Self-loops are dropped and not counted in the out-degree; parallel edges
@@ -114,37 +115,55 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
     ``r' = p * (M r + dangling / N) + (1 - p) / N`` from ``1/N``; stops when
     every node has ``|r' - r| <= atol + rtol * |r|`` or after ``max_iter``
     updates (``rtol=None`` runs exactly ``max_iter``).
+
+    Skew: the edges of a source with more than ``heavy_degree`` distinct
+    out-links are spread over ``salts`` sub-keys (by a hash of the target),
+    and only that source's rank share is replicated ``salts`` times, so no
+    single task holds all edges of a hub.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     links = edges.where(F.col("src") != F.col("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
-    links = links.repartition(nparts, "src").checkpoint()  # partitioned by source, reused every iteration
-    outdeg = links.groupBy("src").agg(F.sum("cnt").alias("deg"))
+    outdeg = links.groupBy("src").agg(F.sum("cnt").alias("deg"), F.count(F.lit(1)).alias("fanout"))
+    heavy = F.col("fanout") > F.lit(heavy_degree)
+    salt = F.when(heavy, F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    # One-time preparation with AQE on (its skew join splits hub sources here).
+    salted = links.join(outdeg, "src").select("src", salt.alias("salt"), "dst", "cnt").checkpoint()
     nodes = all_nodes(edges).join(outdeg.withColumnRenamed("src", "id"), "id", "left")
-    nodes = nodes.repartition(nparts, "id").checkpoint()
-    n = nodes.count()
-    if n == 0:
-        return nodes.select("id", F.lit(0.0).alias("rank"))
-
-    ranks = nodes.select("id", "deg", F.lit(1.0 / n).alias("rank"))
-    dangling = nodes.where(F.col("deg").isNull()).count() / n
-    for _ in range(max_iter):
-        share = ranks.where(F.col("deg").isNotNull()).select(F.col("id").alias("src"), (F.col("rank") / F.col("deg")).alias("share"))
-        contrib = links.join(share, "src").groupBy("dst").agg(F.sum(F.col("share") * F.col("cnt")).alias("s"))
-        new = ranks.join(contrib, ranks.id == contrib.dst, "left").select(
-            "id", "deg", F.col("rank").alias("old"),
-            (F.lit(p) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(dangling / n)) + F.lit((1 - p) / n)).alias("rank"),
-        ).checkpoint()
-        stats = new.agg(
-            F.sum(F.when(F.col("deg").isNull(), F.col("rank"))).alias("dangling"),
-            F.sum(F.when(~within_tolerance(F.col("rank"), F.col("old"), rtol or 0.0, atol), 1)).alias("bad"),
-        ).first()
-        dangling = stats["dangling"] or 0.0
-        ranks = new.select("id", "deg", "rank")
-        if rtol is not None and not stats["bad"]:
-            break
+    nodes = nodes.select("id", "deg", F.when(heavy, F.lit(salts)).otherwise(F.lit(1)).alias("nsalt")).checkpoint()
+
+    # Iterations run with static planning: a checkpoint written without AQE
+    # keeps its hash partitioning, so the edges partitioned by (source, salt)
+    # are never shuffled again; only the rank shares (one row per source and
+    # salt) move to them, and the new ranks stay partitioned by node id.
+    with conf_override(spark, {"spark.sql.adaptive.enabled": "false"}):
+        links = salted.repartition(nparts, "src", "salt").checkpoint()
+        nodes = nodes.repartition(nparts, "id").checkpoint()
+        n = nodes.count()
+        if n == 0:
+            return nodes.select("id", F.lit(0.0).alias("rank"))
+        ranks = nodes.select("id", "deg", "nsalt", F.lit(1.0 / n).alias("rank"))
+        dangling = nodes.where(F.col("deg").isNull()).count() / n
+        for _ in range(max_iter):
+            share = ranks.where(F.col("deg").isNotNull()).select(
+                F.col("id").alias("src"), (F.col("rank") / F.col("deg")).alias("share"),
+                F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
+            contrib = (links.join(share, ["src", "salt"]).groupBy("dst")
+                       .agg(F.sum(F.col("share") * F.col("cnt")).alias("s")))
+            new = ranks.join(contrib, ranks.id == contrib.dst, "left").select(
+                "id", "deg", "nsalt", F.col("rank").alias("old"),
+                (F.lit(p) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(dangling / n)) + F.lit((1 - p) / n)).alias("rank"),
+            ).checkpoint()
+            stats = new.agg(
+                F.sum(F.when(F.col("deg").isNull(), F.col("rank"))).alias("dangling"),
+                F.sum(F.when(~within_tolerance(F.col("rank"), F.col("old"), rtol or 0.0, atol), 1)).alias("bad"),
+            ).first()
+            dangling = stats["dangling"] or 0.0
+            ranks = new.select("id", "deg", "nsalt", "rank")
+            if rtol is not None and not stats["bad"]:
+                break
     return ranks.select("id", "rank")
 
 

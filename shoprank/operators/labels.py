@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import cate_groups, in_window
+from ..plans.windows import Win
+from .user_agg import Agg, user_window_agg
 
 G = "30_101"
 
@@ -17,15 +19,17 @@ def label_aggregates(order_fact: DataFrame, begin: date, end: date) -> DataFrame
 
     ``order_num`` = distinct orders, ``pred_date`` = day offset of the first
     order from ``begin`` (the sort + keep-first of the reference is a ``min``).
-    A single distinct aggregate is planned as a two-level aggregation with
-    map-side combine, so a heavy user is pre-aggregated before the shuffle.
+    Runs on the windowed aggregation engine, whose first level is keyed by
+    (user, order), so a user with a very large number of orders is spread
+    over many reducers before being counted.
     """
-    g = cate_groups()[G].predicate
-    rows = order_fact.where(in_window("o_date", begin, end) & g & F.col("user_id").isNotNull())
-    return rows.groupBy("user_id").agg(
-        F.count_distinct("o_id").cast("long").alias("order_num"),
-        F.min(F.datediff(F.col("o_date"), F.lit(begin))).cast("long").alias("pred_date"),
-    )
+    w = Win("L", begin, end)
+    fact = order_fact.withColumn("_offset", F.datediff(F.col("o_date"), F.lit(begin)))
+    specs = [Agg("order_num", "nunique", "o_id", G, "L"), Agg("pred_date", "min", "_offset", G, "L")]
+    preds = {name: g.predicate for name, g in cate_groups().items() if name != "all"}
+    out = user_window_agg(fact, specs, (w,), preds, "o_date")
+    return out.where(F.col("order_num").isNotNull()).select(
+        "user_id", F.col("order_num").cast("long").alias("order_num"), F.col("pred_date").cast("long").alias("pred_date"))
 
 
 def build_labels(users: DataFrame, order_fact: DataFrame, begin: date, end: date) -> DataFrame:

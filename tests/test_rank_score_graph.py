@@ -78,3 +78,15 @@ def test_degree_summary_and_counts(spark):
     s = {r["kind"]: r for r in graph.degree_summary(df).collect()}
     assert s["out"]["count"] == 3 and s["out"]["max"] == 2 and abs(s["out"]["p50"] - 1.0) < 1e-12
     assert s["in"]["count"] == 2 and s["in"]["max"] == 3
+
+
+def test_pagerank_salted_hub_matches_unsalted(spark):
+    import random
+    rnd = random.Random(3)
+    edges = [(0, rnd.randint(1, 60)) for _ in range(300)] + [(rnd.randint(1, 60), rnd.randint(0, 60)) for _ in range(200)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    a = {r["id"]: r["rank"] for r in graph.pagerank(df, rtol=None, max_iter=5).collect()}
+    b = {r["id"]: r["rank"] for r in graph.pagerank(df, rtol=None, max_iter=5, heavy_degree=10, salts=4).collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    assert abs(sum(b.values()) - 1) < 1e-9
