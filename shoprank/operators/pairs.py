@@ -22,7 +22,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..plans.windows import Win
@@ -61,23 +60,22 @@ def action_order_gap(
     daily = (a.unionByName(o).groupBy(*keys, "d")
              .agg(F.sum("na").cast("long").alias("na"), F.sum("no").cast("long").alias("no")))
 
-    frame = W.partitionBy(*keys).orderBy("d").rowsBetween(W.unboundedPreceding, -1 if strict else 0)
-    cols = []
-    aggs = []
+    # Running sums over the days of one (user, item[, category]); SQL text keeps
+    # plan construction to one call per expression.
+    part = ", ".join(keys)
+    frame = f"OVER (PARTITION BY {part} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND {'1 PRECEDING' if strict else 'CURRENT ROW'})"
+    cols, aggs = [], []
     for w in windows:
         b = (w.begin - EPOCH).days
         e = (w.end - EPOCH).days
-        in_b = F.col("d") >= b
-        cnt = F.sum(F.when(in_b, F.col("na")).otherwise(F.lit(0))).over(frame)
-        sm = F.sum(F.when(in_b, F.col("na") * F.col("d")).otherwise(F.lit(0))).over(frame)
-        cols += [cnt.alias(f"c_{w.label}"), sm.alias(f"s_{w.label}")]
-        o_in = (F.col("d").between(b, e)) & (F.col("no") > 0)
-        c = F.coalesce(F.col(f"c_{w.label}"), F.lit(0))
-        s = F.coalesce(F.col(f"s_{w.label}"), F.lit(0))
-        pairs = F.sum(F.when(o_in, F.col("no") * c))
-        gaps = F.sum(F.when(o_in, F.col("no") * (c * F.col("d") - s)))
-        aggs.append(F.when(pairs > 0, gaps.cast("double") / pairs).alias(names[w.label]))
-    running = daily.select("*", *cols)
+        k = w.label
+        cols.append(f"coalesce(sum(CASE WHEN d >= {b} THEN na ELSE 0 END) {frame}, 0) AS c_{k}")
+        cols.append(f"coalesce(sum(CASE WHEN d >= {b} THEN na * d ELSE 0 END) {frame}, 0) AS s_{k}")
+        o_in = f"d BETWEEN {b} AND {e} AND no > 0"
+        pairs = f"sum(CASE WHEN {o_in} THEN no * c_{k} END)"
+        gaps = f"sum(CASE WHEN {o_in} THEN no * (c_{k} * d - s_{k}) END)"
+        aggs.append(F.expr(f"CASE WHEN {pairs} > 0 THEN CAST({gaps} AS DOUBLE) / {pairs} END").alias(names[k]))
+    running = daily.selectExpr("*", *cols)
     return running.groupBy(key).agg(*aggs)
 
 

@@ -19,9 +19,10 @@ def edges_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parallel edges (a customer buying a part twice) and self-loops (a customer
     key equal to a part key) are kept: the graph operators handle both.
     """
-    d = sf_dir.rstrip("/")
-    li = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_partkey")
-    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_custkey")
+    from .retail import _read
+
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").cast("long").alias("src"), F.col("l_partkey").cast("long").alias("dst")
     )
