@@ -12,6 +12,8 @@ from shoprank.plans.windows import Win
 
 from .sql_common import d
 
+ROUND = 6  # decimal places of every DOUBLE result, on both sides of the check
+
 PRED_SQL = {
     "all": "TRUE",
     "30": "cate = 30",
@@ -39,10 +41,12 @@ def feature_sql(ctes: str, fact: str, date_col: str, specs: list[Agg], windows:
         elif s.kind == "sum":
             t = "DOUBLE" if s.col in double_cols else "BIGINT"
             agg = f"CAST(coalesce(sum({s.col}), 0) AS {t})"
+            if t == "DOUBLE":
+                agg = f"round({agg}, {ROUND})"
         elif s.kind in ("min", "max"):
             agg = f"{s.kind}({s.col})"
         elif s.kind == "mean":
-            agg = f"CAST(avg({s.col}) AS DOUBLE)"
+            agg = f"round(CAST(avg({s.col}) AS DOUBLE), {ROUND})"
         elif s.kind == "nunique":
             agg = f"CAST(count(DISTINCT {s.col}) AS BIGINT)"
         else:
@@ -59,7 +63,7 @@ def feature_sql(ctes: str, fact: str, date_col: str, specs: list[Agg], windows:
             if s.kind == "gap_mean":
                 sub = f"SELECT user_id, CAST(floor(avg(g)) AS BIGINT) AS v FROM ({lagged}) GROUP BY user_id"
             else:
-                sub = (f"SELECT user_id, CASE WHEN count(DISTINCT dd) > 2 THEN stddev_samp(g) END AS v "
+                sub = (f"SELECT user_id, CASE WHEN count(DISTINCT dd) > 2 THEN round(stddev_samp(g), {ROUND}) END AS v "
                        f"FROM ({lagged}) GROUP BY user_id")
         else:
             raise ValueError(s.kind)

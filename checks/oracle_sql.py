@@ -61,7 +61,7 @@ def _pair_sql(strict: bool, by_cate: bool, name) -> str:
     sel, joins = ["u.user_id"], []
     for i, w in enumerate(OW):
         cond = f"a_date BETWEEN {d(w.begin)} AND {d(w.end)} AND o_date BETWEEN {d(w.begin)} AND {d(w.end)}"
-        joins.append(f"LEFT JOIN (SELECT user_id, CAST(avg(g) AS DOUBLE) AS v FROM pr WHERE {cond} "
+        joins.append(f"LEFT JOIN (SELECT user_id, round(CAST(avg(g) AS DOUBLE), 6) AS v FROM pr WHERE {cond} "
                      f"GROUP BY user_id) w{i} ON u.user_id = w{i}.user_id")
         sel.append(f"w{i}.v AS \"{name(w.label)}\"")
     return (with_(USERS, SKUS, PAIR_ACTIONS, PAIR_ORDERS, cte_pa, cte_po, cte_pairs)
@@ -206,7 +206,8 @@ SQL["x10_score"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT, _PRED, _RANK
          FROM sub s LEFT JOIN truth t ON s.user_id = t.user_id)
 , s2 AS (SELECT coalesce(sum(10.0 / (10 + power(date_diff('day', t.order_date, s.pred_date), 2))), 0)
                 / (SELECT count(*) FROM truth) AS v FROM truth t JOIN sub s ON s.user_id = t.user_id)
-SELECT CAST(s1.v AS DOUBLE) AS s1, CAST(s2.v AS DOUBLE) AS s2, CAST(0.4 * s1.v + 0.6 * s2.v AS DOUBLE) AS s FROM s1, s2"""
+SELECT round(CAST(s1.v AS DOUBLE), 6) AS s1, round(CAST(s2.v AS DOUBLE), 6) AS s2,
+       round(CAST(0.4 * s1.v + 0.6 * s2.v AS DOUBLE), 6) AS s FROM s1, s2"""
 
 
 def _gapvar(k_label, w):
@@ -220,7 +221,7 @@ _GV = [_gapvar(w.label, w) for w in OW]
 _W = ("coalesce(exp(-g1.v / 4.9), 0) / 2 + coalesce(exp(-g3.v / 12.5), 0) / 3 + coalesce(exp(-g6.v / 21.2), 0) / 6")
 _GJ = " ".join(f"LEFT JOIN g{k} ON u.user_id = g{k}.user_id" for k in ("1", "3", "6"))
 SQL["x8_regularity_weight"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS, *_GV) + f"""
-SELECT u.user_id, CAST({_W} AS DOUBLE) AS weight FROM users u {_GJ}"""
+SELECT u.user_id, round(CAST({_W} AS DOUBLE), 6) AS weight FROM users u {_GJ}"""
 
 _BP = (f"bp AS (SELECT user_id, CASE WHEN count(CASE WHEN cate IN (30, 101) THEN 1 END) > 0 "
        f"THEN count(DISTINCT CASE WHEN cate IN (30, 101) THEN o_id END) END AS cnt6, "
@@ -276,9 +277,9 @@ FROM (SELECT src AS id FROM e UNION SELECT dst FROM e) n
 LEFT JOIN (SELECT src, count(*) AS c FROM e GROUP BY src) o ON n.id = o.src
 LEFT JOIN (SELECT dst, count(*) AS c FROM e GROUP BY dst) i ON n.id = i.dst"""
 
-_DESC = """SELECT '{k}' AS kind, CAST(count(*) AS BIGINT) AS count, avg(c) AS mean, stddev_samp(c) AS std,
-  CAST(min(c) AS BIGINT) AS min, quantile_cont(c, 0.25) AS p25, quantile_cont(c, 0.5) AS p50,
-  quantile_cont(c, 0.75) AS p75, CAST(max(c) AS BIGINT) AS max
+_DESC = """SELECT '{k}' AS kind, CAST(count(*) AS BIGINT) AS count, round(avg(c), 6) AS mean,
+  round(stddev_samp(c), 6) AS std, CAST(min(c) AS BIGINT) AS min, round(quantile_cont(c, 0.25), 6) AS p25,
+  round(quantile_cont(c, 0.5), 6) AS p50, round(quantile_cont(c, 0.75), 6) AS p75, CAST(max(c) AS BIGINT) AS max
 FROM (SELECT {col}, CAST(count(*) AS DOUBLE) AS c FROM e GROUP BY {col})"""
 SQL["a46_degree_summary"] = with_(EDGES) + _DESC.format(k="out", col="src") + "\nUNION ALL\n" + _DESC.format(k="in", col="dst")
 

@@ -34,6 +34,15 @@ ACTION_WINDOWS = (
 WIDEST = ORDER_WINDOWS.features[-1]
 
 
+CHECK_DECIMALS = 6  # DOUBLE results of the checked queries are rounded to this many places
+
+
+def rounded(df: DataFrame, places: int = CHECK_DECIMALS) -> DataFrame:
+    """Round every DOUBLE column (results compared across engines whose float sums differ in the last bits)."""
+    return df.select(*[F.round(F.col(f"`{f.name}`"), places).alias(f.name) if f.dataType.simpleString() == "double"
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def query(name: str):
     def deco(fn):
         QUERIES[name] = fn
@@ -58,7 +67,7 @@ def x2_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2 refactored (A1-A25, A27, A28): order features of the 1/3/6-month windows."""
     b = retail.retail_from_testdata(spark, sf_dir)
     f = features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features)
-    return features.anchor(_users(b), f)
+    return rounded(features.anchor(_users(b), f))
 
 
 @query("x2_baseline_order_features")
@@ -66,7 +75,7 @@ def x2_baseline_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2 baseline (A1-A26, A28) over the enriched order lines."""
     b = retail.retail_from_testdata(spark, sf_dir)
     f = features.baseline_order_features(enrich.enrich_orders(b), ORDER_WINDOWS.features)
-    return features.anchor(_users(b), f)
+    return rounded(features.anchor(_users(b), f))
 
 
 @query("x3_action_features")
@@ -93,7 +102,7 @@ def x4_action_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = enrich.sku_category(b.sku)
     f = pairs.refactored_action_order_features(pa.join(cat, "sku_id", "left"), po.join(cat, "sku_id", "left"),
                                                ORDER_WINDOWS.features)
-    return features.anchor(_users(b), f)
+    return rounded(features.anchor(_users(b), f))
 
 
 @query("x4_baseline_action_order_gap")
@@ -102,7 +111,7 @@ def x4_baseline_action_order_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = retail.retail_from_testdata(spark, sf_dir)
     pa, po = retail.pair_sources_from_testdata(spark, sf_dir)
     f = pairs.baseline_action_order_features(pa, po, ORDER_WINDOWS.features)
-    return features.anchor(_users(b), f)
+    return rounded(features.anchor(_users(b), f))
 
 
 LABEL = ORDER_WINDOWS  # label window: 2001-02-01 .. 2001-02-28
@@ -235,7 +244,7 @@ def x8_regularity_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features.user_window_agg(enrich.enrich_orders(b), specs, ORDER_WINDOWS.features,
                                  features._group_preds(), "o_date")
     f = features.anchor(_users(b), f)
-    return f.select("user_id", ranking.regularity_weight(f).alias("weight"))
+    return rounded(f.select("user_id", ranking.regularity_weight(f).alias("weight")))
 
 
 @query("x9_submission_baseline")
@@ -260,7 +269,7 @@ def x10_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = retail.retail_from_testdata(spark, sf_dir)
     truth = labels.ground_truth(b.order, LABEL.label_begin, LABEL.label_end)
     pred = ranking.submission_refactored(_order_count_prediction(b), LABEL.label_begin, TOP_N)
-    return scoring.score(truth, pred)
+    return rounded(scoring.score(truth, pred))
 
 
 PR_FIXED_ITER = 10  # fixed iteration count of the SQL-checked PageRank query
@@ -313,7 +322,7 @@ def a45_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("a46_degree_summary")
 def a46_degree_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """describe() of out-degrees (sources) and in-degrees (targets)."""
-    return graph.degree_summary(_edges(spark, sf_dir))
+    return rounded(graph.degree_summary(_edges(spark, sf_dir)))
 
 
 @query("a47_degree_histogram")
@@ -422,16 +431,16 @@ def c_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x5_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 refactored: user attributes + action, order and action-order features of 1/3/6 windows."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    return pipeline.build_features(b, ORDER_WINDOWS.features, ACTION_WINDOWS,
-                                   retail.pair_sources_from_testdata(spark, sf_dir))
+    return rounded(pipeline.build_features(b, ORDER_WINDOWS.features, ACTION_WINDOWS,
+                                   retail.pair_sources_from_testdata(spark, sf_dir)))
 
 
 @query("x5_baseline_features")
 def x5_baseline_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 baseline: user attributes + labels + OM/AM/GM features."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    return pipeline.build_baseline_features(b, ORDER_WINDOWS.features, LABEL.label_begin, LABEL.label_end,
-                                            ACTION_WINDOWS, True, retail.pair_sources_from_testdata(spark, sf_dir))
+    return rounded(pipeline.build_baseline_features(b, ORDER_WINDOWS.features, LABEL.label_begin, LABEL.label_end,
+                                            ACTION_WINDOWS, True, retail.pair_sources_from_testdata(spark, sf_dir)))
 
 
 TRAIN_WINDOWS = feature_windows(date(2001, 1, 1))  # train: features to 2000-12-31, labels of January 2001
@@ -457,7 +466,7 @@ def _ml_frames(spark, sf_dir):
 def m3_prepare_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: sentinel-filled feature matrix with missing indicators (order features)."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    f = features.anchor(_users(b), features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features))
+    f = rounded(features.anchor(_users(b), features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features)))
     return models.prepare_matrix(f, [c for c in f.columns if c != "user_id"])
 
 
