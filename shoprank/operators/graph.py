@@ -2,9 +2,9 @@
 
 PageRank is an iterative join + aggregate: each iteration joins the rank of
 every source with its out-edges (edges kept partitioned by source), sums the
-shares per target, and adds the dangling mass and the teleport term. One
-small aggregate per iteration brings the next dangling mass and the
-convergence test to the driver (two numbers). Every iteration's ranks are
+shares per target, and adds the dangling mass and the teleport term. The next dangling
+mass and the convergence test are observed metrics of the iteration's
+write (two numbers to the driver, no extra job). Every iteration's ranks are
 written with a reliable ``checkpoint()`` to the session's checkpoint folder,
 which cuts the lineage and lets a lost executor be recovered from the last
 written iteration instead of replaying all of them.
@@ -12,7 +12,9 @@ written iteration instead of replaying all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.mathx import within_tolerance
@@ -155,11 +157,16 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
             new = ranks.join(contrib, ranks.id == contrib.dst, "left").select(
                 "id", "deg", "nsalt", F.col("rank").alias("old"),
                 (F.lit(p) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(dangling / n)) + F.lit((1 - p) / n)).alias("rank"),
-            ).checkpoint()
-            stats = new.agg(
+            )
+            # The next dangling mass and the convergence test are observed while
+            # the iteration is written: one job per iteration, two numbers back.
+            obs = Observation(f"pagerank_{uuid.uuid4().hex}")
+            new = new.observe(
+                obs,
                 F.sum(F.when(F.col("deg").isNull(), F.col("rank"))).alias("dangling"),
                 F.sum(F.when(~within_tolerance(F.col("rank"), F.col("old"), rtol or 0.0, atol), 1)).alias("bad"),
-            ).first()
+            ).checkpoint()
+            stats = obs.get
             dangling = stats["dangling"] or 0.0
             ranks = new.select("id", "deg", "nsalt", "rank")
             if rtol is not None and not stats["bad"]:
