@@ -19,7 +19,7 @@ from .user_agg import Agg, user_window_agg
 G = "30_101"
 
 
-def _group_preds(cate: str = "cate") -> dict[str, Column]:
+def group_predicates(cate: str = "cate") -> dict[str, Column]:
     return {name: g.predicate for name, g in cate_groups(cate).items() if name != "all"}
 
 
@@ -62,7 +62,7 @@ def refactored_order_specs(windows: tuple[Win, ...]) -> list[Agg]:
 
 def refactored_order_features(order_fact: DataFrame, windows: tuple[Win, ...]) -> DataFrame:
     """X2 (refactored): order features of every window from one scan of ``order_fact``."""
-    preds = _group_preds()
+    preds = group_predicates()
     preds["30_101_rated"] = preds[G] & score_rated()
     preds["30_101_good"] = preds[G] & score_good()
     return user_window_agg(order_fact, refactored_order_specs(windows), windows, preds, "o_date")
@@ -86,7 +86,7 @@ def refactored_action_specs(windows: tuple[Win, ...]) -> list[Agg]:
 
 def refactored_action_features(action_fact: DataFrame, windows: tuple[Win, ...]) -> DataFrame:
     """X3 (refactored): action features of every window from one scan."""
-    return user_window_agg(action_fact, refactored_action_specs(windows), windows, _group_preds(), "a_date")
+    return user_window_agg(action_fact, refactored_action_specs(windows), windows, group_predicates(), "a_date")
 
 
 def baseline_order_specs(windows: tuple[Win, ...]) -> list[Agg]:
@@ -130,7 +130,7 @@ def baseline_order_specs(windows: tuple[Win, ...]) -> list[Agg]:
 
 def baseline_order_features(enriched_orders: DataFrame, windows: tuple[Win, ...]) -> DataFrame:
     """X2 (baseline): features of the enriched order lines (J1 output)."""
-    preds = _group_preds()
+    preds = group_predicates()
     preds["30_101_good"] = preds[G] & score_good()
     return user_window_agg(enriched_orders, baseline_order_specs(windows), windows, preds, "o_date")
 
@@ -152,13 +152,13 @@ def baseline_action_specs(windows: tuple[Win, ...]) -> list[Agg]:
 
 def baseline_action_features(enriched_actions: DataFrame, windows: tuple[Win, ...]) -> DataFrame:
     """X3 (baseline): features of the enriched actions (J2 output)."""
-    return user_window_agg(enriched_actions, baseline_action_specs(windows), windows, _group_preds(), "a_date")
+    return user_window_agg(enriched_actions, baseline_action_specs(windows), windows, group_predicates(), "a_date")
 
 
 def target_order_count(order_fact: DataFrame, window: Win) -> DataFrame:
     """Step-1 slice: distinct target-group orders per user in one window (A1)."""
     spec = [Agg("order_count_30_101", "nunique", "o_id", G, window.label)]
-    return user_window_agg(order_fact, spec, (window,), _group_preds(), "o_date")
+    return user_window_agg(order_fact, spec, (window,), group_predicates(), "o_date")
 
 
 def anchor(users: DataFrame, *parts: DataFrame, key: str = "user_id") -> DataFrame:

@@ -207,7 +207,7 @@ def u2_align_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_count_prediction(b) -> DataFrame:
     """A stand-in prediction: last-6-month target orders and first order day."""
     specs = [Agg("order_num", "nunique", "o_id", "30_101", "6"), Agg("pred_date", "min", "o_day", "30_101", "6")]
-    f = features.user_window_agg(enrich.order_fact(b), specs, (WIDEST,), features._group_preds(), "o_date")
+    f = features.user_window_agg(enrich.order_fact(b), specs, (WIDEST,), features.group_predicates(), "o_date")
     return f.where(F.col("order_num").isNotNull())
 
 
@@ -230,7 +230,7 @@ def _baseline_prediction(b) -> DataFrame:
              for w in ORDER_WINDOWS.features]
     specs += [Agg("cnt6", "nunique", "o_id", "30_101", "6"), Agg("first6", "min", "day", "30_101", "6")]
     f = features.user_window_agg(enrich.enrich_orders(b), specs, ORDER_WINDOWS.features,
-                                 features._group_preds(), "o_date")
+                                 features.group_predicates(), "o_date")
     return f.select("user_id", (F.col("cnt6") * ranking.regularity_weight(f)).alias("Label_30_101_BuyNum"),
                     F.col("first6").alias("Label_30_101_FirstTime"))
 
@@ -242,7 +242,7 @@ def x8_regularity_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [Agg(f"OM{w.label}_o_date_cate_30_101_gap_var", "gap_std", "o_date", "30_101", w.label)
              for w in ORDER_WINDOWS.features]
     f = features.user_window_agg(enrich.enrich_orders(b), specs, ORDER_WINDOWS.features,
-                                 features._group_preds(), "o_date")
+                                 features.group_predicates(), "o_date")
     f = features.anchor(_users(b), f)
     return rounded(f.select("user_id", ranking.regularity_weight(f).alias("weight")))
 

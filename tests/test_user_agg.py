@@ -18,7 +18,7 @@ def _rows(spark, rows):
 
 
 def _run(df, specs, wins=(W1, W3)):
-    preds = features._group_preds()
+    preds = features.group_predicates()
     return {r["user_id"]: r.asDict() for r in user_window_agg(df, specs, wins, preds, "o_date").collect()}
 
 
