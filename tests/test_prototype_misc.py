@@ -84,3 +84,27 @@ def test_score_and_ranks_are_bounded(spark):
     assert all(0.0 <= r[k] <= 1.0 for k in ("s1", "s2", "s"))
     pr = C.QUERIES["x14_pagerank_converged"](spark, "/root/testdata/sf0.001")
     assert abs(pr.agg(F.sum("rank")).first()[0] - 1.0) < 1e-9
+
+
+def test_floored_day_difference(spark):
+    from datetime import datetime
+
+    from shoprank.functions.dates import floor_days_between_ts
+    df = spark.createDataFrame([(datetime(2017, 5, 1, 12, 0), datetime(2017, 5, 3, 0, 0))],
+                               "p timestamp_ntz, t timestamp_ntz")
+    assert df.select(floor_days_between_ts("p", "t").alias("d")).first()["d"] == -2
+
+
+def test_user_without_orders_has_null_features_and_zero_labels(spark):
+    from shoprank.operators import enrich, labels
+    from shoprank.plans import catalog as C
+    from shoprank.sources import retail
+    b = retail.retail_from_testdata(spark, "/root/testdata/sf0.001")
+    extra = spark.createDataFrame([(10 ** 9, 1, 1, 1)], "user_id long, age int, sex int, user_lv_cd int")
+    users = b.user.unionByName(extra)
+    of = enrich.order_fact(b)
+    f = features.anchor(users.select("user_id"), features.refactored_order_features(of, C.ORDER_WINDOWS.features))
+    row = f.where(F.col("user_id") == 10 ** 9).first().asDict()
+    assert all(v is None for k, v in row.items() if k != "user_id")
+    lab = labels.build_labels(users, of, C.LABEL.label_begin, C.LABEL.label_end).where(F.col("user_id") == 10 ** 9).first()
+    assert (lab["order_num"], lab["pred_date"], lab["has_order"]) == (0, 0, False)
