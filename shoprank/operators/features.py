@@ -174,7 +174,7 @@ def order_columns_like_reference(df: DataFrame, first: list[str], groups: list[l
     cols = list(first)
     for g in groups:
         cols += [c for c in g if c not in cols]
-    return df.select(*[F.col(c) for c in cols])
+    return df.selectExpr(*[f"`{c}`" for c in cols])
 
 
 def successive_gaps(fact: DataFrame, date_col: str, where: Column | None = None, key: str = "user_id") -> DataFrame:

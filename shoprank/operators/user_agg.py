@@ -81,6 +81,7 @@ def user_window_agg(
     """
     wins = {w.label: w for w in windows}
     preds = {"all": F.lit(True), **preds}
+    fact_types = {f.name: f.dataType.simpleString() for f in fact.schema.fields}
     for s in specs:
         if s.kind not in KINDS:
             raise ValueError(f"unknown aggregate kind {s.kind}")
@@ -246,7 +247,7 @@ def user_window_agg(
             slot = f"mc{slots[(c, sp.where, sp.win)]}"
             cand = f"t = {tag_of[c]} AND {slot} > 0"
             mo = need(f"MO_{k}_{c}", f"max_by(CASE WHEN {cand} THEN kv END, CASE WHEN {cand} THEN struct({slot}, -kv) END)")
-            val = f"CAST({mo} AS {fact.schema[c].dataType.simpleString()})"
+            val = f"CAST({mo} AS {fact_types[c]})"
         elif sp.kind == "gap_mean":
             mn = need(f"DMN_{k}", f"min(CASE WHEN {present(sp.where, sp.win)} THEN kv END)")
             mx = need(f"DMX_{k}", f"max(CASE WHEN {present(sp.where, sp.win)} THEN kv END)")

@@ -39,8 +39,8 @@ CHECK_DECIMALS = 6  # DOUBLE results of the checked queries are rounded to this
 
 def rounded(df: DataFrame, places: int = CHECK_DECIMALS) -> DataFrame:
     """Round every DOUBLE column (results compared across engines whose float sums differ in the last bits)."""
-    return df.select(*[F.round(F.col(f"`{f.name}`"), places).alias(f.name) if f.dataType.simpleString() == "double"
-                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+    return df.selectExpr(*[f"round(`{f.name}`, {places}) AS `{f.name}`" if f.dataType.simpleString() == "double"
+                           else f"`{f.name}`" for f in df.schema.fields])
 
 
 def query(name: str):
