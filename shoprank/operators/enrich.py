@@ -93,6 +93,15 @@ def order_fact(b: RetailBundle) -> DataFrame:
                     "score_level", "o_month", "o_day", "o_total_price")
 
 
+def order_with_category(b: RetailBundle) -> DataFrame:
+    """J3 only: order lines with their category.
+
+    Enough for labels (distinct orders, first day), which no row fan-out of
+    the score or price joins can change; it saves those two joins.
+    """
+    return b.order.join(sku_category(b.sku), "sku_id", "left")
+
+
 def action_fact(b: RetailBundle) -> DataFrame:
     """Action fact of the refactored pipeline (J3, F11): action + cate + month/day."""
     a = b.action.join(sku_category(b.sku), "sku_id", "left")

@@ -125,7 +125,7 @@ BASELINE_CAP = date(2001, 2, 14)
 def x6_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6 refactored: order_num (A40), pred_date (A41), has_order (D10), 0-filled, per user."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    return labels.build_labels(b.user, enrich.order_fact(b), LABEL.label_begin, LABEL.label_end)
+    return labels.build_labels(b.user, enrich.order_with_category(b), LABEL.label_begin, LABEL.label_end)
 
 
 @query("x6_baseline_labels")
@@ -153,7 +153,7 @@ def a43_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 def u1_stacked_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of three consecutive label months stacked with a cutoff column."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    of = enrich.order_fact(b)
+    of = enrich.order_with_category(b)
     frames = []
     for m in (12, 1, 2):
         w = feature_windows(date(2000 if m == 12 else 2001, m, 1))
@@ -474,7 +474,7 @@ def m3_prepare_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w4_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hash folds (k = 5) and stratified folds on the label."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    y = labels.build_labels(b.user, enrich.order_fact(b), LABEL.label_begin, LABEL.label_end)
+    y = labels.build_labels(b.user, enrich.order_with_category(b), LABEL.label_begin, LABEL.label_end)
     y = models.fold_column(y, 5)
     return models.fold_column(y, 5, stratify="has_order", name="strat_fold")
 

@@ -173,7 +173,7 @@ def holdout_validation(b: RetailBundle, test_label_begin: date, months=(1, 3, 6)
     train_begin = date(test_label_begin.year - (1 if test_label_begin.month == 1 else 0),
                        12 if test_label_begin.month == 1 else test_label_begin.month - 1, 1)
     train_w = feature_windows(train_begin, months)
-    of = enrich.order_fact(b)
+    of = enrich.order_with_category(b)
     train_x = pipeline.build_features(b, train_w.features, action_windows, pair_sources)
     test_x = pipeline.build_features(b, test_w.features, action_windows, pair_sources)
     y = labels.build_labels(b.user, of, train_w.label_begin, train_w.label_end)
