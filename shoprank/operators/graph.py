@@ -122,6 +122,11 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
     out-links are spread over ``salts`` sub-keys (by a hash of the target),
     and only that source's rank share is replicated ``salts`` times, so no
     single task holds all edges of a hub.
+
+    The iterations plan statically (adaptive execution is switched off for
+    the session while they run and restored afterwards) because a
+    checkpoint written under adaptive execution does not keep its hash
+    partitioning; do not run other queries in the same session concurrently.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
