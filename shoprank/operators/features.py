@@ -65,7 +65,8 @@ def refactored_order_features(order_fact: DataFrame, windows: tuple[Win, ...]) -
     preds = group_predicates()
     preds["30_101_rated"] = preds[G] & score_rated()
     preds["30_101_good"] = preds[G] & score_good()
-    return user_window_agg(order_fact, refactored_order_specs(windows), windows, preds, "o_date")
+    return user_window_agg(order_fact, refactored_order_specs(windows), windows, preds, "o_date",
+                           date_parts={"o_month": "month", "o_day": "day"})
 
 
 def refactored_action_specs(windows: tuple[Win, ...]) -> list[Agg]:
@@ -86,7 +87,8 @@ def refactored_action_specs(windows: tuple[Win, ...]) -> list[Agg]:
 
 def refactored_action_features(action_fact: DataFrame, windows: tuple[Win, ...]) -> DataFrame:
     """X3 (refactored): action features of every window from one scan."""
-    return user_window_agg(action_fact, refactored_action_specs(windows), windows, group_predicates(), "a_date")
+    return user_window_agg(action_fact, refactored_action_specs(windows), windows, group_predicates(), "a_date",
+                           date_parts={"a_month": "month", "a_day": "day"})
 
 
 def baseline_order_specs(windows: tuple[Win, ...]) -> list[Agg]:
@@ -132,7 +134,8 @@ def baseline_order_features(enriched_orders: DataFrame, windows: tuple[Win, ...]
     """X2 (baseline): features of the enriched order lines (J1 output)."""
     preds = group_predicates()
     preds["30_101_good"] = preds[G] & score_good()
-    return user_window_agg(enriched_orders, baseline_order_specs(windows), windows, preds, "o_date")
+    return user_window_agg(enriched_orders, baseline_order_specs(windows), windows, preds, "o_date",
+                           date_parts={"month": "month", "day": "day"})
 
 
 def baseline_action_specs(windows: tuple[Win, ...]) -> list[Agg]:
@@ -152,7 +155,8 @@ def baseline_action_specs(windows: tuple[Win, ...]) -> list[Agg]:
 
 def baseline_action_features(enriched_actions: DataFrame, windows: tuple[Win, ...]) -> DataFrame:
     """X3 (baseline): features of the enriched actions (J2 output)."""
-    return user_window_agg(enriched_actions, baseline_action_specs(windows), windows, group_predicates(), "a_date")
+    return user_window_agg(enriched_actions, baseline_action_specs(windows), windows, group_predicates(), "a_date",
+                           date_parts={"month": "month", "day": "day"})
 
 
 def target_order_count(order_fact: DataFrame, window: Win) -> DataFrame:

@@ -71,9 +71,16 @@ def user_window_agg(
     preds: dict[str, Column],
     date_col: str,
     key: str = "user_id",
+    date_parts: dict[str, str] | None = None,
 ) -> DataFrame:
     """Compute ``specs`` per ``key``; returns ``key`` plus one column per spec.
 
+    ``date_parts`` declares columns that are a part of ``date_col``
+    (``{"o_month": "month", "o_day": "day"}``); their distinct counts are
+    read off the date rows as a bit set of month or day numbers instead of
+    needing a tag of their own, which saves one emitted row per input row
+    and part.
+
     ``preds`` maps predicate names used in ``Agg.where`` to row predicates on
     ``fact`` (``"all"`` is implicit). Only users with at least one row in the
     hull of the windows appear; anchor the result on a user table with a left
@@ -98,8 +105,11 @@ def user_window_agg(
     win_names = sorted(wins)
     widx = {w: i for i, w in enumerate(win_names)}
 
+    parts = {c: p for c, p in (date_parts or {}).items() if p in ("month", "day")}
     tag_cols: list[str] = []
     for s in specs:
+        if s.kind == "nunique" and s.col in parts:
+            continue
         if s.kind in ("nunique", "mode") and s.col != date_col and s.col not in tag_cols:
             tag_cols.append(s.col)
     tag_of = {c: i + 1 for i, c in enumerate(tag_cols)}
@@ -234,6 +244,11 @@ def user_window_agg(
             val = need(f"MN_{k}_{c}", f"min(CASE WHEN {in_win(sp.win)} THEN `mn_{pidx[sp.where]}_{c}` END)")
         elif sp.kind == "max":
             val = need(f"MX_{k}_{c}", f"max(CASE WHEN {in_win(sp.win)} THEN `mx_{pidx[sp.where]}_{c}` END)")
+        elif sp.kind == "nunique" and c in parts:
+            fn = "month" if parts[c] == "month" else "dayofmonth"
+            bits_set = need(f"BP_{k}_{c}", f"bit_or(CASE WHEN {present(sp.where, sp.win)} "
+                                           f"THEN shiftleft(1L, {fn}(date_from_unix_date(CAST(kv AS INT)))) END)")
+            val = f"CAST(CASE WHEN {g} THEN coalesce(bit_count({bits_set}), 0) END AS BIGINT)"
         elif sp.kind == "nunique" and c == date_col:
             nd = need(f"ND_{k}", f"count(CASE WHEN {present(sp.where, sp.win)} THEN 1 END)")
             val = f"CAST(CASE WHEN {g} THEN {nd} END AS BIGINT)"
