@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.mathx import within_tolerance
-from ..session import conf_override, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir
 
 # Damping and tolerances of the reference defaults.
 DAMPING = 0.85
@@ -123,31 +123,26 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
     and only that source's rank share is replicated ``salts`` times, so no
     single task holds all edges of a hub.
 
-    The iterations plan statically (adaptive execution is switched off for
-    the session while they run and restored afterwards) because a
-    checkpoint written under adaptive execution does not keep its hash
-    partitioning; do not run other queries in the same session concurrently.
     """
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    ckpt = ensure_checkpoint_dir(spark)
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     links = edges.where(F.col("src") != F.col("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
     outdeg = links.groupBy("src").agg(F.sum("cnt").alias("deg"), F.count(F.lit(1)).alias("fanout"))
     heavy = F.col("fanout") > F.lit(heavy_degree)
     salt = F.when(heavy, F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    # One-time preparation with AQE on (its skew join splits hub sources here).
-    salted = links.join(outdeg, "src").select("src", salt.alias("salt"), "dst", "cnt").checkpoint()
-    nodes = all_nodes(edges).join(outdeg.withColumnRenamed("src", "id"), "id", "left")
-    nodes = nodes.select("id", "deg", F.when(heavy, F.lit(salts)).otherwise(F.lit(1)).alias("nsalt")).checkpoint()
-
-    # Iterations run with static planning: a checkpoint written without AQE
-    # keeps its hash partitioning, so the edges partitioned by (source, salt)
-    # are never shuffled again; only the rank shares (one row per source and
-    # salt) move to them, and the new ranks stay partitioned by node id.
-    with conf_override(spark, {"spark.sql.adaptive.enabled": "false"}):
-        links = salted.repartition(nparts, "src", "salt").checkpoint()
-        nodes = nodes.repartition(nparts, "id").checkpoint()
+    # The salted edges are written once as a table bucketed by (source, salt)
+    # in the checkpoint folder: every iteration's join reads the buckets in
+    # place, so the edges are never shuffled again; only the rank shares (one
+    # row per source and salt) are shuffled to them.
+    table = f"shoprank_pagerank_links_{uuid.uuid4().hex}"
+    (links.join(outdeg, "src").select("src", salt.alias("salt"), "dst", "cnt")
+     .write.bucketBy(nparts, "src", "salt").option("path", f"{ckpt.rstrip('/')}/{table}").saveAsTable(table))
+    try:
+        links = spark.table(table)
+        nodes = all_nodes(edges).join(outdeg.withColumnRenamed("src", "id"), "id", "left")
+        nodes = nodes.select("id", "deg", F.when(heavy, F.lit(salts)).otherwise(F.lit(1)).alias("nsalt")).checkpoint()
         n = nodes.count()
         if n == 0:
             return nodes.select("id", F.lit(0.0).alias("rank"))
@@ -176,6 +171,8 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
             ranks = new.select("id", "deg", "nsalt", "rank")
             if rtol is not None and not stats["bad"]:
                 break
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the catalog entry only; files stay with the checkpoints
     return ranks.select("id", "rank")
 
 

@@ -49,25 +49,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def bench_cpus() -> str:
     return os.environ.get("BENCH_CPUS", "8")
 
-
-class conf_override:
-    """Temporarily set session configs, restoring the previous values on exit."""
-
-    def __init__(self, spark: SparkSession, settings: dict[str, str]):
-        self.spark = spark
-        self.settings = settings
-        self.saved: dict[str, str | None] = {}
-
-    def __enter__(self):
-        for k, v in self.settings.items():
-            self.saved[k] = self.spark.conf.get(k, None)
-            self.spark.conf.set(k, v)
-        return self
-
-    def __exit__(self, *exc):
-        for k, v in self.saved.items():
-            if v is None:
-                self.spark.conf.unset(k)
-            else:
-                self.spark.conf.set(k, v)
-        return False
