@@ -152,7 +152,9 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
             share = ranks.where(F.col("deg").isNotNull()).select(
                 F.col("id").alias("src"), (F.col("rank") / F.col("deg")).alias("share"),
                 F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
-            contrib = (links.join(share, ["src", "salt"]).groupBy("dst")
+            # Hash the shares (one row per source and salt) per bucket and stream
+            # the edges through: no sort and no broadcast of the edge table.
+            contrib = (links.join(share.hint("shuffle_hash"), ["src", "salt"]).groupBy("dst")
                        .agg(F.sum(F.col("share") * F.col("cnt")).alias("s")))
             new = ranks.join(contrib, ranks.id == contrib.dst, "left").select(
                 "id", "deg", "nsalt", F.col("rank").alias("old"),
