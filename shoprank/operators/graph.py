@@ -128,7 +128,10 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
     ckpt = ensure_checkpoint_dir(spark)
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    links = edges.where(F.col("src") != F.col("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
+    # One pass over the edge source: parallel edges are counted per pair (self-loops
+    # kept for the node set), and everything below reads this written result.
+    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt")).checkpoint()
+    links = pairs.where(F.col("src") != F.col("dst"))
     outdeg = links.groupBy("src").agg(F.sum("cnt").alias("deg"), F.count(F.lit(1)).alias("fanout"))
     heavy = F.col("fanout") > F.lit(heavy_degree)
     salt = F.when(heavy, F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
@@ -141,7 +144,7 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
      .write.bucketBy(nparts, "src", "salt").option("path", f"{ckpt.rstrip('/')}/{table}").saveAsTable(table))
     try:
         links = spark.table(table)
-        nodes = all_nodes(edges).join(outdeg.withColumnRenamed("src", "id"), "id", "left")
+        nodes = all_nodes(pairs).join(outdeg.withColumnRenamed("src", "id"), "id", "left")
         nodes = nodes.select("id", "deg", F.when(heavy, F.lit(salts)).otherwise(F.lit(1)).alias("nsalt")).checkpoint()
         n = nodes.count()
         if n == 0:
