@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from ..plans.windows import Win
 
 EPOCH = date(1970, 1, 1)
+INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 KINDS = {"rows", "count", "sum", "min", "max", "mean", "nunique", "mode", "gap_mean", "gap_std"}
 
 
@@ -96,6 +97,8 @@ def user_window_agg(
             raise ValueError(f"unknown window {s.win!r} in {s.name}")
         if s.where not in preds:
             raise ValueError(f"unknown predicate {s.where!r} in {s.name}")
+        if s.kind in ("mode", "nunique") and s.col != date_col and fact_types.get(s.col) not in INTEGRAL:
+            raise ValueError(f"{s.kind} of {s.col} needs an integral column (it keys level-1 rows)")
     lo = min(w.begin for w in windows)
     hi = max(w.end for w in windows)
     wb = {w.label: (_epoch_days(w.begin), _epoch_days(w.end)) for w in windows}
