@@ -6,7 +6,11 @@ of ``10 / (10 + d^2)`` divided by the truth size, ``d`` the day difference;
 ``S = alpha * S1 + (1 - alpha) * S2``.
 
 One full outer join of truth and prediction on ``user_id`` (users are unique
-on both sides) feeds one aggregation, so every term comes from one pass.
+on both sides) feeds one aggregation, so every term comes from one pass and
+the prediction list — the end of a long feature/model pipeline — is
+computed once. (A broadcast left join plus a scalar subquery for the S1
+denominator would avoid shuffling the truth, but the subquery re-runs the
+whole pipeline that produced the list.)
 """
 
 from __future__ import annotations
