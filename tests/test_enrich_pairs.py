@@ -85,3 +85,17 @@ def test_same_day_pair_kept_only_when_not_strict(spark):
     o = spark.createDataFrame([(1, 1, d)], "user_id long, sku_id long, o_date date")
     assert pairs.action_order_gap(a, o, w, {"1": "g"}, strict=False).first()["g"] == 0.0
     assert pairs.action_order_gap(a, o, w, {"1": "g"}, strict=True).first()["g"] is None
+
+
+def test_quintile_edges_match_linear_quantiles(spark):
+    import numpy as np
+
+    rnd = random.Random(11)
+    vals = [float(rnd.choice([rnd.randint(0, 30), rnd.uniform(0, 100)])) for _ in range(137)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    edges = df.select(enrich.quintile_edges(df, "v").alias("e")).first()["e"]
+    want = np.quantile(np.array(vals), [0, 0.2, 0.4, 0.6, 0.8, 1.0])
+    assert np.allclose(edges, want, rtol=0, atol=1e-9)
+    got = {r["v"]: r["b"] for r in df.select("v", enrich.quintile_band(F.col("v"), enrich.quintile_edges(df, "v")).alias("b")).collect()}
+    for v in vals:
+        assert got[v] == next(i for i in range(5) if v <= want[i + 1] or i == 4)
