@@ -91,6 +91,7 @@ def train_predict_two_target(train: DataFrame, test: DataFrame, cols: list[str],
     m_count = _gbt("_y", **gbt).fit(tr_count)
     tr_date = tr.where(F.col(date_only_buyers)) if date_only_buyers else tr
     m_date = _gbt(date_label, **gbt).fit(tr_date.withColumn(date_label, F.col(date_label).cast("double")))
+    tr.unpersist()  # the predictions below read only the test rows
     p1 = m_count.transform(te).select("user_id", F.col("prediction").alias(count_label))
     p2 = m_date.transform(te).select("user_id", F.col("prediction").alias(date_label))
     return p1.join(p2, "user_id"), {count_label: m_count, date_label: m_date, "columns": mcols}
@@ -153,6 +154,7 @@ def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_c
         m = rf.fit(tr.withColumn("_y", (F.col(lab) + 1).cast("double")))
         p = m.transform(te).select("user_id", (F.col("prediction") - 1).cast("long").alias(lab))
         out = out.join(p, "user_id")
+    tr.unpersist()
     return out
 
 
