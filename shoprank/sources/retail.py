@@ -15,13 +15,14 @@ from ..schema import (
     RetailBundle,
 )
 
-# File names of the five retail tables.
+# Base names of the five retail tables' CSV files (a common
+# prefix, if the files carry one, is passed to ``read_retail_csv``).
 RETAIL_FILES = {
-    "sku": "jdata_sku_basic_info.csv",
-    "action": "jdata_user_action.csv",
-    "user": "jdata_user_basic_info.csv",
-    "comment": "jdata_user_comment_score.csv",
-    "order": "jdata_user_order.csv",
+    "sku": "sku_basic_info.csv",
+    "action": "user_action.csv",
+    "user": "user_basic_info.csv",
+    "comment": "user_comment_score.csv",
+    "order": "user_order.csv",
 }
 
 _SCHEMAS = {
@@ -51,8 +52,8 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(cols)
 
 
-def read_retail_csv(spark: SparkSession, directory: str) -> RetailBundle:
-    """S1 + S2: read the five headered CSV files.
+def read_retail_csv(spark: SparkSession, directory: str, prefix: str = "") -> RetailBundle:
+    """S1 + S2: read the five headered CSV files ``<prefix><base name>``.
 
     Column order of the files is not fixed, so each file is read with its
     header as strings (no schema inference pass) and columns are selected by
@@ -60,7 +61,8 @@ def read_retail_csv(spark: SparkSession, directory: str) -> RetailBundle:
     """
     frames = {}
     for key, fname in RETAIL_FILES.items():
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(f"{directory.rstrip('/')}/{fname}")
+        path = f"{directory.rstrip('/')}/{prefix}{fname}"
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
         frames[key] = _typed(raw, _SCHEMAS[key])
     return RetailBundle(**frames)
 
