@@ -126,7 +126,10 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
     """
     spark = edges.sparkSession
     ckpt = ensure_checkpoint_dir(spark)
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+        partitions = int(conf) if conf.isdigit() else spark.sparkContext.defaultParallelism
+    nparts = partitions
 
     # One pass over the edge source: parallel edges are counted per pair (self-loops
     # kept for the node set), and everything below reads this written result.
