@@ -5,12 +5,13 @@ positions ``i`` and ``o_i`` = the user is in the truth; ``S2`` = sum over hits
 of ``10 / (10 + d^2)`` divided by the truth size, ``d`` the day difference;
 ``S = alpha * S1 + (1 - alpha) * S2``.
 
-One full outer join of truth and prediction on ``user_id`` (users are unique
-on both sides) feeds one aggregation, so every term comes from one pass and
-the prediction list — the end of a long feature/model pipeline — is
-computed once. (A broadcast left join plus a scalar subquery for the S1
-denominator would avoid shuffling the truth, but the subquery re-runs the
-whole pipeline that produced the list.)
+The prediction list (the end of a long feature/model pipeline) is written
+once with ``checkpoint()`` and counted. When it has at most
+``broadcast_rows`` rows — a submission is cut to its top n — it is
+broadcast to a left join with the truth (every buyer of the month), so the
+truth is never shuffled, and the S1 denominator is summed on the small list.
+Beyond that size, one full outer join on ``user_id`` feeds one aggregation.
+Users are unique on both sides.
 """
 
 from __future__ import annotations
@@ -19,28 +20,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.mathx import date_closeness, rank_weight
+from ..session import ensure_checkpoint_dir
 
 ALPHA = 0.4  # fixed value: weight of S1 in the blend
 
 
-def score(truth: DataFrame, pred: DataFrame, alpha: float = ALPHA) -> DataFrame:
+def score(truth: DataFrame, pred: DataFrame, alpha: float = ALPHA, broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row ``(s1, s2, s)``.
 
     ``truth``: ``user_id, order_date``; ``pred``: ``user_id, pred_date, rank``
     with 1-based ranks (S1 is normalised by the list's own length).
     """
+    ensure_checkpoint_dir(pred.sparkSession)
+    p = pred.select("user_id", "pred_date", "rank", F.lit(1).alias("_p")).checkpoint()
     t = truth.select("user_id", "order_date", F.lit(1).alias("_t"))
-    p = pred.select("user_id", "pred_date", "rank", F.lit(1).alias("_p"))
-    j = t.join(p, "user_id", "full_outer")
-    w = F.when(F.col("_p").isNotNull(), rank_weight(F.col("rank")))
-    hit = F.col("_p").isNotNull() & F.col("_t").isNotNull()  # J12 membership / J13 hit
+    w = rank_weight(F.col("rank"))
     days = F.datediff(F.col("pred_date"), F.col("order_date"))
+    hit = F.col("_p").isNotNull() & F.col("_t").isNotNull()  # J12 membership / J13 hit
+    if p.count() <= broadcast_rows:
+        sw = F.lit(p.agg(F.sum(w)).first()[0] or 0.0)
+        j = t.join(F.broadcast(p), "user_id", "left")
+    else:
+        sw = F.col("sw")
+        j = t.join(p, "user_id", "full_outer")
     agg = j.agg(
         F.sum(F.when(hit, w).otherwise(F.lit(0.0))).alias("sw_hit"),
-        F.sum(w).alias("sw"),
+        F.sum(F.when(F.col("_p").isNotNull(), w)).alias("sw"),
         F.sum(F.when(hit, date_closeness(days)).otherwise(F.lit(0.0))).alias("sfu"),
         F.count(F.col("_t")).alias("n_truth"),
     )
-    s1 = F.coalesce(F.col("sw_hit") / F.col("sw"), F.lit(0.0))
+    s1 = F.coalesce(F.col("sw_hit") / sw, F.lit(0.0))
     s2 = F.coalesce(F.col("sfu") / F.col("n_truth"), F.lit(0.0))
     return agg.select(s1.alias("s1"), s2.alias("s2"), (F.lit(alpha) * s1 + F.lit(1 - alpha) * s2).alias("s"))

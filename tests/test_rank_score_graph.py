@@ -90,3 +90,12 @@ def test_pagerank_salted_hub_matches_unsalted(spark):
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
     assert abs(sum(b.values()) - 1) < 1e-9
+
+
+def test_score_broadcast_and_fallback_paths_agree(spark):
+    d0 = date(2017, 5, 3)
+    truth = spark.createDataFrame([(1, d0), (2, d0), (3, date(2017, 5, 9))], "user_id long, order_date date")
+    pred = spark.createDataFrame([(1, date(2017, 5, 4), 1), (9, d0, 2), (3, d0, 3)], "user_id long, pred_date date, rank long")
+    a = scoring.score(truth, pred).first()
+    b = scoring.score(truth, pred, broadcast_rows=0).first()
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in ("s1", "s2", "s"))
