@@ -238,7 +238,7 @@ DEG = """deg AS (SELECT id, sum(o) AS out_deg, sum(i) AS in_deg FROM (
   SELECT src AS id, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst AS id, 0 AS o, 1 AS i FROM e) GROUP BY id)"""
 
 
-def _pagerank_sql(iters: int) -> str:
+def _pagerank_sql(iters: int, places: int = 10) -> str:
     ctes = [EDGES,
             "links AS (SELECT src, dst, count(*) AS cnt FROM e WHERE src <> dst GROUP BY src, dst)",
             "od AS (SELECT src, sum(cnt) AS deg FROM links GROUP BY src)",
@@ -254,13 +254,16 @@ def _pagerank_sql(iters: int) -> str:
             f"+ 0.15 / (SELECT n FROM nn) AS rank FROM {prev} r LEFT JOIN ("
             f"SELECT l.dst, sum(p.rank / p.deg * l.cnt) AS s FROM links l JOIN {prev} p ON l.src = p.id "
             f"GROUP BY l.dst) c ON r.id = c.dst)")
-    return with_(*ctes) + f"SELECT id, round(rank, 10) AS rank FROM r{iters}"
+    return with_(*ctes) + f"SELECT id, round(rank, {places}) AS rank FROM r{iters}"
 
 
 SQL["x14_pagerank"] = _pagerank_sql(C.PR_FIXED_ITER)
-SQL["k2_top100_ranks"] = ("SELECT id, rank, row_number() OVER (ORDER BY rank DESC, id) AS pos FROM ("
-                          + SQL["x14_pagerank"] + ") ORDER BY rank DESC, id LIMIT 100")
-SQL["x15_rank_of"] = f"SELECT id, rank FROM ({SQL['x14_pagerank']}) WHERE id = {C.RANK_NODE}"
+# Converged ranks: 60 updates leave less than 0.85 ** 60 of the first error, and 6 places are compared.
+_CONVERGED = _pagerank_sql(60, 17)
+SQL["x14_pagerank_converged"] = f"SELECT id, round(rank, 6) AS rank FROM ({_CONVERGED})"
+SQL["k2_top100_ranks"] = ("SELECT id, round(rank, 6) AS rank, row_number() OVER (ORDER BY rank DESC, id) AS pos FROM ("
+                          + _CONVERGED + ") ORDER BY pos LIMIT 100")
+SQL["x15_rank_of"] = f"SELECT id, round(rank, 6) AS rank FROM ({_CONVERGED}) WHERE id = {C.RANK_NODE}"
 
 SQL["a44_graph_counts"] = with_(EDGES) + """
 SELECT CAST(count(*) AS BIGINT) AS n_edges,
@@ -290,6 +293,25 @@ UNION ALL
 SELECT 'in' AS kind, CAST(c AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n
 FROM (SELECT dst, count(*) AS c FROM e GROUP BY dst) WHERE c < 200 GROUP BY c"""
 
+SQL["a47_degree_histogram_full"] = with_(EDGES) + """
+SELECT 'out' AS kind, CAST(c AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT src, count(*) AS c FROM e GROUP BY src) GROUP BY c
+UNION ALL
+SELECT 'in' AS kind, CAST(c AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT dst, count(*) AS c FROM e GROUP BY dst) GROUP BY c"""
+
+
+def _melt(sql: str, section: str, kind: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{section}' AS section, {kind} AS kind, '{c}' AS key, CAST({c} AS DOUBLE) AS value FROM ({sql})" for c in cols)
+
+
+SQL["x16_graph_profile"] = "\nUNION ALL\n".join([
+    _melt(SQL["a44_graph_counts"], "counts", "'all'", ["n_edges", "n_sources", "n_targets", "n_nodes", "n_dead_ends", "n_dead_starts"]),
+    _melt(SQL["a46_degree_summary"], "summary", "kind", ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]),
+    "SELECT 'histogram' AS section, kind, CAST(bucket AS VARCHAR) AS key, CAST(n AS DOUBLE) AS value FROM ("
+    + SQL["a47_degree_histogram_full"] + ")"])
+
 SQL["u3_all_nodes"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e"
 SQL["u4_dead_ends"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e EXCEPT SELECT src FROM e"
 SQL["u5_dead_starts"] = with_(EDGES) + "SELECT src AS id FROM e UNION SELECT dst FROM e EXCEPT SELECT dst FROM e"

@@ -1,13 +1,13 @@
 """Link analysis on edge lists.
 
 PageRank is an iterative join + aggregate: each iteration joins the rank of
-every source with its out-edges (edges kept partitioned by source), sums the
-shares per target, and adds the dangling mass and the teleport term. The next dangling
-mass and the convergence test are observed metrics of the iteration's
-write (two numbers to the driver, no extra job). Every iteration's ranks are
-written with a reliable ``checkpoint()`` to the session's checkpoint folder,
-which cuts the lineage and lets a lost executor be recovered from the last
-written iteration instead of replaying all of them.
+every source with its out-edges (a bucketed table, never shuffled again), sums
+the shares per target, and adds the dangling mass and the teleport term. The
+next dangling mass and the convergence test are observed metrics of the
+iteration's write (two numbers to the driver, no extra job). Every iteration's
+ranks are written as Parquet to the session's checkpoint folder, which cuts
+the lineage: a lost executor costs the tasks of one iteration. The ranks
+before the last iteration and the edge table are deleted on the way.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.mathx import within_tolerance
-from ..session import ensure_checkpoint_dir
+from ..session import read_back, remove_path, shared_path
 
 # Damping and tolerances of the reference defaults.
 DAMPING = 0.85
@@ -90,7 +90,7 @@ def degree_summary(edges: DataFrame) -> DataFrame:
 
 
 def degree_histogram(edges: DataFrame, width: int = 1, below: dict[str, int] | None = None) -> DataFrame:
-    """``(kind, bucket, n)`` distribution of degrees, optionally cut below a limit per kind."""
+    """``(kind, bucket, n)`` distribution of all degrees; ``below`` cuts it at a limit per kind (for a plot)."""
     deg = degrees(edges)
     rows = deg.select(F.explode(F.array(
         F.struct(F.lit("out").alias("kind"), F.col("out_deg").alias("deg")),
@@ -107,60 +107,59 @@ def degree_histogram(edges: DataFrame, width: int = 1, below: dict[str, int] | N
 
 
 def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, atol: float = ATOL,
-             max_iter: int = 100, partitions: int | None = None, heavy_degree: int = 1_000_000,
-             salts: int = 32) -> DataFrame:
+             max_iter: int = 100, partitions: int | None = None, salt_rows: int = 1_000_000) -> DataFrame:
     """PageRank ``(id, rank)`` of every node; ranks sum to 1.
 
     Self-loops are dropped and not counted in the out-degree; parallel edges
     each carry a share. Nodes without out-weight (dead ends and self-loop-only
     nodes, D12) spread their rank evenly over all nodes. Jacobi update
     ``r' = p * (M r + dangling / N) + (1 - p) / N`` from ``1/N``; stops when
-    every node has ``|r' - r| <= atol + rtol * |r|`` or after ``max_iter``
-    updates (``rtol=None`` runs exactly ``max_iter``).
-
-    Skew: the edges of a source with more than ``heavy_degree`` distinct
-    out-links are spread over ``salts`` sub-keys (by a hash of the target),
-    and only that source's rank share is replicated ``salts`` times, so no
-    single task holds all edges of a hub.
-
+    every node has ``|r' - r| <= atol + rtol * |r|``. Without convergence
+    within ``max_iter`` updates it raises; ``rtol=None`` runs exactly
+    ``max_iter``.
+
+    Skew: a source with more than ``salt_rows`` distinct out-links is spread
+    over ``ceil(links / salt_rows)`` sub-keys by a hash of the target, so no
+    task holds more than about ``salt_rows`` links of a source, and only that
+    source's rank share is repeated. The salt counts of such sources (at most
+    links / ``salt_rows`` rows) are written, so the optimiser knows their size
+    when it joins them to the links; a plain join, which adaptive execution
+    can split at a hub.
     """
     spark = edges.sparkSession
-    ckpt = ensure_checkpoint_dir(spark)
     if partitions is None:
         conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
         partitions = int(conf) if conf.isdigit() else spark.sparkContext.defaultParallelism
-    nparts = partitions
-
-    # One pass over the edge source: parallel edges are counted per pair (self-loops
-    # kept for the node set), and everything below reads this written result.
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt")).checkpoint()
-    links = pairs.where(F.col("src") != F.col("dst"))
-    outdeg = links.groupBy("src").agg(F.sum("cnt").alias("deg"), F.count(F.lit(1)).alias("fanout"))
-    heavy = F.col("fanout") > F.lit(heavy_degree)
-    salt = F.when(heavy, F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    # The salted edges are written once as a table bucketed by (source, salt)
-    # in the checkpoint folder: every iteration's join reads the buckets in
-    # place, so the edges are never shuffled again; only the rank shares (one
-    # row per source and salt) are shuffled to them.
+    paths = {k: shared_path(spark, f"pagerank-{k}") for k in ("pairs", "nodes", "salts", "links")}
     table = f"shoprank_pagerank_links_{uuid.uuid4().hex}"
-    (links.join(outdeg, "src").select("src", salt.alias("salt"), "dst", "cnt")
-     .write.bucketBy(nparts, "src", "salt").option("path", f"{ckpt.rstrip('/')}/{table}").saveAsTable(table))
     try:
-        links = spark.table(table)
-        nodes = all_nodes(pairs).join(outdeg.withColumnRenamed("src", "id"), "id", "left")
-        nodes = nodes.select("id", "deg", F.when(heavy, F.lit(salts)).otherwise(F.lit(1)).alias("nsalt")).checkpoint()
+        # One pass over the edge source: parallel edges are counted per pair
+        # (self-loops kept for the node set), and all below reads this result.
+        pairs = read_back(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt")), paths["pairs"])
+        links = pairs.where(F.col("src") != F.col("dst"))
+        ends = pairs.select(F.explode(F.array(
+            F.struct(F.col("src").alias("id"), F.when(F.col("src") != F.col("dst"), F.col("cnt")).alias("cnt")),
+            F.struct(F.col("dst").alias("id"), F.lit(None).cast("long").alias("cnt")))).alias("e")).select("e.*")
+        nodes = ends.groupBy("id").agg(F.sum("cnt").alias("deg"), F.count("cnt").alias("fanout"))
+        nsalt = F.greatest(F.lit(1), F.ceil(F.col("fanout") / F.lit(salt_rows))).cast("int")
+        nodes = read_back(nodes.select("id", "deg", nsalt.alias("nsalt")), paths["nodes"])
         n = nodes.count()
         if n == 0:
-            return nodes.select("id", F.lit(0.0).alias("rank"))
+            return spark.createDataFrame([], "id long, rank double")
+        salts = read_back(nodes.where(F.col("nsalt") > 1).select(F.col("id").alias("src"), "nsalt"), paths["salts"])
+        salted = links.join(salts, "src", "left").select(
+            "src", F.pmod(F.xxhash64("dst"), F.coalesce("nsalt", F.lit(1))).cast("int").alias("salt"), "dst", "cnt")
+        (salted.repartition(partitions, "src", "salt").write.bucketBy(partitions, "src", "salt").sortBy("src", "salt")
+         .option("path", paths["links"]).saveAsTable(table))
+        links = spark.table(table)
         ranks = nodes.select("id", "deg", "nsalt", F.lit(1.0 / n).alias("rank"))
         dangling = nodes.where(F.col("deg").isNull()).count() / n
+        path, bad = None, 0
         for _ in range(max_iter):
             share = ranks.where(F.col("deg").isNotNull()).select(
                 F.col("id").alias("src"), (F.col("rank") / F.col("deg")).alias("share"),
                 F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
-            # Hash the shares (one row per source and salt) per bucket and stream
-            # the edges through: no sort and no broadcast of the edge table.
-            contrib = (links.join(share.hint("shuffle_hash"), ["src", "salt"]).groupBy("dst")
+            contrib = (links.join(share, ["src", "salt"]).groupBy("dst")
                        .agg(F.sum(F.col("share") * F.col("cnt")).alias("s")))
             new = ranks.join(contrib, ranks.id == contrib.dst, "left").select(
                 "id", "deg", "nsalt", F.col("rank").alias("old"),
@@ -173,15 +172,26 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
                 obs,
                 F.sum(F.when(F.col("deg").isNull(), F.col("rank"))).alias("dangling"),
                 F.sum(F.when(~within_tolerance(F.col("rank"), F.col("old"), rtol or 0.0, atol), 1)).alias("bad"),
-            ).checkpoint()
+            ).drop("old")
+            done = shared_path(spark, "pagerank-ranks")
+            ranks = read_back(new, done)
+            if path:
+                remove_path(spark, path)
+            path = done
             stats = obs.get
-            dangling = stats["dangling"] or 0.0
-            ranks = new.select("id", "deg", "nsalt", "rank")
-            if rtol is not None and not stats["bad"]:
+            dangling, bad = stats["dangling"] or 0.0, stats["bad"]
+            if rtol is not None and not bad:
                 break
+        else:
+            if rtol is not None:
+                raise RuntimeError(f"PageRank: {bad} of {n} nodes are not within tolerance after {max_iter} updates")
+        # the nodes' table is still read where no update was asked for
+        keep = {"nodes"} if path is None else set()
+        for k in paths.keys() - keep:
+            remove_path(spark, paths[k])
+        return ranks.select("id", "rank")
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the catalog entry only; files stay with the checkpoints
-    return ranks.select("id", "rank")
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def top_ranks(ranks: DataFrame, n: int = 100) -> DataFrame:
@@ -198,13 +208,18 @@ def rank_of(ranks: DataFrame, node: int) -> DataFrame:
     return ranks.where(F.col("id") == F.lit(node))
 
 
-def graph_profile(edges: DataFrame) -> dict[str, DataFrame]:
-    """The statistics notebook as DataFrames."""
-    return {
-        "counts": graph_counts(edges),
-        "degrees": degrees(edges),
-        "summary": degree_summary(edges),
-        "histogram": degree_histogram(edges, below={"out": 40, "in": 200}),
-        "dead_ends": dead_ends(edges),
-        "dead_starts": dead_starts(edges),
-    }
+def graph_profile(edges: DataFrame) -> DataFrame:
+    """The whole profile in long form, ``(section, kind, key, value)``.
+
+    Sections: ``counts`` (A44), ``summary`` (A46) and ``histogram`` (A47, all
+    degrees; the key is the degree).
+    """
+    def melt(df: DataFrame, section: str, kind, cols: list[str]) -> DataFrame:
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in cols]))
+        return df.select(F.lit(section).alias("section"), kind.alias("kind"), cells.alias("c")).select("section", "kind", "c.*")
+
+    counts, summary = graph_counts(edges), degree_summary(edges)
+    hist = degree_histogram(edges).select(
+        F.lit("histogram").alias("section"), "kind", F.col("bucket").cast("string").alias("key"), F.col("n").cast("double").alias("value"))
+    return (melt(counts, "counts", F.lit("all"), counts.columns)
+            .unionByName(melt(summary, "summary", F.col("kind"), [c for c in summary.columns if c != "kind"])).unionByName(hist))

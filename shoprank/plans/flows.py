@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_months
-from ..operators import enrich, graph, labels, prototype, ranking, scoring
+from ..operators import enrich, graph, labels, prototype, ranking
 from ..schema import RetailBundle
 from ..sources import sinks
 from . import models, pipeline
@@ -105,8 +105,3 @@ def run_pagerank(edges: DataFrame, ranks_path: str | None = None, top_path: str
     if top_path:
         sinks.write_top_ranks(ranks, top_path, top_n)
     return ranks, graph.top_ranks(ranks, top_n)
-
-
-def evaluate(truth: DataFrame, submission: DataFrame) -> DataFrame:
-    """The scoring step of the validation flow."""
-    return scoring.score(truth, submission)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
@@ -81,81 +81,94 @@ def train_predict_two_target(train: DataFrame, test: DataFrame, cols: list[str],
     ``count_weight`` multiplies the count label (the baseline's regularity
     weight, X8); ``date_only_buyers`` names a boolean column restricting the
     date model to users who bought (baseline, with D10's ``has_order``).
+    Both models score one frame one after the other: no join.
     """
     mcols = matrix_columns(cols)
     # The matrix is read once per boosting round; keep it (recomputable from lineage if lost).
     tr = assemble(prepare_matrix(train, cols), mcols).persist()
-    te = assemble(prepare_matrix(test, cols), mcols)
-    y = F.col(count_label) * F.col(count_weight) if count_weight else F.col(count_label)
-    tr_count = tr.withColumn("_y", y.cast("double"))
-    m_count = _gbt("_y", **gbt).fit(tr_count)
-    tr_date = tr.where(F.col(date_only_buyers)) if date_only_buyers else tr
-    m_date = _gbt(date_label, **gbt).fit(tr_date.withColumn(date_label, F.col(date_label).cast("double")))
-    tr.unpersist()  # the predictions below read only the test rows
-    p1 = m_count.transform(te).select("user_id", F.col("prediction").alias(count_label))
-    p2 = m_date.transform(te).select("user_id", F.col("prediction").alias(date_label))
-    return p1.join(p2, "user_id"), {count_label: m_count, date_label: m_date, "columns": mcols}
+    try:
+        y = F.col(count_label) * F.col(count_weight) if count_weight else F.col(count_label)
+        m_count = _gbt("_y", **gbt).fit(tr.withColumn("_y", y.cast("double")))
+        tr_date = tr.where(F.col(date_only_buyers)) if date_only_buyers else tr
+        m_date = _gbt(date_label, **gbt).fit(tr_date.withColumn(date_label, F.col(date_label).cast("double")))
+    finally:
+        tr.unpersist()  # the predictions below read only the test rows
+    te = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
+    out = _score(_score(te, m_count, count_label), m_date, date_label)
+    return out.drop("features"), {count_label: m_count, date_label: m_date, "columns": mcols}
+
+
+def _score(df: DataFrame, model, name: str) -> DataFrame:
+    """``df`` with the model's prediction as column ``name``."""
+    return model.copy().setPredictionCol(name).transform(df)
 
 
 def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str], label: str, k: int = 5,
                              bags: int = 3, holdout: float = 0.33, **gbt) -> DataFrame:
     """K-fold stacking then bagging with early stopping; returns ``(user_id, prediction)``.
 
-    Stage 1 fits one model per hash fold on the other folds, scores the
-    held-out fold (out-of-fold prediction) and the test rows; the test
-    feature is the mean of the fold models. Stage 2 fits ``bags`` models on
-    random splits with the held-out part as validation set
-    (``validationIndicatorCol``) and averages them.
+    Stage 1 fits one model per hash fold on the other folds, with the
+    held-out fold as its validation set (boosting stops where that no longer
+    improves), and takes its prediction there as the row's stack feature; the
+    test feature is the mean of the fold models. Stage 2 fits ``bags`` models,
+    each with a hash-chosen part as validation set, and averages them.
+    Predictions are added to one frame, without joins.
     """
     mcols = matrix_columns(cols)
     tr = prepare_matrix(train, cols).withColumn(label, F.col(label).cast("double")).persist()
-    te = prepare_matrix(test, cols).persist()
-    if k > 1:
-        tr = fold_column(tr, k)
-        oof_parts, test_parts = [], []
-        for f in range(k):
-            model = _gbt(label, **gbt).fit(assemble(tr.where(F.col("fold") != f), mcols))
-            oof_parts.append(model.transform(assemble(tr.where(F.col("fold") == f), mcols))
-                             .select("user_id", F.col("prediction").alias("stack")))
-            test_parts.append(model.transform(assemble(te, mcols)).select("user_id", F.col("prediction").alias("stack")))
-        oof = oof_parts[0]
-        for x in oof_parts[1:]:
-            oof = oof.unionByName(x)
-        tst = test_parts[0]
-        for x in test_parts[1:]:
-            tst = tst.unionByName(x)
-        tr = tr.join(oof, "user_id")
-        te = te.join(tst.groupBy("user_id").agg(F.avg("stack").alias("stack")), "user_id")
-        mcols = mcols + ["stack"]
-    preds = None
-    for bn in range(bags):
-        val = (F.rand(seed=bn) < F.lit(holdout))
-        trb = assemble(tr.withColumn("_val", val), mcols)
-        model = _gbt(label, validationIndicatorCol="_val", **gbt).fit(trb)
-        p = model.transform(assemble(te, mcols)).select("user_id", F.col("prediction").alias(f"p{bn}"))
-        preds = p if preds is None else preds.join(p, "user_id")
+    kept = [tr]
+    try:
+        te = prepare_matrix(test, cols)
+        if k > 1:
+            x = assemble(fold_column(tr, k), mcols)
+            te = assemble(te, mcols)
+            names = [f"_p{f}" for f in range(k)]
+            models = [_gbt(label, validationIndicatorCol="_val", **gbt).fit(x.withColumn("_val", F.col("fold") == f)) for f in range(k)]
+            for name, m in zip(names, models):
+                x, te = _score(x, m, name), _score(te, m, name)
+            own = F.coalesce(*[F.when(F.col("fold") == f, F.col(n)) for f, n in enumerate(names)])
+            tr = x.withColumn("stack", own).drop("features", "fold", *names).persist()
+            kept.append(tr)
+            te = te.withColumn("stack", sum((F.col(n) for n in names[1:]), F.col(names[0])) / F.lit(k)).drop("features", *names)
+            mcols = mcols + ["stack"]
+        te = assemble(te, mcols).select("user_id", "features")
+        for bn in range(bags):
+            share = F.pmod(F.xxhash64("user_id", F.lit(SEED + bn), F.lit("bag")), F.lit(10_000))
+            trb = assemble(tr.withColumn("_val", share < F.lit(int(holdout * 10_000))), mcols)
+            te = _score(te, _gbt(label, validationIndicatorCol="_val", **gbt).fit(trb), f"p{bn}")
+    finally:
+        for df in kept:
+            df.unpersist()
     avg = sum((F.col(f"p{bn}") for bn in range(1, bags)), F.col("p0")) / F.lit(bags)
-    return preds.select("user_id", avg.alias("prediction"))
+    return te.select("user_id", avg.alias("prediction"))
 
 
 def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_cols: list[str],
                      num_trees: int = 10, seed: int = SEED) -> DataFrame:
     """One random-forest classifier per label column (Spark has no multi-output trees).
 
-    Labels start at -1 in the prototype, so classes are shifted by +1 for
-    training and back for the output.
+    The distinct values of a label are its classes, whatever their number;
+    their index carries the class count to the learner, and predictions are
+    mapped back to the values. The labels' models score one frame in turn.
     """
     mcols = matrix_columns(cols)
     tr = assemble(prepare_matrix(train, cols), mcols).persist()
-    te = assemble(prepare_matrix(test, cols), mcols)
-    out = te.select("user_id")
-    for lab in label_cols:
-        rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=num_trees, seed=seed)
-        m = rf.fit(tr.withColumn("_y", (F.col(lab) + 1).cast("double")))
-        p = m.transform(te).select("user_id", (F.col("prediction") - 1).cast("long").alias(lab))
-        out = out.join(p, "user_id")
-    tr.unpersist()
-    return out
+    out = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
+    try:
+        for lab in label_cols:
+            data = tr.withColumn("_class", F.col(lab).cast("long").cast("string"))
+            index = StringIndexer(inputCol="_class", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
+            values = [int(v) for v in index.labels]
+            if len(values) == 1:  # a single class needs no trees
+                out = out.withColumn(lab, F.lit(values[0]).cast("long"))
+                continue
+            rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=num_trees, seed=seed)
+            m = rf.fit(index.transform(data)).setPredictionCol("_class")
+            value = F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_class").cast("int") + 1)
+            out = m.transform(out).withColumn(lab, value).drop("_class", "rawPrediction", "probability")
+    finally:
+        tr.unpersist()
+    return out.select("user_id", *label_cols)
 
 
 def feature_importance(spark: SparkSession, model, names: list[str]) -> DataFrame:

@@ -8,7 +8,6 @@ re-shuffling the parts (AQE may still broadcast a part that measures small).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import enrich, features, labels, pairs
 from ..plans.windows import Win
@@ -58,17 +57,3 @@ def build_baseline_features(b: RetailBundle, order_windows: tuple[Win, ...], lab
     pa, po = pair_sources if pair_sources is not None else (ea, eo)
     g = pairs.baseline_action_order_features(pa, po, order_windows)
     return features.anchor(base, o, a, g)
-
-
-def feature_columns(df: DataFrame, exclude=("user_id",)) -> list[str]:
-    """F8: feature column names by comprehension over ``df.columns``."""
-    return [c for c in df.columns if c not in exclude]
-
-
-def label_columns(df: DataFrame, prefix: str) -> list[str]:
-    """F8: pick columns by prefix (``pred_date_*``, ``order_num_*``)."""
-    return [c for c in df.columns if c.startswith(prefix)]
-
-
-def with_cutoff(df: DataFrame, cutoff) -> DataFrame:
-    return df.withColumn("cutoff", F.lit(cutoff))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "shoprank") -> SparkSession:
@@ -31,9 +31,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (unit tests on one machine) a private
-    folder is created, so ``DataFrame.checkpoint()`` always has a target.
+    On a cluster ``spark.checkpoint.dir`` names a folder that the driver and
+    all executors share, and is used as is; without it a cluster session is
+    refused, since a folder of the driver's machine would not be seen by the
+    executors. Only a local session (tests, bench) may get a private folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -41,11 +42,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="shoprank-ckpt-")
+        configured = private_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def bench_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")
+def private_folder(master: str) -> str:
+    """A new private folder for a local master; any other master is an error."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="shoprank-ckpt-")
 
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder (any Hadoop file system)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_back(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` and read it: ends the lineage and tells the optimiser the size."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

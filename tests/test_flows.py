@@ -34,6 +34,7 @@ def test_prototype_flow(spark):
     sub = flows.run_prototype(b, [date(2000, 11, 1), date(2000, 12, 1), date(2001, 1, 1)], date(2001, 2, 1),
                               cate_types=("tg",), n=100, num_trees=3)
     rows = sub.collect()
+    assert {"user_id", "pred_date"} <= set(sub.columns) and len({r["user_id"] for r in rows}) == len(rows)
     assert all(r["pred_date"] <= date(2001, 2, 14) for r in rows)
 
 

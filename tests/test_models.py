@@ -64,3 +64,18 @@ def test_folds_are_balanced(spark):
         by.setdefault(r["has_order"], []).append(r["count"])
     totals = {k: sum(v) for k, v in by.items()}
     assert all(len(v) == 5 and min(v) > totals[k] / 5 * 0.5 for k, v in by.items())
+
+
+def test_forest_takes_any_number_of_classes(spark):
+    df = spark.createDataFrame([(u, float(u), 0.0, u % 150 - 1) for u in range(600)], "user_id long, a double, b double, y long")
+    out = models.per_label_forest(df, df.drop("y"), ["a", "b"], ["y"], num_trees=2)
+    assert out.count() == 600 and out.where(F.col("y").isNull() | (F.col("y") < -1) | (F.col("y") > 148)).count() == 0
+    one = models.per_label_forest(df.withColumn("y", F.lit(7)), df.drop("y"), ["a"], ["y"], num_trees=2)
+    assert {r["y"] for r in one.collect()} == {7}
+
+
+def test_predictions_of_several_models_need_no_join(spark):
+    df = _frame(spark, 60)
+    pred, _ = models.train_predict_two_target(df, df.drop("order_num", "pred_date"), ["a", "b"], maxIter=2)
+    plan = pred._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan

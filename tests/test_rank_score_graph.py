@@ -86,16 +86,52 @@ def test_pagerank_salted_hub_matches_unsalted(spark):
     edges = [(0, rnd.randint(1, 60)) for _ in range(300)] + [(rnd.randint(1, 60), rnd.randint(0, 60)) for _ in range(200)]
     df = spark.createDataFrame(edges, "src long, dst long")
     a = {r["id"]: r["rank"] for r in graph.pagerank(df, rtol=None, max_iter=5).collect()}
-    b = {r["id"]: r["rank"] for r in graph.pagerank(df, rtol=None, max_iter=5, heavy_degree=10, salts=4).collect()}
+    b = {r["id"]: r["rank"] for r in graph.pagerank(df, rtol=None, max_iter=5, salt_rows=10).collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
     assert abs(sum(b.values()) - 1) < 1e-9
 
 
-def test_score_broadcast_and_fallback_paths_agree(spark):
+def test_score_counts_a_repeated_truth_user_once_in_s1(spark):
     d0 = date(2017, 5, 3)
-    truth = spark.createDataFrame([(1, d0), (2, d0), (3, date(2017, 5, 9))], "user_id long, order_date date")
-    pred = spark.createDataFrame([(1, date(2017, 5, 4), 1), (9, d0, 2), (3, d0, 3)], "user_id long, pred_date date, rank long")
-    a = scoring.score(truth, pred).first()
-    b = scoring.score(truth, pred, broadcast_rows=0).first()
-    assert all(abs(a[k] - b[k]) < 1e-12 for k in ("s1", "s2", "s"))
+    truth = spark.createDataFrame([(1, d0), (1, d0), (2, d0)], "user_id long, order_date date")
+    pred = spark.createDataFrame([(1, d0, 1), (9, d0, 2)], "user_id long, pred_date date, rank long")
+    r = scoring.score(truth, pred).first()
+    assert abs(r["s1"] - 1 / (1 + 1 / (1 + math.log(2)))) < 1e-12  # membership: 0.629
+    assert abs(r["s2"] - 2 / 3) < 1e-12  # every truth row is a hit or a miss of its own
+    assert scoring.score(truth.limit(0), pred).first()["s"] == 0 and scoring.score(truth, pred.limit(0)).first()["s"] == 0
+
+
+def test_pagerank_raises_without_convergence(spark):
+    df = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (1, 3)], "src long, dst long")
+    with pytest.raises(RuntimeError, match="not within tolerance"):
+        graph.pagerank(df, max_iter=1)
+    assert graph.pagerank(df.limit(0)).count() == 0
+
+
+def test_pagerank_leaves_only_its_result(spark):
+    import os
+
+    from shoprank.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = spark.createDataFrame([(i % 40, (i * 7) % 41) for i in range(400)], "src long, dst long")
+    graph.pagerank(df, partitions=4).count()
+    left = set(os.listdir(folder)) - before
+    assert len([x for x in left if x.startswith("pagerank-")]) == 1
+
+
+def test_graph_profile_has_every_degree(spark):
+    df = spark.createDataFrame([(1, i) for i in range(2, 60)], "src long, dst long")
+    rows = {(r["section"], r["kind"], r["key"]): r["value"] for r in graph.graph_profile(df).collect()}
+    assert rows["histogram", "out", "58"] == 1 and rows["histogram", "in", "1"] == 58 and rows["counts", "all", "n_edges"] == 58
+
+
+def test_private_folder_only_for_a_local_master():
+    from shoprank.session import private_folder
+
+    assert private_folder("local[4]")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            private_folder(master)
