@@ -29,7 +29,7 @@ from .common import small_batches, written
 BITS = 20
 NGRAMS = (3, 4, 5)
 MAX_ROWS = 1500
-MAX_CHARS = 6000
+MAX_CHARS = 4000
 ALPHA = 0.5
 _MULTIPLY, _SCATTER, _FIFTEEN = np.uint32(0x85EBCA6B), np.uint32(0x9E3779B1), np.uint32(15)
 
@@ -72,7 +72,7 @@ def fit(rows: list[tuple[str | None, int]], bits: int = BITS, alpha: float = ALP
     lists = [features(t, bits) for t, _ in rows]
     sizes = np.array([len(x) for x in lists])
     flat = np.concatenate(lists)
-    of = np.repeat(np.arange(len(lists)), sizes)
+    of = np.repeat(np.arange(len(lists), dtype=np.int32), sizes)
     toxic = np.bincount(flat, weights=y[of], minlength=1 << bits)
     clean = np.bincount(flat, minlength=1 << bits) - toxic
     used = np.flatnonzero(toxic + clean > 1)  # what occurs once cannot generalise
@@ -81,24 +81,25 @@ def fit(rows: list[tuple[str | None, int]], bits: int = BITS, alpha: float = ALP
     place[used] = np.arange(len(used))
     col = place[flat]
     ok = col >= 0
-    col, row = col[ok], of[ok]
+    col, row = col[ok], of[ok].astype(np.int32)
+    del lists, flat, of, place, ok
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # balanced classes
     begin = np.searchsorted(row, np.arange(len(y) + 1))
     full = np.flatnonzero(np.diff(begin))
 
     # the scaled columns in row order; steps by Nesterov's method with a step size from the largest row
-    value = ratio[col].astype(np.float64)
+    value = ratio[col].astype(np.float32)
     w, b, w0, b0 = np.zeros(len(used)), 0.0, np.zeros(len(used)), 0.0
     norms = np.zeros(len(y))
-    norms[full] = np.add.reduceat(value * value, begin[full])
+    norms[full] = np.add.reduceat(value * value, begin[full], dtype=np.float64)
     step = 1.0 / (0.25 * (float((share * (norms + 1)).sum())) + l2)
     for k in range(rounds):
         m = k / (k + 3)
         v, c = w + m * (w - w0), b + m * (b - b0)
         z = np.full(len(y), c)
-        z[full] += np.add.reduceat(value * v[col], begin[full])
+        z[full] += np.add.reduceat(value * v.astype(np.float32)[col], begin[full], dtype=np.float64)
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        grad = np.bincount(col, weights=value * g[row], minlength=len(used)) + l2 * v
+        grad = np.bincount(col, weights=value * g.astype(np.float32)[row], minlength=len(used)) + l2 * v
         w0, b0 = w, b
         w, b = v - step * grad, c - step * g.sum()
     weights[used] = (w * ratio).astype(np.float32)
