@@ -368,3 +368,9 @@ _M3_COLS = [s.name for s in FE.refactored_order_specs(OW)]
 SQL["m3_prepare_matrix"] = ("SELECT user_id, " + ", ".join(
     f"CAST(coalesce(CAST(\"{c}\" AS DOUBLE), -999.0) AS DOUBLE) AS \"{c}\", CAST(\"{c}\" IS NULL AS INTEGER) AS \"{c}_missing\""
     for c in _M3_COLS) + f" FROM ({SQL['x2_order_features']})")
+
+# Folds: the first 32 bits of md5('2018:user[:stratum]') modulo 5.
+SQL["w4_folds"] = f"""SELECT *,
+  CAST(('0x' || substr(md5('2018:' || user_id), 1, 8))::BIGINT % 5 AS INTEGER) AS fold,
+  CAST(('0x' || substr(md5('2018:' || user_id || ':' || has_order), 1, 8))::BIGINT % 5 AS INTEGER) AS strat_fold
+FROM ({SQL["x6_labels"]})"""

@@ -57,14 +57,15 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 
 def fold_column(df: DataFrame, k: int, seed: int = SEED, stratify: str | None = None, name: str = "fold") -> DataFrame:
-    """Hash folds ``pmod(xxhash64(user_id, seed[, stratum]), k)``.
+    """Hash folds: the first 32 bits of ``md5(seed:user_id[:stratum])`` modulo ``k``.
 
     The fold of a row depends only on its own key (and, with ``stratify``,
     on its stratum value), so assignment needs no ordering, no window and no
     shuffle; folds are balanced in expectation within every stratum.
     """
-    parts = [F.col("user_id"), F.lit(seed)] + ([F.col(stratify)] if stratify else [])
-    return df.withColumn(name, F.pmod(F.xxhash64(*parts), F.lit(k)).cast("int"))
+    parts = [F.lit(str(seed)), F.col("user_id").cast("string")] + ([F.col(stratify).cast("string")] if stratify else [])
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("long")
+    return df.withColumn(name, F.pmod(bits, F.lit(k)).cast("int"))
 
 
 def _gbt(label: str, **kw) -> GBTRegressor:
@@ -163,7 +164,8 @@ def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_c
                 out = out.withColumn(lab, F.lit(values[0]).cast("long"))
                 continue
             rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=num_trees, seed=seed)
-            m = rf.fit(index.transform(data)).setPredictionCol("_class")
+            # a copy is without the training summary, which holds the session and cannot be sent to executors
+            m = rf.fit(index.transform(data)).copy().setPredictionCol("_class")
             value = F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_class").cast("int") + 1)
             out = m.transform(out).withColumn(lab, value).drop("_class", "rawPrediction", "probability")
     finally:

@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from shoprank.operators import features, prototype, ranking
+from shoprank.operators import enrich, features, prototype, ranking
 from shoprank.plans.windows import Win
 
 SKU = "sku_id long, price int, cate int, para_1 int, para_2 int, para_3 int"
@@ -108,3 +108,15 @@ def test_user_without_orders_has_null_features_and_zero_labels(spark):
     assert all(v is None for k, v in row.items() if k != "user_id")
     lab = labels.build_labels(users, of, C.LABEL.label_begin, C.LABEL.label_end).where(F.col("user_id") == 10 ** 9).first()
     assert (lab["order_num"], lab["pred_date"], lab["has_order"]) == (0, 0, False)
+
+
+def test_quintile_edges_are_exact_over_many_values(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = np.round(rng.gamma(2.0, 50.0, 3001), 1)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "price double").repartition(7)
+    edges = spark.range(1).select(enrich.quintile_edges(df, "price").alias("e")).first()["e"]
+    assert np.allclose(edges, np.quantile(values, [0, 0.2, 0.4, 0.6, 0.8, 1.0]), atol=1e-9)
+    plan = spark.range(1).select(enrich.quintile_edges(df, "price").alias("e"))._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
