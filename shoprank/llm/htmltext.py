@@ -369,8 +369,10 @@ def altered(page: list, others: list, rng) -> list[tuple[tuple, str, int]]:
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = MAX_PAGES) -> Labeller:
     """A labeller fitted on ``max_pages`` pages (the bound of what comes to the driver) and their altered forms."""
     order = [F.xxhash64(F.lit("pages"), F.col(id_col).cast("string")), F.col(id_col)]
-    rows = pages.where(F.length(html_col) > 0).orderBy(*order).limit(max_pages).select(html_col).collect()
-    return fit_pages([blocks(r[0]) for r in rows])
+    ids = pages.where(F.length(html_col) > 0).select(id_col).orderBy(*order).limit(max_pages)  # narrow: no page leaves its task
+    sample = pages.where(F.length(html_col) > 0).select(id_col, html_col).join(ids.distinct(), id_col, "left_semi")
+    rows = sample.orderBy(id_col, F.xxhash64(html_col)).limit(2 * max_pages).collect()
+    return fit_pages([blocks(r[1]) for r in rows])
 
 
 def fit_pages(cut: list, seed: int = SEED) -> Labeller:
