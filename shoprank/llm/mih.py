@@ -7,8 +7,10 @@ bits, and so on. After radius ``r`` every code within Hamming distance
 ``m * (r + 1) - 1`` has been met, for it has a segment within ``r`` bits. A
 query is finished when its kth verified distance is covered; the others go on
 with the next radius, with their kth distance as the bound for what they still
-take. At the full width of a segment everything is covered, so results are
-exact whatever the codes are.
+take: with bound ``d`` only the segments up to ``d - m * r`` are probed at
+radius ``r``, since a code first met by a later one is farther than ``d``. At
+the full width of a segment everything is covered, so results are exact
+whatever the codes are.
 
 Rows of equal codes are one entry of the index (with its ``k + 1`` smallest
 ids), and queries of equal codes are one query. A pair is verified once only:
@@ -81,6 +83,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) ->
     finished = []
     for r in range(max(widths) + 1):
         probes = active.select("q", "bound", of(F.col("q")).alias("s")).select("q", "bound", "s.seg", "s.val", "s.width", F.lit(-1).alias("hi"))
+        probes = probes.where(F.col("seg") + F.lit(r * m) <= F.col("bound"))  # the others hold nothing within the bound
         for _ in range(r):  # flip one more bit, above the last one flipped
             probes = probes.where(F.col("hi") < F.col("width") - 1).select(
                 "q", "bound", "seg", "val", "width", F.explode(F.sequence(F.col("hi") + 1, F.col("width") - 1)).alias("hi"))
