@@ -455,20 +455,16 @@ def x5_baseline_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRAIN_WINDOWS = feature_windows(date(2001, 1, 1))  # train: features to 2000-12-31, labels of January 2001
-# Boosting rounds of the registered model queries. The library default is the
-# reference's 100; the checked queries use fewer rounds to bound their run time
-# on one machine (the plan shape is the same).
-ML_ROUNDS = 10
 
 
 def _ml_frames(spark, sf_dir):
     """Train (features + labels of the previous month) and test (current features) frames."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    of = enrich.order_fact(b)
-    xtr = features.anchor(_users(b), features.refactored_order_features(of, TRAIN_WINDOWS.features))
-    xte = features.anchor(_users(b), features.refactored_order_features(of, ORDER_WINDOWS.features))
-    # both periods under one set of names: strip nothing, names are per-window labels
-    ytr = labels.build_labels(b.user, of, TRAIN_WINDOWS.label_begin, TRAIN_WINDOWS.label_end)
+    pairs = retail.pair_sources_from_testdata(spark, sf_dir)
+    # both periods under one set of names: the window labels are relative
+    xtr = pipeline.build_features(b, TRAIN_WINDOWS.features, ACTION_WINDOWS, pairs)
+    xte = pipeline.build_features(b, ORDER_WINDOWS.features, ACTION_WINDOWS, pairs)
+    ytr = labels.build_labels(b.user, enrich.order_with_category(b), TRAIN_WINDOWS.label_begin, TRAIN_WINDOWS.label_end)
     cols = [c for c in xtr.columns if c != "user_id"]
     return b, xtr.join(ytr, "user_id"), xte, cols
 
@@ -494,7 +490,7 @@ def w4_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x11_two_target_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11 refactored: one boosted-tree regression per label (order count, first-order day), all users."""
     b, train, test, cols = _ml_frames(spark, sf_dir)
-    pred, _ = models.train_predict_two_target(train, test, cols, maxIter=ML_ROUNDS)
+    pred, _ = models.train_predict_two_target(train, test, cols)
     return pred
 
 
@@ -510,7 +506,7 @@ def x11_baseline_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = xtr.join(ytr, "user_id").withColumn("confidence", ranking.regularity_weight(xtr))
     cols = [c for c in xtr.columns if c != "user_id"]
     pred, _ = models.train_predict_two_target(train, xte, cols, count_weight="confidence",
-                                              date_only_buyers="has_order", maxIter=ML_ROUNDS)
+                                              date_only_buyers="has_order")
     return pred
 
 
@@ -518,7 +514,7 @@ def x11_baseline_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x18_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature importances of the order-count model, descending."""
     b, train, test, cols = _ml_frames(spark, sf_dir)
-    _, ms = models.train_predict_two_target(train, test, cols, maxIter=ML_ROUNDS)
+    _, ms = models.train_predict_two_target(train, test, cols)
     return models.feature_importance(spark, ms["order_num"], ms["columns"])
 
 
@@ -526,7 +522,7 @@ def x18_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x12_stacked_bagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-fold stacking + 3 bagged models with validation-based early stopping."""
     b, train, test, cols = _ml_frames(spark, sf_dir)
-    return models.stacked_bagged_regressor(train, test, cols, "order_num", k=5, bags=3, maxIter=ML_ROUNDS // 2)
+    return models.stacked_bagged_regressor(train, test, cols, "order_num", k=5, bags=3)
 
 
 @query("x13_per_label_forest")
@@ -547,4 +543,4 @@ def x17_holdout_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on January 2001, predict February 2001, score against February's first orders."""
     b = retail.retail_from_testdata(spark, sf_dir)
     return models.holdout_validation(b, LABEL.label_begin, action_windows=ACTION_WINDOWS,
-                                     pair_sources=retail.pair_sources_from_testdata(spark, sf_dir), maxIter=ML_ROUNDS)
+                                     pair_sources=retail.pair_sources_from_testdata(spark, sf_dir))
