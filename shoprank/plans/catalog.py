@@ -498,24 +498,26 @@ def x11_two_target_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x11_baseline_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11 baseline: count label weighted by the regularity weight (X8), date model on buyers only."""
     b = retail.retail_from_testdata(spark, sf_dir)
-    eo = enrich.enrich_orders(b)
-    xtr = features.anchor(_users(b), features.baseline_order_features(eo, TRAIN_WINDOWS.features))
-    xte = features.anchor(_users(b), features.baseline_order_features(eo, ORDER_WINDOWS.features))
+    pairs = retail.pair_sources_from_testdata(spark, sf_dir)
     # one set of column names for both periods: the window labels (1/3/6) are relative
-    ytr = labels.build_labels(b.user, enrich.order_with_category(b), TRAIN_WINDOWS.label_begin, TRAIN_WINDOWS.label_end)
-    train = xtr.join(ytr, "user_id").withColumn("confidence", ranking.regularity_weight(xtr))
-    cols = [c for c in xtr.columns if c != "user_id"]
-    pred, _ = models.train_predict_two_target(train, xte, cols, count_weight="confidence",
-                                              date_only_buyers="has_order")
-    return pred
+    train = pipeline.build_baseline_features(b, TRAIN_WINDOWS.features, TRAIN_WINDOWS.label_begin, TRAIN_WINDOWS.label_end,
+                                             ACTION_WINDOWS, True, pairs)
+    test = pipeline.build_baseline_features(b, ORDER_WINDOWS.features, LABEL.label_begin, LABEL.label_end,
+                                            ACTION_WINDOWS, False, pairs)
+    count, first = "Label_30_101_BuyNum", "Label_30_101_FirstTime"
+    cols = [c for c in train.columns if c not in ("user_id", count, first)]
+    train = train.withColumn("confidence", ranking.regularity_weight(train)).withColumn("has_order", F.col(count) > 0)
+    pred, _ = models.train_predict_two_target(train, test, cols, count_label=count, date_label=first,
+                                              count_weight="confidence", date_only_buyers="has_order")
+    return pred.select("user_id", F.col(count).alias("order_num"), F.col(first).alias("pred_date"))
 
 
 @query("x18_feature_importance")
 def x18_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature importances of the order-count model, descending."""
     b, train, test, cols = _ml_frames(spark, sf_dir)
-    _, ms = models.train_predict_two_target(train, test, cols)
-    return models.feature_importance(spark, ms["order_num"], ms["columns"])
+    model = models.fit_targets(train, cols, {"order_num": (F.col("order_num"), None)})["order_num"]
+    return models.feature_importance(spark, model, models.matrix_columns(cols))
 
 
 @query("x12_stacked_bagged")

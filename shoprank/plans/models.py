@@ -8,18 +8,21 @@ feature importances (one number per feature column).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrich, labels, ranking, scoring
 from ..plans import pipeline
 from ..plans.windows import feature_windows
 from ..schema import RetailBundle
+from ..session import read_back, remove_path, shared_path
 
 SENTINEL = -999.0
 SEED = 2018
@@ -68,6 +71,22 @@ def fold_column(df: DataFrame, k: int, seed: int = SEED, stratify: str | None =
     return df.withColumn(name, F.pmod(bits, F.lit(k)).cast("int"))
 
 
+@contextmanager
+def written_matrix(train: DataFrame, cols: list[str]) -> Iterator[DataFrame]:
+    """The M3 matrix of ``train`` in the shared folder, deleted at the end.
+
+    Boosting reads the matrix once per tree level. Written, the feature plan
+    runs once, a lost executor costs its own splits only, and the number of
+    tasks follows the matrix's size instead of the feature plan's shuffles.
+    """
+    spark = train.sparkSession
+    path = shared_path(spark, "matrix")
+    try:
+        yield read_back(prepare_matrix(train, cols), path)
+    finally:
+        remove_path(spark, path)
+
+
 def _gbt(label: str, **kw) -> GBTRegressor:
     params = {**GBT_DEFAULTS, **kw}
     return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **params)
@@ -84,19 +103,28 @@ def train_predict_two_target(train: DataFrame, test: DataFrame, cols: list[str],
     date model to users who bought (baseline, with D10's ``has_order``).
     Both models score one frame one after the other: no join.
     """
+    y = F.col(count_label) * F.col(count_weight) if count_weight else F.col(count_label)
+    targets = {count_label: (y, None), date_label: (F.col(date_label), date_only_buyers)}
+    models = fit_targets(train, cols, targets, **gbt)
     mcols = matrix_columns(cols)
-    # The matrix is read once per boosting round; keep it (recomputable from lineage if lost).
-    tr = assemble(prepare_matrix(train, cols), mcols).persist()
-    try:
-        y = F.col(count_label) * F.col(count_weight) if count_weight else F.col(count_label)
-        m_count = _gbt("_y", **gbt).fit(tr.withColumn("_y", y.cast("double")))
-        tr_date = tr.where(F.col(date_only_buyers)) if date_only_buyers else tr
-        m_date = _gbt(date_label, **gbt).fit(tr_date.withColumn(date_label, F.col(date_label).cast("double")))
-    finally:
-        tr.unpersist()  # the predictions below read only the test rows
-    te = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
-    out = _score(_score(te, m_count, count_label), m_date, date_label)
-    return out.drop("features"), {count_label: m_count, date_label: m_date, "columns": mcols}
+    out = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
+    for name in targets:
+        out = _score(out, models[name], name)
+    return out.drop("features"), {**models, "columns": mcols}
+
+
+def fit_targets(train: DataFrame, cols: list[str], targets: dict[str, tuple[Column, str | None]], **gbt) -> dict:
+    """One boosted-tree model per target: its label, and the boolean column that restricts its rows (or None)."""
+    mcols, models = matrix_columns(cols), {}
+    with written_matrix(train, cols) as matrix:
+        tr = assemble(matrix, mcols).persist()
+        try:
+            for name, (label, only) in targets.items():
+                rows = tr.where(F.col(only)) if only else tr
+                models[name] = _gbt("_y", **gbt).fit(rows.select("features", label.cast("double").alias("_y")))
+        finally:
+            tr.unpersist()
+    return models
 
 
 def _score(df: DataFrame, model, name: str) -> DataFrame:
@@ -116,30 +144,33 @@ def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str],
     Predictions are added to one frame, without joins.
     """
     mcols = matrix_columns(cols)
-    tr = prepare_matrix(train, cols).withColumn(label, F.col(label).cast("double")).persist()
-    kept = [tr]
-    try:
+    with written_matrix(train.withColumn(label, F.col(label).cast("double")), cols) as tr:
         te = prepare_matrix(test, cols)
-        if k > 1:
-            x = assemble(fold_column(tr, k), mcols)
-            te = assemble(te, mcols)
-            names = [f"_p{f}" for f in range(k)]
-            models = [_gbt(label, validationIndicatorCol="_val", **gbt).fit(x.withColumn("_val", F.col("fold") == f)) for f in range(k)]
-            for name, m in zip(names, models):
-                x, te = _score(x, m, name), _score(te, m, name)
-            own = F.coalesce(*[F.when(F.col("fold") == f, F.col(n)) for f, n in enumerate(names)])
-            tr = x.withColumn("stack", own).drop("features", "fold", *names).persist()
-            kept.append(tr)
-            te = te.withColumn("stack", sum((F.col(n) for n in names[1:]), F.col(names[0])) / F.lit(k)).drop("features", *names)
-            mcols = mcols + ["stack"]
-        te = assemble(te, mcols).select("user_id", "features")
-        for bn in range(bags):
-            share = F.pmod(F.xxhash64("user_id", F.lit(SEED + bn), F.lit("bag")), F.lit(10_000))
-            trb = assemble(tr.withColumn("_val", share < F.lit(int(holdout * 10_000))), mcols)
-            te = _score(te, _gbt(label, validationIndicatorCol="_val", **gbt).fit(trb), f"p{bn}")
-    finally:
-        for df in kept:
-            df.unpersist()
+        kept = []
+        try:
+            if k > 1:
+                x = assemble(fold_column(tr, k), mcols).persist()
+                kept.append(x)
+                te = assemble(te, mcols)
+                names = [f"_p{f}" for f in range(k)]
+                models = [_gbt(label, validationIndicatorCol="_val", **gbt).fit(
+                    x.select("features", label, (F.col("fold") == f).alias("_val"))) for f in range(k)]
+                for name, m in zip(names, models):
+                    x, te = _score(x, m, name), _score(te, m, name)
+                own = F.coalesce(*[F.when(F.col("fold") == f, F.col(n)) for f, n in enumerate(names)])
+                tr = x.withColumn("stack", own).drop("features", "fold", *names)
+                te = te.withColumn("stack", sum((F.col(n) for n in names[1:]), F.col(names[0])) / F.lit(k)).drop("features", *names)
+                mcols = mcols + ["stack"]
+            x = assemble(tr, mcols).select("user_id", "features", label).persist()
+            kept.append(x)
+            te = assemble(te, mcols).select("user_id", "features")
+            for bn in range(bags):
+                share = F.pmod(F.xxhash64("user_id", F.lit(SEED + bn), F.lit("bag")), F.lit(10_000))
+                val = (share < F.lit(int(holdout * 10_000))).alias("_val")
+                te = _score(te, _gbt(label, validationIndicatorCol="_val", **gbt).fit(x.select("features", label, val)), f"p{bn}")
+        finally:
+            for df in kept:
+                df.unpersist()
     avg = sum((F.col(f"p{bn}") for bn in range(1, bags)), F.col("p0")) / F.lit(bags)
     return te.select("user_id", avg.alias("prediction"))
 
@@ -153,9 +184,9 @@ def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_c
     mapped back to the values. The labels' models score one frame in turn.
     """
     mcols = matrix_columns(cols)
-    tr = assemble(prepare_matrix(train, cols), mcols).persist()
     out = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
-    try:
+    with written_matrix(train, cols) as matrix:
+        tr = assemble(matrix, mcols)
         for lab in label_cols:
             data = tr.withColumn("_class", F.col(lab).cast("long").cast("string"))
             index = StringIndexer(inputCol="_class", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
@@ -168,8 +199,6 @@ def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_c
             m = rf.fit(index.transform(data)).copy().setPredictionCol("_class")
             value = F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_class").cast("int") + 1)
             out = m.transform(out).withColumn(lab, value).drop("_class", "rawPrediction", "probability")
-    finally:
-        tr.unpersist()
     return out.select("user_id", *label_cols)
 
 
