@@ -11,23 +11,25 @@ Packing runs inside each scan task over windows of about ``window`` ids: no
 shuffle, memory bounded by the window, and only the last rows of a window
 stay partly empty.
 
-Written per row (Parquet): ``ids`` (little-endian uint16, padded to
+Written per row (Parquet): ``ids`` (little-endian uint32, padded to
 ``seq_len``: one line of the id matrix), ``n_tokens``, ``cu_seqlens``
 (cumulative segment lengths, from 0), ``resets`` (one bit per place, set
 where the position starts again at 0), and per segment ``doc_ids`` and
 ``chunks`` (place in its document).
 
-The tokenizer is a parameter; the default one gives UTF-8 bytes as ids and
-``END`` after each document.
+The tokenizer is a parameter: byte-level BPE by a local rank file (the
+default), UTF-8 bytes, or any other that gives ids. Its ``end`` id follows
+each document, its ``pad`` id fills the rows.
 
 Defined results: a null text is the empty text and gives one segment with
-``END`` alone; repeated rows are packed each; null ids stay null in
+the end id alone; repeated rows are packed each; null ids stay null in
 ``doc_ids``; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +37,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bpe
 from .common import shared_path, small_batches
 
-END, PAD = 256, 257
+ID = np.dtype("<u4")
 SEQ_LEN = 8192
 WINDOW = 6_000_000
 
@@ -45,13 +48,32 @@ SCHEMA = ("part long, win long, row long, n_tokens int, cu_seqlens array<int>, d
           "resets binary, ids binary")
 
 
-def byte_ids(text: str | None) -> np.ndarray:
-    """UTF-8 bytes as ids, and ``END``."""
-    raw = np.frombuffer((text or "").encode(), np.uint8)
-    out = np.empty(len(raw) + 1, "<u2")
-    out[:-1] = raw
-    out[-1] = END
-    return out
+@dataclass(frozen=True)
+class Tokenizer:
+    """Ids of a text (``encode``, run inside the tasks), the id after each document, and the id of empty places."""
+
+    encode: Callable[[str | None], np.ndarray]
+    end: int
+    pad: int
+
+
+def byte_tokenizer() -> Tokenizer:
+    """UTF-8 bytes as ids."""
+    return Tokenizer(lambda text: np.frombuffer((text or "").encode(), np.uint8), 256, 257)
+
+
+def bpe_tokenizer(path: str | None = None, pattern: str | None = None) -> Tokenizer:
+    """Byte-level BPE by a rank file; ``end`` and ``pad`` follow its largest rank."""
+    import public_tokenizers
+
+    path, pattern = path or bpe.rank_path(), pattern or public_tokenizers.PATTERN
+    size = bpe.encoder(path, pattern).n_vocab
+    return Tokenizer(lambda text: bpe.encode(bpe.encoder(path, pattern), text), size, size + 1)
+
+
+def ended(tokenizer: Tokenizer, text: str | None) -> np.ndarray:
+    """The text's ids and the end id."""
+    return np.append(tokenizer.encode(text), tokenizer.end).astype(ID)
 
 
 class CapacityTree:
@@ -106,13 +128,13 @@ def best_fit(lengths: list[int], seq_len: int) -> list[list[int]]:
     return rows
 
 
-def pack_window(docs: list[tuple], seq_len: int):
+def pack_window(docs: list[tuple], seq_len: int, pad: int):
     """Packed rows of ``(doc_id, ids)``: ``n_tokens, cu_seqlens, doc_ids, chunks, resets, ids`` each."""
     segments = [(d, k // seq_len, ids[k:k + seq_len]) for d, ids in docs for k in range(0, len(ids), seq_len)]
     for members in best_fit([len(s[2]) for s in segments], seq_len):
         parts = [segments[i] for i in members]
         cu = np.concatenate(([0], np.cumsum([len(p[2]) for p in parts])))
-        line = np.full(seq_len, PAD, "<u2")
+        line = np.full(seq_len, pad, ID)
         line[:cu[-1]] = np.concatenate([p[2] for p in parts])
         resets = np.zeros(seq_len, bool)
         resets[cu[:-1]] = True
@@ -120,8 +142,9 @@ def pack_window(docs: list[tuple], seq_len: int):
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_len: int = SEQ_LEN, window: int = WINDOW,
-         encode: Callable[[str | None], np.ndarray] = byte_ids) -> DataFrame:
-    """Packed rows of all documents; ``(part, win, row)`` names a row."""
+         tokenizer: Tokenizer | None = None) -> DataFrame:
+    """Packed rows of all documents; ``(part, win, row)`` names a row. The tokenizer is BPE where none is given."""
+    tokenizer = tokenizer or bpe_tokenizer()
     schema = pa.schema([("part", pa.int64()), ("win", pa.int64()), ("row", pa.int64()), ("n_tokens", pa.int32()),
                         ("cu_seqlens", pa.list_(pa.int32())), ("doc_ids", pa.list_(pa.int64())), ("chunks", pa.list_(pa.int32())),
                         ("resets", pa.binary()), ("ids", pa.binary())])
@@ -132,7 +155,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_le
 
         def flush():
             row, out = 0, []
-            for r in pack_window(held, seq_len):
+            for r in pack_window(held, seq_len, tokenizer.pad):
                 out.append((part, win, row, *r))
                 row += 1
                 if len(out) * seq_len >= 2_000_000:
@@ -146,7 +169,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_le
 
         for b in small_batches(batches):
             for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = encode(t.as_py())
+                ids = ended(tokenizer, t.as_py())
                 held.append((d, ids))
                 size += len(ids)
                 if size >= window:
@@ -177,4 +200,4 @@ def segments(packed: DataFrame) -> DataFrame:
     p = packed.select("part", "win", "row", "cu_seqlens", "ids", F.posexplode(F.arrays_zip("doc_ids", "chunks")).alias("k", "s"))
     a, b = F.element_at("cu_seqlens", F.col("k") + 1), F.element_at("cu_seqlens", F.col("k") + 2)
     return p.select("part", "win", "row", F.col("s.doc_ids").alias("doc_id"), F.col("s.chunks").alias("chunk"),
-                    F.substring("ids", 2 * a + 1, 2 * (b - a)).alias("ids"))
+                    F.substring("ids", ID.itemsize * a + 1, ID.itemsize * (b - a)).alias("ids"))
