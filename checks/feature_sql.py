@@ -7,9 +7,7 @@ check of the single-scan Spark plan.
 
 from __future__ import annotations
 
-from shoprank.operators.user_agg import Agg
-from shoprank.plans.windows import Win
-
+from .feature_list import Feature, Window
 from .sql_common import d
 
 ROUND = 6  # decimal places of every DOUBLE result, on both sides of the check
@@ -25,7 +23,7 @@ PRED_SQL = {
 }
 
 
-def feature_sql(ctes: str, fact: str, date_col: str, specs: list[Agg], windows: tuple[Win, ...],
+def feature_sql(ctes: str, fact: str, date_col: str, specs: list[Feature], windows: tuple[Window, ...],
                 double_cols: set[str], anchor: str = "users", anchor_cols: str = "u.user_id") -> str:
     wins = {w.label: w for w in windows}
     parts = []

@@ -7,8 +7,8 @@ so it checks the Spark plans by an independent route.
 
 from __future__ import annotations
 
-from shoprank.plans import catalog as C
-
+from . import feature_list as L
+from .feature_sql import feature_sql
 from .sql_common import (
     ACTION_FACT, ACTIONS, COMMENTS, ENRICHED_ACTIONS, ENRICHED_ORDERS, ORDER_FACT, ORDERS, PAIR_ACTIONS,
     PAIR_ORDERS, SKUS, USERS, d, with_,
@@ -16,7 +16,9 @@ from .sql_common import (
 
 SQL: dict[str, str] = {}
 
-W6 = C.WIDEST
+OW = L.ORDER_WINDOWS
+AW = L.ACTION_WINDOWS
+W6 = OW[-1]
 
 SQL["a1_target_orders_6m"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT) + f"""
 SELECT u.user_id, t.n AS order_count_30_101
@@ -25,28 +27,21 @@ FROM users u LEFT JOIN (
   WHERE o_date BETWEEN {d(W6.begin)} AND {d(W6.end)} AND cate IN (30, 101) GROUP BY user_id) t
 ON u.user_id = t.user_id"""
 
-from shoprank.operators import features as FE  # noqa: E402
-
-from .feature_sql import feature_sql  # noqa: E402
-
-OW = C.ORDER_WINDOWS.features
-AW = C.ACTION_WINDOWS
-
 SQL["x2_order_features"] = feature_sql(
     with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT), "ofact", "o_date",
-    FE.refactored_order_specs(OW), OW, {"o_total_price"})
+    L.features(L.REFACTORED_ORDERS, OW), OW, {"o_total_price"})
 
 SQL["x2_baseline_order_features"] = feature_sql(
     with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_ORDERS), "eorders", "o_date",
-    FE.baseline_order_specs(OW), OW, {"total_price"})
+    L.features(L.BASELINE_ORDERS, OW), OW, {"total_price"})
 
 SQL["x3_action_features"] = feature_sql(
     with_(USERS, SKUS, ACTIONS, ACTION_FACT), "afact", "a_date",
-    FE.refactored_action_specs(AW), AW, set())
+    L.features(L.REFACTORED_ACTIONS, AW), AW, set())
 
 SQL["x3_baseline_action_features"] = feature_sql(
     with_(USERS, SKUS, ACTIONS, ENRICHED_ACTIONS), "eactions", "a_date",
-    FE.baseline_action_specs(AW), AW, set())
+    L.features(L.BASELINE_ACTIONS, AW), AW, set())
 
 
 def _pair_sql(strict: bool, by_cate: bool, name) -> str:
@@ -71,7 +66,7 @@ def _pair_sql(strict: bool, by_cate: bool, name) -> str:
 SQL["x4_action_order_features"] = _pair_sql(False, True, lambda k: f"{k}mo_action_order_all_date_gap")
 SQL["x4_baseline_action_order_gap"] = _pair_sql(True, False, lambda k: f"GM{k}_action2order_diff")
 
-LB, LE = C.LABEL.label_begin, C.LABEL.label_end
+LB, LE = L.LABEL_BEGIN, L.LABEL_END
 _IN_LABEL = f"o_date BETWEEN {d(LB)} AND {d(LE)}"
 
 SQL["x6_labels"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT) + f"""
@@ -136,17 +131,17 @@ FROM pj GROUP BY user_id, sku_id, o_date, score_level"""
 
 PSKU = "psku AS (SELECT sku_id, CASE WHEN cate = 30 THEN 1 WHEN cate = 101 THEN 2 ELSE 0 END AS cc FROM skus)"
 PG = {"30": "cc = 1", "101": "cc = 2", "tg": "cc <> 0", "ntg": "cc = 0"}
-FB, FE_ = C.PROTO_FEATURE
+FB, FE_ = L.PROTO_FEATURE
 
 
 def _proto_feature_ctes():
     av = ", ".join(f"sum(CASE WHEN {PG[g]} AND a_type = 1 THEN a_num END) AS view_num_{g}, "
-                   f"sum(CASE WHEN {PG[g]} AND a_type = 2 THEN a_num END) AS star_num_{g}" for g in C.PROTO_GROUPS)
+                   f"sum(CASE WHEN {PG[g]} AND a_type = 2 THEN a_num END) AS star_num_{g}" for g in L.PROTO_GROUPS)
     ov = ", ".join(f"count(CASE WHEN {PG[g]} THEN 1 END) AS order_num_{g}, "
                    f"count(CASE WHEN {PG[g]} AND score_level = 1 THEN 1 END) AS good_score_num_{g}, "
                    f"count(CASE WHEN {PG[g]} AND score_level = 3 THEN 1 END) AS bad_score_num_{g}"
-                   for g in C.PROTO_GROUPS)
-    anyg = " OR ".join(f"({PG[g]})" for g in C.PROTO_GROUPS)
+                   for g in L.PROTO_GROUPS)
+    anyg = " OR ".join(f"({PG[g]})" for g in L.PROTO_GROUPS)
     af = (f"af AS (SELECT a.user_id, {av} FROM actions a JOIN psku p ON a.sku_id = p.sku_id "
           f"WHERE a.a_date BETWEEN {d(FB)} AND {d(FE_)} AND a.a_type IN (1, 2) AND ({anyg}) GROUP BY a.user_id)")
     of = (f"ofe AS (SELECT o.user_id, {ov} FROM pj o JOIN psku p ON o.sku_id = p.sku_id "
@@ -155,8 +150,8 @@ def _proto_feature_ctes():
 
 
 _AF, _OF = _proto_feature_ctes()
-_PF_COLS = ([f"{k}_num_{g}" for g in C.PROTO_GROUPS for k in ("view", "star")]
-            + [f"{k}_{g}" for g in C.PROTO_GROUPS for k in ("order_num", "good_score_num", "bad_score_num")])
+_PF_COLS = ([f"{k}_num_{g}" for g in L.PROTO_GROUPS for k in ("view", "star")]
+            + [f"{k}_{g}" for g in L.PROTO_GROUPS for k in ("order_num", "good_score_num", "bad_score_num")])
 
 SQL["x7_prototype_features"] = with_(USERS, SKUS, ORDERS, COMMENTS, ACTIONS, PROTO_ORDERS, PSKU, _AF, _OF) + \
     "SELECT coalesce(af.user_id, ofe.user_id) AS user_id, " + \
@@ -165,12 +160,12 @@ SQL["x7_prototype_features"] = with_(USERS, SKUS, ORDERS, COMMENTS, ACTIONS, PRO
 
 _lab_cols = ", ".join(
     f"min(CASE WHEN {PG[g]} THEN date_diff('day', {d(LB)}, o.o_date) END) AS pred_date_{g}, "
-    f"nullif(count(CASE WHEN {PG[g]} THEN 1 END), 0) AS order_num_{g}" for g in C.PROTO_GROUPS)
-_anyg = " OR ".join(f"({PG[g]})" for g in C.PROTO_GROUPS)
+    f"nullif(count(CASE WHEN {PG[g]} THEN 1 END), 0) AS order_num_{g}" for g in L.PROTO_GROUPS)
+_anyg = " OR ".join(f"({PG[g]})" for g in L.PROTO_GROUPS)
 PLAB = (f"plab AS (SELECT o.user_id, {_lab_cols} FROM pj o JOIN psku p ON o.sku_id = p.sku_id "
         f"WHERE o.o_date BETWEEN {d(LB)} AND {d(LE)} AND ({_anyg}) GROUP BY o.user_id)")
 FUSERS = "fu AS (SELECT user_id FROM af UNION SELECT user_id FROM ofe)"
-_PL_COLS = [f"{k}_{g}" for g in C.PROTO_GROUPS for k in ("pred_date", "order_num")]
+_PL_COLS = [f"{k}_{g}" for g in L.PROTO_GROUPS for k in ("pred_date", "order_num")]
 PROTO_LABELS = ("plabels AS (SELECT fu.user_id, " + ", ".join(f"CAST(coalesce(plab.{c}, -1) AS BIGINT) AS {c}" for c in _PL_COLS)
                 + " FROM fu LEFT JOIN plab ON fu.user_id = plab.user_id)")
 _PROTO_BASE = (USERS, SKUS, ORDERS, COMMENTS, ACTIONS, PROTO_ORDERS, PSKU, _AF, _OF, PLAB, FUSERS, PROTO_LABELS)
@@ -179,24 +174,24 @@ SQL["x7_prototype_labels"] = with_(*_PROTO_BASE) + "SELECT * FROM plabels"
 SQL["u2_align_users"] = SQL["x7_prototype_labels"]
 
 _MID = "DATE '2001-02-14'"
-_valid = {g: f"(pred_date_{g} >= 0.5 AND order_num_{g} >= 0.5)" for g in C.PROTO_GROUPS}
-_day = "least(" + ", ".join(f"CASE WHEN {_valid[g]} THEN pred_date_{g} END" for g in C.PROTO_GROUPS) + ")"
-_num = " + ".join(f"coalesce(CASE WHEN {_valid[g]} THEN order_num_{g} END, 0)" for g in C.PROTO_GROUPS)
+_valid = {g: f"(pred_date_{g} >= 0.5 AND order_num_{g} >= 0.5)" for g in L.PROTO_GROUPS}
+_day = "least(" + ", ".join(f"CASE WHEN {_valid[g]} THEN pred_date_{g} END" for g in L.PROTO_GROUPS) + ")"
+_num = " + ".join(f"coalesce(CASE WHEN {_valid[g]} THEN order_num_{g} END, 0)" for g in L.PROTO_GROUPS)
 SQL["x9_submission_prototype"] = with_(*_PROTO_BASE) + f"""
 , m AS (SELECT user_id, {_day} AS dd, {_num} AS sc FROM plabels)
 , r AS (SELECT user_id, dd, row_number() OVER (ORDER BY sc DESC, user_id) AS rank FROM m WHERE dd IS NOT NULL)
 SELECT user_id, least(CAST({d(LB)} + CAST(floor(dd) AS INTEGER) AS DATE), {_MID}) AS pred_date, rank
-FROM r WHERE rank <= {C.TOP_N}"""
+FROM r WHERE rank <= {L.TOP_N}"""
 
 _PRED = (f"pred AS (SELECT user_id, count(DISTINCT o_id) AS n, min(o_day) AS pd FROM ofact "
          f"WHERE o_date BETWEEN {d(W6.begin)} AND {d(W6.end)} AND cate IN (30, 101) GROUP BY user_id)")
 _RANKED = "ranked AS (SELECT user_id, n, pd, row_number() OVER (ORDER BY n DESC, user_id) AS rank FROM pred)"
 
 SQL["k1_top_users"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT, _PRED, _RANKED) + f"""
-SELECT user_id, CAST(n AS BIGINT) AS order_num, rank FROM ranked WHERE rank <= {C.TOP_N}"""
+SELECT user_id, CAST(n AS BIGINT) AS order_num, rank FROM ranked WHERE rank <= {L.TOP_N}"""
 
 _SUB_REF = (f"sub AS (SELECT user_id, CAST({d(LB)} + CAST(floor(pd) AS INTEGER) AS DATE) AS pred_date, rank "
-            f"FROM ranked WHERE rank <= {C.TOP_N})")
+            f"FROM ranked WHERE rank <= {L.TOP_N})")
 SQL["x9_submission_refactored"] = with_(USERS, SKUS, ORDERS, COMMENTS, ORDER_FACT, _PRED, _RANKED, _SUB_REF) + \
     "SELECT * FROM sub"
 
@@ -231,7 +226,7 @@ SQL["x9_submission_baseline"] = with_(USERS, SKUS, ORDERS, COMMENTS, ENRICHED_OR
 , sc AS (SELECT u.user_id, u.cnt6 * ({_W}) AS score, u.first6 FROM bp u {_GJ})
 , r AS (SELECT user_id, first6, row_number() OVER (ORDER BY score DESC NULLS LAST, user_id) AS rank FROM sc)
 SELECT user_id, least(CAST({d(LB)} + CAST(trunc(first6 + 0.49 - 1) AS INTEGER) AS DATE), DATE '2001-02-14') AS pred_date, rank
-FROM r WHERE rank <= {C.TOP_N}"""
+FROM r WHERE rank <= {L.TOP_N}"""
 
 EDGES = """e AS (SELECT o.o_custkey AS src, l.l_partkey AS dst FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 DEG = """deg AS (SELECT id, sum(o) AS out_deg, sum(i) AS in_deg FROM (
@@ -257,13 +252,13 @@ def _pagerank_sql(iters: int, places: int = 10) -> str:
     return with_(*ctes) + f"SELECT id, round(rank, {places}) AS rank FROM r{iters}"
 
 
-SQL["x14_pagerank"] = _pagerank_sql(C.PR_FIXED_ITER)
+SQL["x14_pagerank"] = _pagerank_sql(L.PAGERANK_UPDATES)
 # Converged ranks: 60 updates leave less than 0.85 ** 60 of the first error, and 6 places are compared.
 _CONVERGED = _pagerank_sql(60, 17)
 SQL["x14_pagerank_converged"] = f"SELECT id, round(rank, 6) AS rank FROM ({_CONVERGED})"
 SQL["k2_top100_ranks"] = ("SELECT id, round(rank, 6) AS rank, row_number() OVER (ORDER BY rank DESC, id) AS pos FROM ("
                           + _CONVERGED + ") ORDER BY pos LIMIT 100")
-SQL["x15_rank_of"] = f"SELECT id, round(rank, 6) AS rank FROM ({_CONVERGED}) WHERE id = {C.RANK_NODE}"
+SQL["x15_rank_of"] = f"SELECT id, round(rank, 6) AS rank FROM ({_CONVERGED}) WHERE id = {L.RANK_NODE}"
 
 SQL["a44_graph_counts"] = with_(EDGES) + """
 SELECT CAST(count(*) AS BIGINT) AS n_edges,
@@ -347,7 +342,7 @@ SELECT user_id, o_id, sku_id, CAST(year(o_date) AS INTEGER) AS year, CAST(month(
   CAST(day(o_date) AS INTEGER) AS day, CAST(date_diff('day', {d(LB)}, o_date) AS INTEGER) AS offset,
   CAST({d(LB)} + CAST(trunc(o_sku_num / 7.0 + 0.49 - 1) AS INTEGER) AS DATE) AS date_trunc,
   CAST({d(LB)} + CAST(floor(o_sku_num / 7.0) AS INTEGER) AS DATE) AS date_floor,
-  least(o_date, {d(C.BASELINE_CAP)}) AS date_capped,
+  least(o_date, {d(L.BASELINE_CAP)}) AS date_capped,
   round(coalesce(exp(-(CASE WHEN o_area > 2 THEN o_sku_num END) / 12.5), 0), 8) AS decay,
   round(1.0 / (1 + ln(o_sku_num + 1)), 8) AS weight,
   round(10.0 / (10 + power(date_diff('day', {d(LB)}, o_date) - 14, 2)), 8) AS closeness,
@@ -364,7 +359,7 @@ SQL["x5_baseline_features"] = (f"SELECT * FROM ({SQL['x6_baseline_labels']}) l "
                                + f"JOIN ({SQL['x3_baseline_action_features']}) a USING (user_id) "
                                + f"JOIN ({SQL['x4_baseline_action_order_gap']}) g USING (user_id)")
 
-_M3_COLS = [s.name for s in FE.refactored_order_specs(OW)]
+_M3_COLS = [s.name for s in L.features(L.REFACTORED_ORDERS, OW)]
 SQL["m3_prepare_matrix"] = ("SELECT user_id, " + ", ".join(
     f"CAST(coalesce(CAST(\"{c}\" AS DOUBLE), -999.0) AS DOUBLE) AS \"{c}\", CAST(\"{c}\" IS NULL AS INTEGER) AS \"{c}_missing\""
     for c in _M3_COLS) + f" FROM ({SQL['x2_order_features']})")
