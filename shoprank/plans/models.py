@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from datetime import date
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,13 +132,47 @@ def _score(df: DataFrame, model, name: str) -> DataFrame:
     return model.copy().setPredictionCol(name).transform(df)
 
 
+def _fit_best(rows: DataFrame, label: str, patience: int, **gbt):
+    """A model fitted on the rows without ``_val``, cut to the trees with the smallest error on the others.
+
+    All ``maxIter`` rounds are fitted; Spark's own stop (``validationTol``)
+    has no patience and ends boosting at the first small step. The best number
+    of trees is sought until ``patience`` rounds bring nothing better; without
+    validation rows all trees stay.
+    """
+    model = _gbt(label, **gbt).fit(rows.where(~F.col("_val")))
+    held = rows.where("_val")
+    if not held.limit(1).count():
+        return model
+    best, least = 0, float("inf")
+    for i, error in enumerate(model.evaluateEachIteration(held, "squared")):
+        if error < least:
+            best, least = i, error
+        elif i - best >= patience:
+            break
+    return _first_trees(model, best + 1)
+
+
+def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` trees."""
+    sc = SparkSession.getActiveSession().sparkContext
+    package = sc._jvm.org.apache.spark.ml.regression
+    trees = sc._gateway.new_array(package.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._gateway.jvm.double, n)
+    old = model._java_obj
+    for i, tree, weight in zip(range(n), old.trees(), model.treeWeights):
+        trees[i], weights[i] = tree, float(weight)
+    new = package.GBTRegressionModel(old.uid(), trees, weights, model.numFeatures)
+    return GBTRegressionModel(old.copyValues(new, old.extractParamMap()))
+
+
 def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str], label: str, k: int = 5,
-                             bags: int = 3, holdout: float = 0.33, **gbt) -> DataFrame:
+                             bags: int = 3, holdout: float = 0.33, patience: int = 200, **gbt) -> DataFrame:
     """K-fold stacking then bagging with early stopping; returns ``(user_id, prediction)``.
 
     Stage 1 fits one model per hash fold on the other folds, with the
-    held-out fold as its validation set (boosting stops where that no longer
-    improves), and takes its prediction there as the row's stack feature; the
+    held-out fold as its validation set (see ``_fit_best``), and takes its
+    prediction there as the row's stack feature; the
     test feature is the mean of the fold models. Stage 2 fits ``bags`` models,
     each with a hash-chosen part as validation set, and averages them.
     Predictions are added to one frame, without joins.
@@ -153,8 +187,8 @@ def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str],
                 kept.append(x)
                 te = assemble(te, mcols)
                 names = [f"_p{f}" for f in range(k)]
-                models = [_gbt(label, validationIndicatorCol="_val", **gbt).fit(
-                    x.select("features", label, (F.col("fold") == f).alias("_val"))) for f in range(k)]
+                models = [_fit_best(x.select("features", label, (F.col("fold") == f).alias("_val")), label, patience, **gbt)
+                          for f in range(k)]
                 for name, m in zip(names, models):
                     x, te = _score(x, m, name), _score(te, m, name)
                 own = F.coalesce(*[F.when(F.col("fold") == f, F.col(n)) for f, n in enumerate(names)])
@@ -167,7 +201,7 @@ def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str],
             for bn in range(bags):
                 share = F.pmod(F.xxhash64("user_id", F.lit(SEED + bn), F.lit("bag")), F.lit(10_000))
                 val = (share < F.lit(int(holdout * 10_000))).alias("_val")
-                te = _score(te, _gbt(label, validationIndicatorCol="_val", **gbt).fit(x.select("features", label, val)), f"p{bn}")
+                te = _score(te, _fit_best(x.select("features", label, val), label, patience, **gbt), f"p{bn}")
         finally:
             for df in kept:
                 df.unpersist()

@@ -52,6 +52,26 @@ def test_stacked_bagged_and_forest(spark):
     assert acc > 0.8
 
 
+def test_stacked_models_boost_past_small_steps(spark, monkeypatch):
+    df, trees, score = _frame(spark, 400), [], models._score
+    monkeypatch.setattr(models, "_score", lambda d, m, name: trees.append(m.getNumTrees) or score(d, m, name))
+    p = models.stacked_bagged_regressor(df, df.drop("order_num"), ["a", "b"], "order_num", k=2, bags=1, maxIter=20)
+    assert p.where(F.col("prediction").isNull()).count() == 0
+    assert len(trees) == 5 and min(trees) > 10  # the two fold models score train and test
+
+
+def test_best_number_of_trees_on_the_validation_rows(spark):
+    rows = models.assemble(_frame(spark, 400).na.fill(0.0), ["a", "b"]).select(
+        "features", "order_num", (F.col("user_id") % 3 == 0).alias("_val")).persist()
+    how = dict(maxIter=12, stepSize=0.9)
+    errors = models._gbt("order_num", **how).fit(rows.where("not _val")).evaluateEachIteration(rows.where("_val"), "squared")
+    m = models._fit_best(rows, "order_num", 200, **how)
+    assert m.getNumTrees == errors.index(min(errors)) + 1 < 12
+    assert abs(_mse(m.transform(rows.where("_val")), "prediction", "order_num") - min(errors)) < 1e-9
+    assert models._fit_best(rows.withColumn("_val", F.lit(False)), "order_num", 200, **how).getNumTrees == 12
+    rows.unpersist()
+
+
 def test_folds_are_balanced(spark):
     df = _frame(spark, 500)
     f = models.fold_column(df, 5)
