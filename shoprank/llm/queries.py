@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, linededup, mih, mixing, neardup, packing, prefixbpe, quality, toxicity, warc
+from . import bpe, htmltext, linededup, mih, mixing, neardup, packing, prefixbpe, quality, runs, toxicity, warc
 from .common import table
 
 
@@ -84,6 +84,11 @@ def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixbpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document (every tenth with a loop) and the digest of what stays without their repetitions."""
+    return runs.with_digests(runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=runs.looped))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py`` over ``documents``."""
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -96,4 +101,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_hamming_top_k, op2_host_quality, op3_mix_sources, op4_line_dedup, op5_near_duplicates, op6_toxicity,
-                            op7_html_text, op8_packed_ids, op9_bpe, op10_warc, op12_prefix_bpe, pipeline)}
+                            op7_html_text, op8_packed_ids, op9_bpe, op10_warc, op12_prefix_bpe, op13_periodic_runs, pipeline)}
