@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, linededup, mih, mixing, neardup, packing, prefixbpe, quality, runs, toxicity, warc
+from . import bpe, convrepair, htmltext, linededup, mih, mixing, neardup, packing, prefixbpe, quality, runs, toxicity, warc
 from .common import table
 
 
@@ -79,6 +79,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("intact")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired text of every conversation, after planted damage."""
+    return convrepair.report(convrepair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids under the vocabulary with word ends, and of the text they decode to."""
     return prefixbpe.encode_documents(table(spark, sf_dir, "documents"))
@@ -101,4 +106,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_hamming_top_k, op2_host_quality, op3_mix_sources, op4_line_dedup, op5_near_duplicates, op6_toxicity,
-                            op7_html_text, op8_packed_ids, op9_bpe, op10_warc, op12_prefix_bpe, op13_periodic_runs, pipeline)}
+                            op7_html_text, op8_packed_ids, op9_bpe, op10_warc, op11_conversation_repair, op12_prefix_bpe, op13_periodic_runs, pipeline)}
