@@ -117,10 +117,74 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM j
 """
 
+#: Conversation repair: crc32 by its byte table, faults by windows, edits by a recursion from each last row over the grammar's
+#: states 0 to 3 (start, after s, after u, after a); a state's value is (cost, edits, lines).
+_ROW_EDITS = ",\n    ".join(
+    f"""list_min([struct_pack(c := 3 + w.v{s}.c, e := 'D' || w.v{s}.e, o := w.v{s}.o),
+      CASE WHEN NOT f.gone THEN struct_pack(c := 2 + f.cut + w.v{t}.c, e := 'R' || w.v{t}.e, o := '{r}:' || f.text || chr(10) || w.v{t}.o) END,
+      CASE WHEN NOT f.gone AND f.initial = '{r[0]}' THEN struct_pack(c := f.cut + w.v{t}.c, e := 'K' || w.v{t}.e, o := f.line || w.v{t}.o) END{extra}]) AS v{s}"""
+    for s, t, r, extra in ((0, 2, "user", """,
+      CASE WHEN NOT f.gone AND f.initial = 's' THEN struct_pack(c := f.cut + w.v1.c, e := 'K' || w.v1.e, o := f.line || w.v1.o) END"""),
+                           (1, 2, "user", ""), (2, 3, "assistant", ""), (3, 2, "user", "")))
+
+
+def _inserted(s: int, t: int, role: str) -> str:
+    return f"struct_pack(c := 2 + v{t}.c, e := 'I' || v{t}.e, o := '{role}:' || chr(10) || v{t}.o)"
+
+
+_TWO = "struct_pack(c := 4 + v3.c, e := 'II' || v3.e, o := 'user:' || chr(10) || 'assistant:' || chr(10) || v3.o)"
+OP11 = f"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+byte_table AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+rows AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+hashed AS (
+  SELECT rows.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda h, x: xor(t[(xor(h, x) & 255) + 1], h >> 8))) % 20 AS d FROM rows, byte_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hashed),
+ordered AS (
+  SELECT *, rtrim(text, {_WS}) AS bare, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS i FROM damaged),
+faults AS (
+  SELECT *, left(role, 1) AS initial, role || ':' || text || chr(10) AS line, bare = '' AS blank,
+    bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ordered),
+flagged AS (
+  SELECT *, blank OR dup AS gone, CASE WHEN NOT blank AND NOT dup AND right(bare, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut FROM faults),
+stats AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(CASE WHEN blank THEN 1 ELSE 0 END) AS blank,
+    sum(CASE WHEN dup THEN 1 ELSE 0 END) AS duplicate, sum(cut) AS truncated,
+    sum(CASE WHEN before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END) AS illegal FROM flagged GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, n AS i, struct_pack(c := 0, e := '', o := '') AS v0,
+    struct_pack(c := 4, e := 'II', o := 'user:' || chr(10) || 'assistant:' || chr(10)) AS v1,
+    struct_pack(c := 2, e := 'I', o := 'assistant:' || chr(10)) AS v2, struct_pack(c := 0, e := '', o := '') AS v3 FROM stats
+  UNION ALL
+  SELECT conv_id, i, list_min([v0, {_inserted(0, 2, 'user')}, {_TWO}]), list_min([v1, {_inserted(1, 2, 'user')}, {_TWO}]),
+    list_min([v2, {_inserted(2, 3, 'assistant')}]), list_min([v3, {_inserted(3, 2, 'user')}])
+  FROM (SELECT w.conv_id, w.i - 1 AS i,
+    {_ROW_EDITS}
+    FROM walk w JOIN flagged f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.i)),
+best AS (SELECT conv_id, v0 FROM walk WHERE i = 0)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(v0.c, 0) AS BIGINT) AS cost, coalesce(v0.e, '') AS audit,
+  sha256(coalesce(substr(v0.o, 1, length(v0.o) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN stats s ON a.conv_id IS NOT DISTINCT FROM s.conv_id
+LEFT JOIN best b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
 SQL = {
     "op1_hamming_top_k": OP1,
     "op2_host_quality": OP2,
     "op3_mix_sources": OP3,
     "op4_line_dedup": OP4,
     "op10_warc": OP10,
+    "op11_conversation_repair": OP11,
 }

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in "documents embeddings pages".split():
+    for t in "documents embeddings pages conversations".split():
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel = con.sql(SQL[name])
     cols = sorted(rel.columns)
