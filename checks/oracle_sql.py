@@ -366,6 +366,6 @@ SQL["m3_prepare_matrix"] = ("SELECT user_id, " + ", ".join(
 
 # Folds: the first 32 bits of md5('2018:user[:stratum]') modulo 5.
 SQL["w4_folds"] = f"""SELECT *,
-  CAST(('0x' || substr(md5('2018:' || user_id), 1, 8))::BIGINT % 5 AS INTEGER) AS fold,
-  CAST(('0x' || substr(md5('2018:' || user_id || ':' || has_order), 1, 8))::BIGINT % 5 AS INTEGER) AS strat_fold
+  CAST((row_number() OVER (ORDER BY md5('2018:' || user_id), user_id) - 1) % 5 AS INTEGER) AS fold,
+  CAST((row_number() OVER (PARTITION BY has_order ORDER BY md5('2018:' || user_id), user_id) - 1) % 5 AS INTEGER) AS strat_fold
 FROM ({SQL["x6_labels"]})"""

@@ -9,13 +9,12 @@ beyond it, so a dimension that grows with the data never floods executors.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import to_midnight
 from ..functions.predicates import recode_category
 from ..schema import RetailBundle
-from ..session import read_back, shared_path
+from .rangerank import exact_quantiles
 
 MISSING_SCORE = -1
 QUINTILES = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
@@ -137,36 +136,21 @@ def prototype_order_scores(order: DataFrame, comment: DataFrame) -> DataFrame:
     )
 
 
-def quintile_edges(df: DataFrame, col: str, approx: bool = False, accuracy: int = 10000) -> Column:
-    """Bin edges at 0, 20, ..., 100 % as a scalar-subquery Column.
+def quintile_edges(df: DataFrame, cols: list[str], approx: bool = False, accuracy: int = 10000) -> dict[str, Column]:
+    """Bin edges at 0, 20, ..., 100 % of each column as an array literal.
 
-    The exact form interpolates linearly like ``pandas.qcut``. Values are
-    counted first; the counts are dealt out by range and written with their
-    partition's number, so each partition ranks its own values and only one
-    total per partition is summed up across them: no task holds all values.
-    ``approx=True`` uses a bounded sketch instead.
+    The exact form interpolates linearly like ``pandas.qcut``; all columns are
+    counted in one pass (see ``exact_quantiles``). ``approx=True`` uses a
+    bounded sketch per column instead.
     """
-    c = F.col(col).cast("double")
     if approx:
-        return df.select(F.percentile_approx(c, list(QUINTILES), accuracy).alias("edges")).scalar()
-    counts = df.where(F.col(col).isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    ranged = counts.repartitionByRange("v").withColumn("part", F.spark_partition_id())
-    ranged = read_back(ranged, shared_path(spark, "quintile-counts"))
-    parts = ranged.groupBy("part").agg(F.sum("n").alias("rows"))
-    parts = parts.withColumn("before", F.coalesce(
-        F.sum("rows").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("rows")
-    upto = F.sum("n").over(W.partitionBy("part").orderBy("v")) + F.col("before")
-    placed = ranged.join(parts, "part").select("v", "n", upto.alias("upto"))
-    total = ranged.agg(F.sum("n")).scalar()
-    at = [F.lit(q) * (total - F.lit(1)) for q in QUINTILES]
-
-    def value(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("v")))
-
-    low = [value(F.floor(x)) for x in at]
-    high = [value(F.ceil(x)) for x in at]
-    return placed.agg(F.array(*[a + (x - F.floor(x)) * (b - a) for x, a, b in zip(at, low, high)]).alias("edges")).scalar()
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(QUINTILES), accuracy).alias(c) for c in cols]).first()
+        found = {c: row[c] for c in cols}
+    else:
+        both = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x"))
+        found = exact_quantiles(both.select("x.c", "x.v"), "c", "v", list(QUINTILES))
+    none = [None] * len(QUINTILES)
+    return {c: F.array(*[F.lit(x).cast("double") for x in found.get(c) or none]) for c in cols}
 
 
 def quintile_band(x: Column, edges: Column) -> Column:
@@ -182,12 +166,11 @@ def quintile_band(x: Column, edges: Column) -> Column:
 
 def prototype_skus(sku: DataFrame, approx: bool = False) -> DataFrame:
     """F9 + F10: recoded category and quintile bands of ``price`` and ``para_1``."""
-    pe = quintile_edges(sku, "price", approx)
-    p1 = quintile_edges(sku, "para_1", approx)
+    edges = quintile_edges(sku, ["price", "para_1"], approx)
     return sku.select(
         "sku_id",
-        quintile_band(F.col("price"), pe).alias("price"),
+        quintile_band(F.col("price"), edges["price"]).alias("price"),
         recode_category("cate").alias("cate"),
-        quintile_band(F.col("para_1"), p1).alias("para_1"),
+        quintile_band(F.col("para_1"), edges["para_1"]).alias("para_1"),
         "para_2", "para_3",
     )

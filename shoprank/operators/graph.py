@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.mathx import within_tolerance
 from ..session import read_back, remove_path, shared_path
+from .rangerank import exact_quantiles
 
 # Damping and tolerances of the reference defaults.
 DAMPING = 0.85
@@ -70,23 +71,26 @@ def graph_counts(edges: DataFrame) -> DataFrame:
 def degree_summary(edges: DataFrame) -> DataFrame:
     """Count, mean, std, min, quartiles, max of out-degree (over sources) and in-degree (over targets).
 
-    Exact quartiles interpolate linearly like ``describe``; their buffer is
-    one counter per distinct degree value, far fewer than nodes.
+    Exact quartiles interpolate linearly like ``describe``; the degrees of
+    both kinds are ranked over range partitions (``exact_quantiles``).
     """
     deg = degrees(edges)
     rows = deg.select(F.explode(F.array(
         F.struct(F.lit("out").alias("kind"), F.col("out_deg").alias("deg")),
         F.struct(F.lit("in").alias("kind"), F.col("in_deg").alias("deg")),
     )).alias("r")).select("r.*").where(F.col("deg") > 0)
-    q = F.percentile(F.col("deg"), [0.25, 0.5, 0.75])
+    at = exact_quantiles(rows, "kind", "deg", [0.25, 0.5, 0.75])
+
+    def quartile(i: int) -> Column:
+        return F.when(F.col("kind") == "out", F.lit(at.get("out", [None] * 3)[i])).otherwise(F.lit(at.get("in", [None] * 3)[i])).cast("double")
+
     return rows.groupBy("kind").agg(
         F.count(F.lit(1)).cast("long").alias("count"),
         F.avg("deg").alias("mean"),
         F.stddev_samp("deg").alias("std"),
         F.min("deg").alias("min"),
-        q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
         F.max("deg").alias("max"),
-    )
+    ).select("kind", "count", "mean", "std", "min", *[quartile(i).alias(n) for i, n in enumerate(("p25", "p50", "p75"))], "max")
 
 
 def degree_histogram(edges: DataFrame, width: int = 1, below: dict[str, int] | None = None) -> DataFrame:

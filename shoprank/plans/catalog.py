@@ -479,11 +479,11 @@ def m3_prepare_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w4_folds")
 def w4_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hash folds (k = 5) and stratified folds on the label."""
+    """Shuffled folds (k = 5) and folds stratified by the label, exactly balanced."""
     b = retail.retail_from_testdata(spark, sf_dir)
     y = labels.build_labels(b.user, enrich.order_with_category(b), LABEL.label_begin, LABEL.label_end)
-    y = models.fold_column(y, 5)
-    return models.fold_column(y, 5, stratify="has_order", name="strat_fold")
+    y = models.exact_folds(y, 5)
+    return models.exact_folds(y, 5, stratify="has_order", name="strat_fold")
 
 
 @query("x11_two_target_gbt")
@@ -514,22 +514,22 @@ def x11_baseline_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("x18_feature_importance")
 def x18_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature importances of the order-count model, descending."""
+    """Splits and gain of every feature in the models of both labels, most used first."""
     b, train, test, cols = _ml_frames(spark, sf_dir)
-    model = models.fit_targets(train, cols, {"order_num": (F.col("order_num"), None)})["order_num"]
-    return models.feature_importance(spark, model, models.matrix_columns(cols))
+    targets = {x: (F.col(x), None) for x in ("order_num", "pred_date")}
+    return models.feature_importance(spark, models.fit_targets(train, cols, targets), list(targets))
 
 
 @query("x12_stacked_bagged")
 def x12_stacked_bagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-fold stacking + 3 bagged models with validation-based early stopping."""
+    """5-fold stacking + 3 bagged models, stopped after 25 rounds without improvement."""
     b, train, test, cols = _ml_frames(spark, sf_dir)
-    return models.stacked_bagged_regressor(train, test, cols, "order_num", k=5, bags=3)
+    return models.stacked_bagged_regressor(train, test, cols, "order_num", k=5, bags=3, patience=25)
 
 
 @query("x13_per_label_forest")
 def x13_per_label_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One random forest per prototype label, trained on the previous month."""
+    """One random forest for all prototype labels, trained on the previous month."""
     b, sku, osc = _proto(spark, sf_dir)
     tr_f = prototype.prototype_features(b.action, osc, sku, date(2000, 7, 1), date(2000, 12, 31), PROTO_GROUPS)
     tr_y = prototype.prototype_labels(osc, sku, date(2001, 1, 1), date(2001, 1, 31), tr_f, PROTO_GROUPS)

@@ -30,7 +30,7 @@ from .windows import feature_windows
 
 
 def run_baseline(b: RetailBundle, predict_begin: date, cap: date, n: int = ranking.SUBMISSION_SIZE,
-                 action_windows=None, pair_sources=None, out: str | None = None, **gbt) -> DataFrame:
+                 action_windows=None, pair_sources=None, out: str | None = None, **kw) -> DataFrame:
     """Baseline flow: train on the month before ``predict_begin``, predict that month."""
     train_w = feature_windows(add_months(predict_begin, -1))
     test_w = feature_windows(predict_begin)
@@ -43,7 +43,7 @@ def run_baseline(b: RetailBundle, predict_begin: date, cap: date, n: int = ranki
              .withColumn("has_order", F.col("Label_30_101_BuyNum") > 0))
     pred, _ = models.train_predict_two_target(
         train, test, cols, count_label="Label_30_101_BuyNum", date_label="Label_30_101_FirstTime",
-        count_weight="confidence", date_only_buyers="has_order", **gbt)
+        count_weight="confidence", date_only_buyers="has_order", **kw)
     sub = ranking.submission_baseline(pred, predict_begin, cap, n)
     if out:
         sinks.write_submission(sub, out)
@@ -51,18 +51,18 @@ def run_baseline(b: RetailBundle, predict_begin: date, cap: date, n: int = ranki
 
 
 def run_refactored(b: RetailBundle, test_begin: date, validation: bool = False, n: int = ranking.SUBMISSION_SIZE,
-                   action_windows=None, pair_sources=None, out: str | None = None, **gbt) -> DataFrame:
+                   action_windows=None, pair_sources=None, out: str | None = None, **kw) -> DataFrame:
     """Refactored flow: returns the score row in validation mode, else the submission."""
     if validation:
         return models.holdout_validation(b, test_begin, n=n, action_windows=action_windows,
-                                         pair_sources=pair_sources, **gbt)
+                                         pair_sources=pair_sources, **kw)
     train_w = feature_windows(add_months(test_begin, -1))
     test_w = feature_windows(test_begin)
     train_x = pipeline.build_features(b, train_w.features, action_windows, pair_sources)
     test_x = pipeline.build_features(b, test_w.features, action_windows, pair_sources)
     y = labels.build_labels(b.user, enrich.order_with_category(b), train_w.label_begin, train_w.label_end)
     cols = [c for c in train_x.columns if c != "user_id"]
-    pred, _ = models.train_predict_two_target(train_x.join(y, "user_id"), test_x, cols, **gbt)
+    pred, _ = models.train_predict_two_target(train_x.join(y, "user_id"), test_x, cols, **kw)
     sub = ranking.submission_refactored(pred, test_w.label_begin, n)
     if out:
         sinks.write_submission(sub, out)

@@ -1,24 +1,20 @@
-"""Spark ML jobs: matrix preparation, boosted trees, stacking/bagging, forests.
+"""Model jobs: matrix preparation, boosted trees, stacking and bagging, a forest, folds.
 
-Training data is one row per user, so it is bounded by the user count, and
-Spark ML's tree learners aggregate split statistics across partitions; no
-data is collected to the driver except the fitted trees and the list of
-feature importances (one number per feature column).
+Training data is one row per user. Trees are grown by passes over a binned
+matrix in the shared folder (``operators.trees``); the driver holds trees,
+bin edges and histogram sums, never rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import enrich, labels, ranking, scoring
+from ..operators import enrich, labels, ranking, scoring, trees
+from ..operators.rangerank import with_rank
+from ..operators.trees import TRAIN, VALIDATION
 from ..plans import pipeline
 from ..plans.windows import feature_windows
 from ..schema import RetailBundle
@@ -27,20 +23,19 @@ from ..session import read_back, remove_path, shared_path
 SENTINEL = -999.0
 SEED = 2018
 
-# Reference booster settings mapped to Spark's GBT: L2 loss, 100 rounds,
-# learning rate 0.05, 0.9 of the features and 0.8 of the rows per tree.
-# Leaf-wise growth with 31 leaves has no Spark equivalent; depth 5 is the
-# closest level-wise shape.
-GBT_DEFAULTS = dict(lossType="squared", maxDepth=5, stepSize=0.05, maxIter=100,
-                    subsamplingRate=0.8, featureSubsetStrategy="0.9", seed=SEED)
+# The reference's booster settings (100 rounds unless stopped, learning rate 0.05, 0.9 of the features per tree,
+# 0.8 of the rows drawn anew every 5 trees, 20 rows in a leaf at least; stacked and bagged models stop after 200 rounds without
+# improvement, 10,000 at most). Trees grow level by level to 32 leaves, where the reference grows 31 leaf by leaf.
+ROUNDS, RATE = 100, 0.05
+MOST_ROUNDS, PATIENCE = 10_000, 200
 
 
 def prepare_matrix(df: DataFrame, cols: list[str], sentinel: float = SENTINEL, indicators: bool = True) -> DataFrame:
     """M3: numeric matrix without NULLs: sentinel fill plus ``<col>_missing`` flags.
 
-    Spark trees do not route missing values; a sentinel below every real
-    value plus an explicit flag lets a split separate "missing" like the
-    reference booster does.
+    For learners that do not route missing values. The trees used here read
+    the columns themselves, NULLs included, and learn the side of a split
+    that missing values take.
     """
     out = [F.col("user_id")]
     for c in cols:
@@ -55,196 +50,101 @@ def matrix_columns(cols: list[str], indicators: bool = True) -> list[str]:
     return [x for c in cols for x in ([c, f"{c}_missing"] if indicators else [c])]
 
 
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
+def exact_folds(df: DataFrame, k: int, seed: int = SEED, stratify: str | None = None, name: str = "fold", path: str | None = None) -> DataFrame:
+    """Shuffled folds whose sizes differ by one at most, in every stratum.
 
-
-def fold_column(df: DataFrame, k: int, seed: int = SEED, stratify: str | None = None, name: str = "fold") -> DataFrame:
-    """Hash folds: the first 32 bits of ``md5(seed:user_id[:stratum])`` modulo ``k``.
-
-    The fold of a row depends only on its own key (and, with ``stratify``,
-    on its stratum value), so assignment needs no ordering, no window and no
-    shuffle; folds are balanced in expectation within every stratum.
+    Rows are ordered by the md5 of ``seed:user_id`` within their stratum and
+    dealt out in turn; the ranks come from range partitions, so no stratum is
+    one task's window (D11: the order depends on seed and id alone).
     """
-    parts = [F.lit(str(seed)), F.col("user_id").cast("string")] + ([F.col(stratify).cast("string")] if stratify else [])
-    bits = F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("long")
-    return df.withColumn(name, F.pmod(bits, F.lit(k)).cast("int"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user_id").cast("string")).cast("binary"))
+    ranked = with_rank(df.withColumn("_order", order), ["_order", "user_id"], [stratify] if stratify else [], "_rank", path)
+    return ranked.withColumn(name, (F.col("_rank") % k).cast("int")).drop("_order", "_rank")
 
 
-@contextmanager
-def written_matrix(train: DataFrame, cols: list[str]) -> Iterator[DataFrame]:
-    """The M3 matrix of ``train`` in the shared folder, deleted at the end.
-
-    Boosting reads the matrix once per tree level. Written, the feature plan
-    runs once, a lost executor costs its own splits only, and the number of
-    tasks follows the matrix's size instead of the feature plan's shuffles.
-    """
-    spark = train.sparkSession
-    path = shared_path(spark, "matrix")
-    try:
-        yield read_back(prepare_matrix(train, cols), path)
-    finally:
-        remove_path(spark, path)
-
-
-def _gbt(label: str, **kw) -> GBTRegressor:
-    params = {**GBT_DEFAULTS, **kw}
-    return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **params)
+def fit_targets(train: DataFrame, cols: list[str], targets: dict[str, tuple[Column, str | None]], rounds: int = ROUNDS,
+                rate: float = RATE, **kw) -> trees.Ensemble:
+    """One boosted-tree model per target, grown side by side: its label, and the boolean column that restricts its rows (or None)."""
+    y = [label for label, _ in targets.values()]
+    role = [F.when(F.coalesce(F.col(only), F.lit(False)) if only else F.lit(True), TRAIN).otherwise(0) for _, only in targets.values()]
+    return trees.boost(train, cols, y, role, rounds=rounds, rate=rate, **kw)
 
 
 def train_predict_two_target(train: DataFrame, test: DataFrame, cols: list[str],
                              count_label: str = "order_num", date_label: str = "pred_date",
                              count_weight: str | None = None, date_only_buyers: str | None = None,
-                             **gbt) -> tuple[DataFrame, dict]:
-    """X11: one L2 boosted-tree regression per label, predictions for ``test``.
+                             **kw) -> tuple[DataFrame, trees.Ensemble]:
+    """X11: one squared-error boosted-tree regression per label, predictions for ``test``.
 
     ``count_weight`` multiplies the count label (the baseline's regularity
     weight, X8); ``date_only_buyers`` names a boolean column restricting the
     date model to users who bought (baseline, with D10's ``has_order``).
-    Both models score one frame one after the other: no join.
+    Both models grow in the same passes and score one frame: no join.
     """
     y = F.col(count_label) * F.col(count_weight) if count_weight else F.col(count_label)
     targets = {count_label: (y, None), date_label: (F.col(date_label), date_only_buyers)}
-    models = fit_targets(train, cols, targets, **gbt)
-    mcols = matrix_columns(cols)
-    out = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
-    for name in targets:
-        out = _score(out, models[name], name)
-    return out.drop("features"), {**models, "columns": mcols}
-
-
-def fit_targets(train: DataFrame, cols: list[str], targets: dict[str, tuple[Column, str | None]], **gbt) -> dict:
-    """One boosted-tree model per target: its label, and the boolean column that restricts its rows (or None)."""
-    mcols, models = matrix_columns(cols), {}
-    with written_matrix(train, cols) as matrix:
-        tr = assemble(matrix, mcols).persist()
-        try:
-            for name, (label, only) in targets.items():
-                rows = tr.where(F.col(only)) if only else tr
-                models[name] = _gbt("_y", **gbt).fit(rows.select("features", label.cast("double").alias("_y")))
-        finally:
-            tr.unpersist()
-    return models
+    model = fit_targets(train, cols, targets, **kw)
+    return trees.with_predictions(test.select("user_id", *cols), model, list(targets)).select("user_id", *targets), model
 
 
-def _score(df: DataFrame, model, name: str) -> DataFrame:
-    """``df`` with the model's prediction as column ``name``."""
-    return model.copy().setPredictionCol(name).transform(df)
+def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str], label: str, k: int = 5, bags: int = 3,
+                             holdout: float = 0.33, rounds: int = MOST_ROUNDS, patience: int = PATIENCE, **kw) -> DataFrame:
+    """K-fold stacking, then bagging, both with early stopping; returns ``(user_id, prediction)``.
 
-
-def _fit_best(rows: DataFrame, label: str, patience: int, **gbt):
-    """A model fitted on the rows without ``_val``, cut to the trees with the smallest error on the others.
-
-    All ``maxIter`` rounds are fitted; Spark's own stop (``validationTol``)
-    has no patience and ends boosting at the first small step. The best number
-    of trees is sought until ``patience`` rounds bring nothing better; without
-    validation rows all trees stay.
+    Stage 1 fits one model per fold on the other folds, with the held-out
+    fold as its validation set, and takes its prediction there as the row's
+    stack feature; the test feature is the mean of the fold models. Folds are
+    stratified by the label. Stage 2 fits ``bags`` models, each with a
+    hash-chosen part as validation set, and averages them. All models of a
+    stage grow in the same passes, and a model that has stopped costs nothing
+    more. The rows of both frames go through as one table, without joins.
     """
-    model = _gbt(label, **gbt).fit(rows.where(~F.col("_val")))
-    held = rows.where("_val")
-    if not held.limit(1).count():
-        return model
-    best, least = 0, float("inf")
-    for i, error in enumerate(model.evaluateEachIteration(held, "squared")):
-        if error < least:
-            best, least = i, error
-        elif i - best >= patience:
-            break
-    return _first_trees(model, best + 1)
-
-
-def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The model of the first ``n`` trees."""
-    sc = SparkSession.getActiveSession().sparkContext
-    package = sc._jvm.org.apache.spark.ml.regression
-    trees = sc._gateway.new_array(package.DecisionTreeRegressionModel, n)
-    weights = sc._gateway.new_array(sc._gateway.jvm.double, n)
-    old = model._java_obj
-    for i, tree, weight in zip(range(n), old.trees(), model.treeWeights):
-        trees[i], weights[i] = tree, float(weight)
-    new = package.GBTRegressionModel(old.uid(), trees, weights, model.numFeatures)
-    return GBTRegressionModel(old.copyValues(new, old.extractParamMap()))
-
-
-def stacked_bagged_regressor(train: DataFrame, test: DataFrame, cols: list[str], label: str, k: int = 5,
-                             bags: int = 3, holdout: float = 0.33, patience: int = 200, **gbt) -> DataFrame:
-    """K-fold stacking then bagging with early stopping; returns ``(user_id, prediction)``.
-
-    Stage 1 fits one model per hash fold on the other folds, with the
-    held-out fold as its validation set (see ``_fit_best``), and takes its
-    prediction there as the row's stack feature; the
-    test feature is the mean of the fold models. Stage 2 fits ``bags`` models,
-    each with a hash-chosen part as validation set, and averages them.
-    Predictions are added to one frame, without joins.
-    """
-    mcols = matrix_columns(cols)
-    with written_matrix(train.withColumn(label, F.col(label).cast("double")), cols) as tr:
-        te = prepare_matrix(test, cols)
-        kept = []
-        try:
-            if k > 1:
-                x = assemble(fold_column(tr, k), mcols).persist()
-                kept.append(x)
-                te = assemble(te, mcols)
-                names = [f"_p{f}" for f in range(k)]
-                models = [_fit_best(x.select("features", label, (F.col("fold") == f).alias("_val")), label, patience, **gbt)
-                          for f in range(k)]
-                for name, m in zip(names, models):
-                    x, te = _score(x, m, name), _score(te, m, name)
-                own = F.coalesce(*[F.when(F.col("fold") == f, F.col(n)) for f, n in enumerate(names)])
-                tr = x.withColumn("stack", own).drop("features", "fold", *names)
-                te = te.withColumn("stack", sum((F.col(n) for n in names[1:]), F.col(names[0])) / F.lit(k)).drop("features", *names)
-                mcols = mcols + ["stack"]
-            x = assemble(tr, mcols).select("user_id", "features", label).persist()
-            kept.append(x)
-            te = assemble(te, mcols).select("user_id", "features")
-            for bn in range(bags):
-                share = F.pmod(F.xxhash64("user_id", F.lit(SEED + bn), F.lit("bag")), F.lit(10_000))
-                val = (share < F.lit(int(holdout * 10_000))).alias("_val")
-                te = _score(te, _fit_best(x.select("features", label, val), label, patience, **gbt), f"p{bn}")
-        finally:
-            for df in kept:
-                df.unpersist()
-    avg = sum((F.col(f"p{bn}") for bn in range(1, bags)), F.col("p0")) / F.lit(bags)
-    return te.select("user_id", avg.alias("prediction"))
+    spark = train.sparkSession
+    both = train.select("user_id", *cols, F.col(label).cast("double").alias("_y"), F.lit(True).alias("_train")).unionByName(
+        test.select("user_id", *cols, F.lit(None).cast("double").alias("_y"), F.lit(False).alias("_train")))
+    paths = {x: shared_path(spark, f"stack-{x}") for x in ("rows", "folds", "stacked")}
+    try:
+        rows = read_back(both, paths["rows"])
+        if k > 1:
+            rows = exact_folds(rows.withColumn("_s", F.col("_y")), k, stratify="_s", name="_fold", path=paths["folds"])
+            role = [F.when(F.col("_train"), F.when(F.col("_fold") == f, VALIDATION).otherwise(TRAIN)).otherwise(0) for f in range(k)]
+            first = trees.boost(rows, cols, [F.col("_y")] * k, role, rounds=rounds, patience=patience, **kw)
+            names = [f"_p{f}" for f in range(k)]
+            scored = trees.with_predictions(rows, first, names)
+            own = F.element_at(F.array(*[F.col(x) for x in names]), F.col("_fold") + 1)
+            mean = sum((F.col(x) for x in names[1:]), F.col(names[0])) / F.lit(k)
+            rows = read_back(scored.withColumn("stack", F.when(F.col("_train"), own).otherwise(mean)).drop("_s", "_fold", *names), paths["stacked"])
+            cols = [*cols, "stack"]
+        share = [F.pmod(F.xxhash64("user_id", F.lit(SEED + b), F.lit("bag")), F.lit(10_000)) for b in range(bags)]
+        role = [F.when(F.col("_train"), F.when(x < int(holdout * 10_000), VALIDATION).otherwise(TRAIN)).otherwise(0) for x in share]
+        second = trees.boost(rows, cols, [F.col("_y")] * bags, role, rounds=rounds, patience=patience, **kw)
+        names = [f"_p{b}" for b in range(bags)]
+        out = trees.with_predictions(rows.where(~F.col("_train")), second, names)
+        mean = sum((F.col(x) for x in names[1:]), F.col(names[0])) / F.lit(bags)
+        return read_back(out.select("user_id", mean.alias("prediction")), shared_path(spark, "stack-predictions"))
+    finally:
+        for p in paths.values():
+            remove_path(spark, p)
 
 
-def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_cols: list[str],
-                     num_trees: int = 10, seed: int = SEED) -> DataFrame:
-    """One random-forest classifier per label column (Spark has no multi-output trees).
+def per_label_forest(train: DataFrame, test: DataFrame, cols: list[str], label_cols: list[str], num_trees: int = 10,
+                     shape: trees.Shape | None = None) -> DataFrame:
+    """One random forest over all label columns together; the classes predicted for ``test``.
 
-    The distinct values of a label are its classes, whatever their number;
-    their index carries the class count to the learner, and predictions are
-    mapped back to the values. The labels' models score one frame in turn.
+    A split lowers the Gini impurity summed over the labels, so all labels
+    share their trees; each label gets the class with the largest mean share.
     """
-    mcols = matrix_columns(cols)
-    out = assemble(prepare_matrix(test, cols), mcols).select("user_id", "features")
-    with written_matrix(train, cols) as matrix:
-        tr = assemble(matrix, mcols)
-        for lab in label_cols:
-            data = tr.withColumn("_class", F.col(lab).cast("long").cast("string"))
-            index = StringIndexer(inputCol="_class", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
-            values = [int(v) for v in index.labels]
-            if len(values) == 1:  # a single class needs no trees
-                out = out.withColumn(lab, F.lit(values[0]).cast("long"))
-                continue
-            rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=num_trees, seed=seed)
-            # a copy is without the training summary, which holds the session and cannot be sent to executors
-            m = rf.fit(index.transform(data)).copy().setPredictionCol("_class")
-            value = F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_class").cast("int") + 1)
-            out = m.transform(out).withColumn(lab, value).drop("_class", "rawPrediction", "probability")
-    return out.select("user_id", *label_cols)
+    model = trees.class_forest(train, cols, label_cols, num_trees, shape)
+    return trees.with_predictions(test.select("user_id", *cols), model, label_cols).select("user_id", *label_cols)
 
 
-def feature_importance(spark: SparkSession, model, names: list[str]) -> DataFrame:
-    """``(name, importance)`` descending (gain-based in Spark)."""
-    imp = model.featureImportances.toArray().tolist()
-    rows = list(zip(names, [float(x) for x in imp]))
-    return spark.createDataFrame(rows, "name string, importance double").orderBy(F.desc("importance"), F.asc("name"))
+def feature_importance(spark: SparkSession, model: trees.Ensemble, names: list[str]) -> DataFrame:
+    """``(model, name, splits, gain)`` of every feature, by number of splits (the reference's importance)."""
+    return trees.importance(trees.node_table(spark, model, names), model.columns)
 
 
 def holdout_validation(b: RetailBundle, test_label_begin: date, months=(1, 3, 6), n: int = 50_000,
-                       action_windows=None, pair_sources=None, **gbt) -> DataFrame:
+                       action_windows=None, pair_sources=None, **kw) -> DataFrame:
     """Train on month m-1, predict month m, score against month m's first orders.
 
     Returns one row ``(s1, s2, s)``.
@@ -258,7 +158,7 @@ def holdout_validation(b: RetailBundle, test_label_begin: date, months=(1, 3, 6)
     test_x = pipeline.build_features(b, test_w.features, action_windows, pair_sources)
     y = labels.build_labels(b.user, of, train_w.label_begin, train_w.label_end)
     cols = [c for c in train_x.columns if c != "user_id"]
-    pred, _ = train_predict_two_target(train_x.join(y, "user_id"), test_x, cols, **gbt)
+    pred, _ = train_predict_two_target(train_x.join(y, "user_id"), test_x, cols, **kw)
     sub = ranking.submission_refactored(pred, test_w.label_begin, n)
     truth = labels.ground_truth(b.order, test_w.label_begin, test_w.label_end)
     return scoring.score(truth, sub)

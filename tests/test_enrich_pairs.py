@@ -12,12 +12,12 @@ from shoprank.schema import RetailBundle
 
 def test_quintile_edges_and_bands(spark):
     df = spark.createDataFrame([(float(x),) for x in (10, 11, 12, 13, 14, 15, 20)], "price double")
-    edges = df.select(enrich.quintile_edges(df, "price").alias("e")).first()["e"]
+    edges = df.select(enrich.quintile_edges(df, ["price"])["price"].alias("e")).first()["e"]
     assert [round(x, 6) for x in edges] == [10, 11.2, 12.4, 13.6, 14.8, 20]
     small = spark.createDataFrame([(float(x),) for x in (0, 1, 2, 8, 9, 20, 30, 3, 4, 6)], "v double")
-    e2 = small.select(enrich.quintile_edges(small, "v").alias("e")).first()["e"]
+    e2 = small.select(enrich.quintile_edges(small, ["v"])["v"].alias("e")).first()["e"]
     assert [round(x, 6) for x in e2] == [0, 1.8, 3.6, 6.8, 11.2, 30]
-    bands = {r["v"]: r["b"] for r in small.select("v", enrich.quintile_band(F.col("v"), enrich.quintile_edges(small, "v")).alias("b")).collect()}
+    bands = {r["v"]: r["b"] for r in small.select("v", enrich.quintile_band(F.col("v"), enrich.quintile_edges(small, ["v"])["v"]).alias("b")).collect()}
     # computed from original values; an inner edge belongs to the lower band
     assert bands[0.0] == 0 and bands[1.0] == 0 and bands[2.0] == 1 and bands[30.0] == 4 and bands[8.0] == 3
 
@@ -93,9 +93,9 @@ def test_quintile_edges_match_linear_quantiles(spark):
     rnd = random.Random(11)
     vals = [float(rnd.choice([rnd.randint(0, 30), rnd.uniform(0, 100)])) for _ in range(137)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    edges = df.select(enrich.quintile_edges(df, "v").alias("e")).first()["e"]
+    edges = df.select(enrich.quintile_edges(df, ["v"])["v"].alias("e")).first()["e"]
     want = np.quantile(np.array(vals), [0, 0.2, 0.4, 0.6, 0.8, 1.0])
     assert np.allclose(edges, want, rtol=0, atol=1e-9)
-    got = {r["v"]: r["b"] for r in df.select("v", enrich.quintile_band(F.col("v"), enrich.quintile_edges(df, "v")).alias("b")).collect()}
+    got = {r["v"]: r["b"] for r in df.select("v", enrich.quintile_band(F.col("v"), enrich.quintile_edges(df, ["v"])["v"]).alias("b")).collect()}
     for v in vals:
         assert got[v] == next(i for i in range(5) if v <= want[i + 1] or i == 4)

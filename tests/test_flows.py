@@ -19,13 +19,13 @@ def test_baseline_and_refactored_flows(spark):
     ps = retail.pair_sources_from_testdata(spark, SF)
     out = os.path.join(tempfile.mkdtemp(prefix="shoprank-flow-"), "sub")
     sub = flows.run_baseline(b, date(2001, 2, 1), date(2001, 2, 14), n=50, action_windows=C.ACTION_WINDOWS,
-                             pair_sources=ps, out=out, maxIter=3)
+                             pair_sources=ps, out=out, rounds=3)
     rows = sub.collect()
     assert 0 < len(rows) <= 50 and all(r["pred_date"] <= date(2001, 2, 14) for r in rows)
     assert sorted(r["rank"] for r in rows) == list(range(1, len(rows) + 1))
-    assert any(fn.endswith(".csv") for fn in os.listdir(out))
+    assert any(fn.endswith(".txt") for fn in os.listdir(out))
     score = flows.run_refactored(b, date(2001, 2, 1), validation=True, n=50, action_windows=C.ACTION_WINDOWS,
-                                 pair_sources=ps, maxIter=3).first()
+                                 pair_sources=ps, rounds=3).first()
     assert 0.0 <= score["s"] <= 1.0
 
 

@@ -5,7 +5,7 @@ window filters pushed into the parquet scans."""
 import pytest
 
 import __spark_entry__ as entry
-from shoprank.plans import models
+from shoprank.operators import trees
 from shoprank.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -17,8 +17,8 @@ SKIP = {"x14_pagerank_converged", "k2_top100_ranks", "x15_rank_of"}
 @pytest.fixture(autouse=True)
 def few_rounds(monkeypatch):
     """Two boosting rounds give the same plans as a hundred."""
-    monkeypatch.setitem(models.GBT_DEFAULTS, "maxIter", 2)
-
+    boost = trees.boost
+    monkeypatch.setattr(trees, "boost", lambda *a, **kw: boost(*a, **{**kw, "rounds": 2}))
 
 
 def _plan(df):

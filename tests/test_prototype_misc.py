@@ -116,7 +116,7 @@ def test_quintile_edges_are_exact_over_many_values(spark):
     rng = np.random.default_rng(3)
     values = np.round(rng.gamma(2.0, 50.0, 3001), 1)
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "price double").repartition(7)
-    edges = spark.range(1).select(enrich.quintile_edges(df, "price").alias("e")).first()["e"]
+    edges = spark.range(1).select(enrich.quintile_edges(df, ["price"])["price"].alias("e")).first()["e"]
     assert np.allclose(edges, np.quantile(values, [0, 0.2, 0.4, 0.6, 0.8, 1.0]), atol=1e-9)
-    plan = spark.range(1).select(enrich.quintile_edges(df, "price").alias("e"))._jdf.queryExecution().executedPlan().toString()
+    plan = spark.range(1).select(enrich.quintile_edges(df, ["price"])["price"].alias("e"))._jdf.queryExecution().executedPlan().toString()
     assert "percentile" not in plan

@@ -59,7 +59,7 @@ def test_submission_sink_and_name(spark):
                                  "user_id long, pred_date date, rank long")
     out = os.path.join(d, "sub")
     sinks.write_submission(pred, out)
-    text = "".join(open(os.path.join(out, fn)).read() for fn in sorted(os.listdir(out)) if fn.endswith(".csv"))
+    text = "".join(open(os.path.join(out, fn)).read() for fn in sorted(os.listdir(out)) if fn.endswith(".txt"))
     assert text.splitlines() == ["user_id,pred_date", "3,2017-05-01", "5,2017-05-02"]
     assert sinks.timestamped_name("prediction", datetime(2017, 5, 1, 9, 7)) == "prediction_0501_0907.csv"
 
