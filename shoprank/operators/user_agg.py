@@ -1,34 +1,34 @@
-"""Per-user conditional aggregation over several date windows in one scan.
+"""Per-user conditional aggregation over several date windows at two grains.
 
 This is the engine behind every feature and label builder. A feature is an
 aggregate (count, sum, min, max, mean, distinct count, mode, mean gap, gap
 deviation) of one column over the rows of one user that fall in one date
 window and satisfy one predicate (a category group, a score filter, ...).
 The reference computes each feature with its own filter-group-merge round;
-here all of them are computed from a single scan of the fact table:
-
-Level 1 — ``groupBy(user, tag, key)``. Each row is emitted once per *tag*:
-  tag 0 is keyed by the row's date, and one more tag per column that needs a
-  distinct count or a mode, keyed by that column's value. Window membership
-  is a function of the date, so at the (user, date) grain the per-predicate
-  row counts, sums, minima and maxima are window-independent; distinct-count
-  tags carry a bit mask of the (predicate, window) pairs a key occurs in, and
-  mode tags carry per-(predicate, window) counts. Map-side partial
-  aggregation collapses duplicates before the shuffle, and a heavy user's
-  rows spread over many reducers because the key is part of the hash.
-
-Level 2 — ``groupBy(user)`` over the level-1 rows, again with partial
-  aggregation, turns them into features: window-conditional sums of the date
-  measures, bit counts of the masks (distinct counts without Spark's
-  per-expression ``Expand``), ``max_by`` for modes.
-
-Gap deviation needs successive dates. Level 2 keeps, per user and
-  predicate, the sorted list of distinct dates with rows (``collect_list``
-  over the tag-0 rows: at most one entry per day of the window hull, a bound
-  set by the window length and not by the data volume), and sums squared
-  differences of neighbours with higher-order functions. Repeated dates are
-  zero gaps, so with n rows, first/last date and that sum the sample
-  deviation follows exactly. No second scan, no window shuffle.
+here each feature belongs to one of two aggregates over the same narrow rows.
+
+Date grain — ``groupBy(user, date)``. Window membership is a function of the
+  date, so at this grain row counts, sums, minima and maxima per predicate do
+  not depend on the window. ``groupBy(user)`` then adds up the dates of every
+  window; distinct dates, months and days are read off the same rows as
+  counts and bit sets. Gap deviation needs successive dates: the date before,
+  per predicate, comes from a window over the user's date rows (one row per
+  day of the window hull at most, a bound set by the window length and not by
+  the data volume), and the squares of the gaps are summed. Repeated dates
+  are zero gaps, so with n rows, first and last date and that sum the sample
+  deviation follows exactly.
+
+Key grain — ``groupBy(user, column, value)`` for columns that need a distinct
+  count or a mode. A row becomes one (column, value) entry per such column
+  that carries nothing but a bit mask of the (predicate, window) pairs the row
+  belongs to. Masks are or-ed per value, modes count rows per pair, and
+  ``groupBy(user)`` turns them into distinct counts (no per-expression
+  ``Expand``) and modes, the largest of ``count * 2^64 - value``.
+
+All four aggregates keep plain numbers only, so they run as hash aggregates
+with map-side combine and generated code, and each is small enough to be
+compiled. A heavy user's rows spread over many reducers at the first level
+because date or value is part of the key.
 
 Guards (N15): a count, distinct count or sum is NULL when the user has no
 row in the window and predicate, as in the reference where such a user is
@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from ..plans.windows import Win
 
 EPOCH = date(1970, 1, 1)
+_TWO63, _TWO64 = (f"CAST({1 << n} AS DECIMAL(20,0))" for n in (63, 64))
 INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 KINDS = {"rows", "count", "sum", "min", "max", "mean", "nunique", "mode", "gap_mean", "gap_std"}
 
@@ -78,9 +79,7 @@ def user_window_agg(
 
     ``date_parts`` declares columns that are a part of ``date_col``
     (``{"o_month": "month", "o_day": "day"}``); their distinct counts are
-    read off the date rows as a bit set of month or day numbers instead of
-    needing a tag of their own, which saves one emitted row per input row
-    and part.
+    read off the date rows as a bit set of month or day numbers.
 
     ``preds`` maps predicate names used in ``Agg.where`` to row predicates on
     ``fact`` (``"all"`` is implicit). Only users with at least one row in the
@@ -109,183 +108,119 @@ def user_window_agg(
     widx = {w: i for i, w in enumerate(win_names)}
 
     parts = {c: p for c, p in (date_parts or {}).items() if p in ("month", "day")}
-    tag_cols: list[str] = []
-    for s in specs:
-        if s.kind == "nunique" and s.col in parts:
-            continue
-        if s.kind in ("nunique", "mode") and s.col != date_col and s.col not in tag_cols:
-            tag_cols.append(s.col)
-    tag_of = {c: i + 1 for i, c in enumerate(tag_cols)}
+    keyed = [s for s in specs if s.kind == "mode" or (s.kind == "nunique" and s.col != date_col and s.col not in parts)]
+    if any(s.kind == "mode" and s.col == date_col for s in specs):
+        raise ValueError("mode of the window date column is not supported")
+    tag_of = {c: i + 1 for i, c in enumerate(dict.fromkeys(s.col for s in keyed))}
+    bit_of = {pair: i for i, pair in enumerate(dict.fromkeys((s.where, s.win) for s in keyed))}
+    if len(bit_of) > 62:
+        raise ValueError("too many (predicate, window) pairs of distinct counts and modes")
     value_cols = sorted({s.col for s in specs if s.col and s.col != date_col})
 
-    # ---- row level: key, day number, predicate and window flags, values
-    rows = fact.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
-    sel = [F.col(key).alias("_u"), F.unix_date(F.col(date_col)).alias("_d")]
-    sel += [F.coalesce(preds[p], F.lit(False)).alias(f"_p{pidx[p]}") for p in pred_names]
-    sel += [F.col(c).alias(f"_v_{c}") for c in value_cols]
-    rows = rows.select(sel).where(F.col("_u").isNotNull())
-    for w in win_names:
-        b, e = wb[w]
-        rows = rows.withColumn(f"_w{widx[w]}", F.col("_d").between(b, e))
-
-    def v(c: str) -> Column:
-        return F.col("_d") if c == date_col else F.col(f"_v_{c}")
-
-    # ---- tags: bit positions for distinct counts, slots for mode counts
-    bits: dict[tuple[str, str, str], int] = {}
-    slots: dict[tuple[str, str, str], int] = {}
-    per_tag_bits: dict[str, list[tuple[str, str]]] = {c: [] for c in tag_cols}
-    per_tag_slots: dict[str, list[tuple[str, str]]] = {c: [] for c in tag_cols}
-    for s in specs:
-        if s.col in tag_of:
-            combo = (s.where, s.win)
-            if s.kind == "nunique" and combo not in per_tag_bits[s.col]:
-                per_tag_bits[s.col].append(combo)
-            if s.kind == "mode" and combo not in per_tag_slots[s.col]:
-                per_tag_slots[s.col].append(combo)
-    for c in tag_cols:
-        if len(per_tag_bits[c]) > 62:
-            raise ValueError(f"too many distinct-count variants of {c}")
-        for i, combo in enumerate(per_tag_bits[c]):
-            bits[(c, *combo)] = i
-        for i, combo in enumerate(per_tag_slots[c]):
-            slots[(c, *combo)] = i
-    n_slots = max([len(x) for x in per_tag_slots.values()] + [0])
-    any_bits = any(per_tag_bits.values())
-
-    structs = [F.struct(F.lit(0).alias("t"), F.col("_d").cast("long").alias("kv"))]
-    structs += [F.struct(F.lit(tag_of[c]).alias("t"), v(c).cast("long").alias("kv")) for c in tag_cols]
-    ex = rows.select("*", F.explode(F.array(*structs)).alias("_tk")).select("*", "_tk.t", "_tk.kv").drop("_tk")
-    ex = ex.where(F.col("kv").isNotNull())
-
-    # The aggregate expressions are written as SQL text: one JVM call per
-    # expression keeps plan construction cheap for a hundred features.
+    # The expressions are written as SQL text: one JVM call per expression
+    # keeps plan construction cheap for a hundred features.
     def P(name: str) -> str:
         return f"_p{pidx[name]}"
 
     def V(c: str) -> str:
         return "_d" if c == date_col else f"`_v_{c}`"
 
-    def Wf(win: str) -> str:
-        return f"_w{widx[win]}"
-
-    def by_tag(per_tag: dict[str, str]) -> str:
-        return "CASE " + " ".join(f"WHEN t = {tag_of[c]} THEN {e}" for c, e in per_tag.items()) + " END"
-
-    l1: dict[str, str] = {}
-    if any_bits:
-        masks = {}
-        for c in tag_cols:
-            terms = [f"(CASE WHEN {P(where)} AND {Wf(win)} THEN {1 << i}L ELSE 0L END)"
-                     for (cc, where, win), i in bits.items() if cc == c]
-            if terms:
-                masks[c] = "(" + " | ".join(terms) + ")"
-        l1["mask"] = f"bit_or({by_tag(masks)})"
-    for i in range(n_slots):
-        per = {}
-        for (cc, where, win), j in slots.items():
-            if j == i:
-                per[cc] = f"(CASE WHEN {P(where)} AND {Wf(win)} THEN 1 ELSE 0 END)"
-        if per:
-            l1[f"mc{i}"] = f"sum({by_tag(per)})"
-
-    # date-grain measures, window-independent
-    def need_l1(name: str, expr: str) -> str:
-        l1.setdefault(name, expr)
-        return name
+    # ---- rows: key, day number, predicates and values
+    sel = [F.col(key).alias("_u"), F.unix_date(F.col(date_col)).alias("_d")]
+    sel += [F.coalesce(preds[p], F.lit(False)).alias(f"_p{pidx[p]}") for p in pred_names]
+    sel += [F.col(c).alias(f"_v_{c}") for c in value_cols]
+    rows = fact.where(F.col(date_col).between(F.lit(lo), F.lit(hi))).select(sel).where(F.col("_u").isNotNull())
 
+    # ---- date grain, first level: measures per predicate, whatever the window
+    m1: dict[str, str] = {}
     for sp in specs:
         w, c = sp.where, sp.col
-        need_l1(f"r_{pidx[w]}", f"sum(CASE WHEN t = 0 AND {P(w)} THEN 1 END)")
+        m1.setdefault(f"r_{pidx[w]}", f"sum(CASE WHEN {P(w)} THEN 1 END)")
         if sp.kind in ("count", "mean") and c:
-            need_l1(f"c_{pidx[w]}_{c}", f"sum(CASE WHEN t = 0 AND {P(w)} AND {V(c)} IS NOT NULL THEN 1 END)")
+            m1.setdefault(f"c_{pidx[w]}_{c}", f"sum(CASE WHEN {P(w)} AND {V(c)} IS NOT NULL THEN 1 END)")
         if sp.kind in ("sum", "mean"):
-            need_l1(f"s_{pidx[w]}_{c}", f"sum(CASE WHEN t = 0 AND {P(w)} THEN {V(c)} END)")
-        if sp.kind == "min":
-            need_l1(f"mn_{pidx[w]}_{c}", f"min(CASE WHEN t = 0 AND {P(w)} THEN {V(c)} END)")
-        if sp.kind == "max":
-            need_l1(f"mx_{pidx[w]}_{c}", f"max(CASE WHEN t = 0 AND {P(w)} THEN {V(c)} END)")
-
-    level1 = ex.groupBy("_u", "t", "kv").agg(*[F.expr(e).alias(n) for n, e in l1.items()])
-
-    # ---- level 2: per user
-    l2: dict[str, str] = {}
-
-    def need(name: str, expr: str) -> str:
-        l2.setdefault(name, expr)
+            m1.setdefault(f"s_{pidx[w]}_{c}", f"sum(CASE WHEN {P(w)} THEN {V(c)} END)")
+        if sp.kind in ("min", "max"):
+            m1.setdefault(f"{sp.kind}_{pidx[w]}_{c}", f"{sp.kind}(CASE WHEN {P(w)} THEN {V(c)} END)")
+    days = rows.groupBy("_u", "_d").agg(*[F.expr(e).alias(n) for n, e in m1.items()])
+    gap_preds = sorted({pidx[s.where] for s in specs if s.kind == "gap_std"})
+    if gap_preds:
+        before = "OVER (PARTITION BY _u ORDER BY _d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        days = days.selectExpr("*", *[f"last_value(CASE WHEN r_{p} > 0 THEN _d END) IGNORE NULLS {before} AS b_{p}" for p in gap_preds])
+
+    # ---- key grain, first level: masks and counts per value
+    if keyed:
+        mask = " | ".join(f"(CASE WHEN {P(w)} AND _d BETWEEN {wb[x][0]} AND {wb[x][1]} THEN {1 << i}L ELSE 0L END)" for (w, x), i in bit_of.items())
+        entries = ", ".join(f"struct({t} AS t, CAST({V(c)} AS BIGINT) AS kv)" for c, t in tag_of.items())
+        narrow = rows.selectExpr("_u", f"({mask}) AS _m", *[V(c) for c in tag_of]).where("_m <> 0")
+        narrow = narrow.selectExpr("_u", "_m", f"explode(array({entries})) AS _e").selectExpr("_u", "_m", "_e.t AS t", "_e.kv AS kv").where("kv IS NOT NULL")
+        slots = dict.fromkeys(bit_of[s.where, s.win] for s in keyed if s.kind == "mode")
+        modes = " OR ".join(f"t = {t}" for t in dict.fromkeys(tag_of[s.col] for s in keyed if s.kind == "mode"))
+        k1 = {"mask": "bit_or(_m)"} | {f"n_{i}": f"sum(CASE WHEN ({modes}) AND _m & {1 << i}L <> 0 THEN 1 ELSE 0 END)" for i in slots}
+        values = narrow.groupBy("_u", "t", "kv").agg(*[F.expr(e).alias(n) for n, e in k1.items()])
+
+    # ---- second level: per user
+    d2: dict[str, str] = {}
+    k2: dict[str, str] = {}
+
+    def need(level: dict[str, str], name: str, expr: str) -> str:
+        level.setdefault(name, expr)
         return f"`{name}`"
 
     def in_win(win: str) -> str:
-        b, e = wb[win]
-        return f"(t = 0 AND kv BETWEEN {b} AND {e})"
-
-    def rows_w(where: str, win: str) -> str:
-        return need(f"R_{pidx[where]}_{widx[win]}", f"sum(CASE WHEN {in_win(win)} THEN r_{pidx[where]} END)")
-
-    def present(where: str, win: str) -> str:
-        return f"({in_win(win)} AND r_{pidx[where]} > 0)"
+        return f"_d BETWEEN {wb[win][0]} AND {wb[win][1]}"
 
     out: list[str] = []
     for sp in specs:
-        n = rows_w(sp.where, sp.win)
+        p, c, win = pidx[sp.where], sp.col, in_win(sp.win)
+        k = f"{p}_{widx[sp.win]}"
+        n = need(d2, f"R_{k}", f"sum(CASE WHEN {win} THEN r_{p} END)")
         g = f"{n} > 0"
-        k = f"{pidx[sp.where]}_{widx[sp.win]}"
-        c = sp.col
+        present = f"{win} AND r_{p} > 0"
         if sp.kind == "rows" or (sp.kind == "count" and not c):
             val = f"CAST(CASE WHEN {g} THEN {n} END AS BIGINT)"
         elif sp.kind == "count":
-            cc = need(f"C_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `c_{pidx[sp.where]}_{c}` END)")
+            cc = need(d2, f"C_{k}_{c}", f"sum(CASE WHEN {win} THEN `c_{p}_{c}` END)")
             val = f"CAST(CASE WHEN {g} THEN coalesce({cc}, 0) END AS BIGINT)"
         elif sp.kind == "sum":
-            sm = need(f"S_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `s_{pidx[sp.where]}_{c}` END)")
+            sm = need(d2, f"S_{k}_{c}", f"sum(CASE WHEN {win} THEN `s_{p}_{c}` END)")
             val = f"CASE WHEN {g} THEN coalesce({sm}, 0) END"
         elif sp.kind == "mean":
-            sm = need(f"S_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `s_{pidx[sp.where]}_{c}` END)")
-            cc = need(f"C_{k}_{c}", f"sum(CASE WHEN {in_win(sp.win)} THEN `c_{pidx[sp.where]}_{c}` END)")
+            sm = need(d2, f"S_{k}_{c}", f"sum(CASE WHEN {win} THEN `s_{p}_{c}` END)")
+            cc = need(d2, f"C_{k}_{c}", f"sum(CASE WHEN {win} THEN `c_{p}_{c}` END)")
             val = f"CAST({sm} AS DOUBLE) / CASE WHEN {cc} > 0 THEN {cc} END"
-        elif sp.kind == "min":
-            val = need(f"MN_{k}_{c}", f"min(CASE WHEN {in_win(sp.win)} THEN `mn_{pidx[sp.where]}_{c}` END)")
-        elif sp.kind == "max":
-            val = need(f"MX_{k}_{c}", f"max(CASE WHEN {in_win(sp.win)} THEN `mx_{pidx[sp.where]}_{c}` END)")
+        elif sp.kind in ("min", "max"):
+            val = need(d2, f"{sp.kind}_{k}_{c}", f"{sp.kind}(CASE WHEN {win} THEN `{sp.kind}_{p}_{c}` END)")
         elif sp.kind == "nunique" and c in parts:
             fn = "month" if parts[c] == "month" else "dayofmonth"
-            bits_set = need(f"BP_{k}_{c}", f"bit_or(CASE WHEN {present(sp.where, sp.win)} "
-                                           f"THEN shiftleft(1L, {fn}(date_from_unix_date(CAST(kv AS INT)))) END)")
-            val = f"CAST(CASE WHEN {g} THEN coalesce(bit_count({bits_set}), 0) END AS BIGINT)"
+            seen = need(d2, f"BP_{k}_{c}", f"bit_or(CASE WHEN {present} THEN shiftleft(1L, {fn}(date_from_unix_date(_d))) END)")
+            val = f"CAST(CASE WHEN {g} THEN coalesce(bit_count({seen}), 0) END AS BIGINT)"
         elif sp.kind == "nunique" and c == date_col:
-            nd = need(f"ND_{k}", f"count(CASE WHEN {present(sp.where, sp.win)} THEN 1 END)")
+            nd = need(d2, f"ND_{k}", f"count(CASE WHEN {present} THEN 1 END)")
             val = f"CAST(CASE WHEN {g} THEN {nd} END AS BIGINT)"
         elif sp.kind == "nunique":
-            bit = 1 << bits[(c, sp.where, sp.win)]
-            nu = need(f"NU_{k}_{c}", f"count(CASE WHEN t = {tag_of[c]} AND (mask & {bit}L) <> 0 THEN 1 END)")
-            val = f"CAST(CASE WHEN {g} THEN {nu} END AS BIGINT)"
+            nu = need(k2, f"NU_{k}_{c}", f"count(CASE WHEN t = {tag_of[c]} AND mask & {1 << bit_of[sp.where, sp.win]}L <> 0 THEN 1 END)")
+            val = f"CAST(CASE WHEN {g} THEN coalesce({nu}, 0) END AS BIGINT)"
         elif sp.kind == "mode":
-            if c == date_col:
-                raise ValueError("mode of the window date column is not supported")
-            slot = f"mc{slots[(c, sp.where, sp.win)]}"
-            cand = f"t = {tag_of[c]} AND {slot} > 0"
-            mo = need(f"MO_{k}_{c}", f"max_by(CASE WHEN {cand} THEN kv END, CASE WHEN {cand} THEN struct({slot}, -kv) END)")
-            val = f"CAST({mo} AS {fact_types[c]})"
-        elif sp.kind == "gap_mean":
-            mn = need(f"DMN_{k}", f"min(CASE WHEN {present(sp.where, sp.win)} THEN kv END)")
-            mx = need(f"DMX_{k}", f"max(CASE WHEN {present(sp.where, sp.win)} THEN kv END)")
-            val = f"CAST(CASE WHEN {n} > 1 THEN floor(({mx} - {mn}) / ({n} - 1)) END AS BIGINT)"
-        else:  # gap_std
-            # Sorted distinct dates of the predicate: one entry per day of the
-            # window hull at most, so the list is bounded by the window length.
-            dl = need(f"DL_{pidx[sp.where]}",
-                      f"array_sort(collect_list(CASE WHEN t = 0 AND r_{pidx[sp.where]} > 0 THEN kv END))")
-            b, e = wb[sp.win]
-            arr = f"filter({dl}, x -> x BETWEEN {b} AND {e})"
-            nd = f"size({arr})"
-            ss = (f"CASE WHEN {nd} > 1 THEN aggregate(zip_with(slice({arr}, 2, {nd} - 1), slice({arr}, 1, {nd} - 1), "
-                  f"(x, y) -> (x - y) * (x - y)), 0L, (acc, z) -> acc + z) ELSE 0 END")
-            m = f"CAST({n} - 1 AS DOUBLE)"
-            span = f"CAST(element_at({arr}, -1) - element_at({arr}, 1) AS DOUBLE)"
-            var = f"((CAST({ss} AS DOUBLE) - {span} * {span} / {m}) / ({m} - 1))"
-            val = f"CASE WHEN {nd} > 2 THEN sqrt(greatest({var}, 0.0)) END"
+            # the largest count, then the smallest value, as one number
+            slot = f"n_{bit_of[sp.where, sp.win]}"
+            top = need(k2, f"MO_{k}_{c}", f"max(CASE WHEN t = {tag_of[c]} AND {slot} > 0 THEN CAST({slot} AS DECIMAL(18,0)) * {_TWO64} - kv END)")
+            val = f"CAST({_TWO63} - ({top} + {_TWO63}) % {_TWO64} AS {fact_types[c]})"
+        else:
+            first = need(d2, f"DMN_{k}", f"min(CASE WHEN {present} THEN _d END)")
+            last = need(d2, f"DMX_{k}", f"max(CASE WHEN {present} THEN _d END)")
+            if sp.kind == "gap_mean":
+                val = f"CAST(CASE WHEN {n} > 1 THEN floor(({last} - {first}) / ({n} - 1)) END AS BIGINT)"
+            else:  # gap_std
+                nd = need(d2, f"ND_{k}", f"count(CASE WHEN {present} THEN 1 END)")
+                gap = f"CAST(_d - b_{p} AS BIGINT)"
+                ss = need(d2, f"SS_{k}", f"sum(CASE WHEN {present} AND b_{p} >= {wb[sp.win][0]} THEN {gap} * {gap} END)")
+                m, span = f"CAST({n} - 1 AS DOUBLE)", f"CAST({last} - {first} AS DOUBLE)"
+                var = f"((CAST({ss} AS DOUBLE) - {span} * {span} / {m}) / ({m} - 1))"
+                val = f"CASE WHEN {nd} > 2 THEN sqrt(greatest({var}, 0.0)) END"
         out.append(f"{val} AS `{sp.name}`")
 
-    main = level1.groupBy("_u").agg(*[F.expr(e).alias(n) for n, e in l2.items()]).selectExpr("_u", *out)
-
-    return main.select(F.col("_u").alias(key), *[F.col(s.name) for s in specs])
+    users = days.groupBy("_u").agg(*[F.expr(e).alias(n) for n, e in d2.items()])
+    if keyed:
+        users = users.join(values.groupBy("_u").agg(*[F.expr(e).alias(n) for n, e in k2.items()]), "_u", "left")
+    return users.selectExpr(f"_u AS `{key}`", *out)

@@ -20,6 +20,7 @@ from ..plans import models, pipeline
 from ..plans.windows import Win, feature_windows
 from ..sources import edges as edges_src
 from ..sources import retail
+from ..session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,6 +59,12 @@ def a1_target_orders_6m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.anchor(b.user.select("user_id"), features.target_order_count(of, WIDEST))
 
 
+def _shared(spark: SparkSession, sf_dir: str, begin: date = WIDEST.begin, end: date = WIDEST.end, shipped: bool = True):
+    """The retail tables and the sides of the action-to-order gap over order lines of a time, joined and written once."""
+    lines = retail.order_lines_from_testdata(spark, sf_dir, begin, end, shipped, shared_path(spark, "order-lines"))
+    return retail.retail_from_testdata(spark, sf_dir, lines), retail.pair_sources_from_testdata(spark, sf_dir, lines)
+
+
 def _users(b) -> DataFrame:
     return b.user.select("user_id")
 
@@ -65,7 +72,7 @@ def _users(b) -> DataFrame:
 @query("x2_order_features")
 def x2_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2 refactored (A1-A25, A27, A28): order features of the 1/3/6-month windows."""
-    b = retail.retail_from_testdata(spark, sf_dir)
+    b, _ = _shared(spark, sf_dir, shipped=False)
     f = features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features)
     return rounded(features.anchor(_users(b), f))
 
@@ -73,7 +80,7 @@ def x2_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x2_baseline_order_features")
 def x2_baseline_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2 baseline (A1-A26, A28) over the enriched order lines."""
-    b = retail.retail_from_testdata(spark, sf_dir)
+    b, _ = _shared(spark, sf_dir, shipped=False)
     f = features.baseline_order_features(enrich.enrich_orders(b), ORDER_WINDOWS.features)
     return rounded(features.anchor(_users(b), f))
 
@@ -97,8 +104,7 @@ def x3_baseline_action_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x4_action_order_features")
 def x4_action_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9 + A36 refactored: mean days from action to a same-or-later order, per window."""
-    b = retail.retail_from_testdata(spark, sf_dir)
-    pa, po = retail.pair_sources_from_testdata(spark, sf_dir)
+    b, (pa, po) = _shared(spark, sf_dir)
     cat = enrich.sku_category(b.sku)
     f = pairs.refactored_action_order_features(pa.join(cat, "sku_id", "left"), po.join(cat, "sku_id", "left"),
                                                ORDER_WINDOWS.features)
@@ -108,8 +114,7 @@ def x4_action_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x4_baseline_action_order_gap")
 def x4_baseline_action_order_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9 + A36 baseline: mean days from action to a strictly later order, per window."""
-    b = retail.retail_from_testdata(spark, sf_dir)
-    pa, po = retail.pair_sources_from_testdata(spark, sf_dir)
+    b, (pa, po) = _shared(spark, sf_dir)
     f = pairs.baseline_action_order_features(pa, po, ORDER_WINDOWS.features)
     return rounded(features.anchor(_users(b), f))
 
@@ -441,17 +446,16 @@ def c_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x5_build_features")
 def x5_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 refactored: user attributes + action, order and action-order features of 1/3/6 windows."""
-    b = retail.retail_from_testdata(spark, sf_dir)
-    return rounded(pipeline.build_features(b, ORDER_WINDOWS.features, ACTION_WINDOWS,
-                                   retail.pair_sources_from_testdata(spark, sf_dir)))
+    b, pairs = _shared(spark, sf_dir)
+    return rounded(pipeline.build_features(b, ORDER_WINDOWS.features, ACTION_WINDOWS, pairs))
 
 
 @query("x5_baseline_features")
 def x5_baseline_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 baseline: user attributes + labels + OM/AM/GM features."""
-    b = retail.retail_from_testdata(spark, sf_dir)
+    b, pairs = _shared(spark, sf_dir, WIDEST.begin, LABEL.label_end)
     return rounded(pipeline.build_baseline_features(b, ORDER_WINDOWS.features, LABEL.label_begin, LABEL.label_end,
-                                            ACTION_WINDOWS, True, retail.pair_sources_from_testdata(spark, sf_dir)))
+                                            ACTION_WINDOWS, True, pairs))
 
 
 TRAIN_WINDOWS = feature_windows(date(2001, 1, 1))  # train: features to 2000-12-31, labels of January 2001
@@ -459,7 +463,7 @@ TRAIN_WINDOWS = feature_windows(date(2001, 1, 1))  # train: features to 2000-12-
 
 def _ml_frames(spark, sf_dir):
     """Train (features + labels of the previous month) and test (current features) frames."""
-    b = retail.retail_from_testdata(spark, sf_dir)
+    b, pairs = _shared(spark, sf_dir, WIDEST.begin, LABEL.label_end)
     pairs = retail.pair_sources_from_testdata(spark, sf_dir)
     # both periods under one set of names: the window labels are relative
     xtr = pipeline.build_features(b, TRAIN_WINDOWS.features, ACTION_WINDOWS, pairs)
@@ -497,8 +501,7 @@ def x11_two_target_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x11_baseline_gbt")
 def x11_baseline_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11 baseline: count label weighted by the regularity weight (X8), date model on buyers only."""
-    b = retail.retail_from_testdata(spark, sf_dir)
-    pairs = retail.pair_sources_from_testdata(spark, sf_dir)
+    b, pairs = _shared(spark, sf_dir, TRAIN_WINDOWS.features[-1].begin, LABEL.label_end)
     # one set of column names for both periods: the window labels (1/3/6) are relative
     train = pipeline.build_baseline_features(b, TRAIN_WINDOWS.features, TRAIN_WINDOWS.label_begin, TRAIN_WINDOWS.label_end,
                                              ACTION_WINDOWS, True, pairs)
@@ -543,6 +546,5 @@ def x13_per_label_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x17_holdout_validation")
 def x17_holdout_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on January 2001, predict February 2001, score against February's first orders."""
-    b = retail.retail_from_testdata(spark, sf_dir)
-    return models.holdout_validation(b, LABEL.label_begin, action_windows=ACTION_WINDOWS,
-                                     pair_sources=retail.pair_sources_from_testdata(spark, sf_dir))
+    b, pairs = _shared(spark, sf_dir, TRAIN_WINDOWS.features[-1].begin, LABEL.label_end)
+    return models.holdout_validation(b, LABEL.label_begin, action_windows=ACTION_WINDOWS, pair_sources=pairs)

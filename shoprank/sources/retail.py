@@ -3,7 +3,9 @@ derives the same five tables from the synthetic parquet tables (S8)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import (
@@ -14,6 +16,7 @@ from ..schema import (
     USER_SCHEMA,
     RetailBundle,
 )
+from ..session import read_back
 
 # Base names of the five retail tables' CSV files (a common
 # prefix, if the files carry one, is passed to ``read_retail_csv``).
@@ -121,28 +124,58 @@ def skus_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    return j.select(
+def order_lines_from_testdata(spark: SparkSession, sf_dir: str, begin: date | None = None, end: date | None = None,
+                              shipped: bool = False, path: str | None = None) -> DataFrame:
+    """Order lines with both dates and the order's status: one read of each of the two tables.
+
+    With ``begin`` and ``end`` only lines ordered in that time (the filter
+    reaches the scan of the orders) or, with ``shipped``, ordered or shipped
+    in it. With ``path`` they are written there once, for all that is built
+    on them.
+    """
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         F.col("o_custkey").cast("long").alias("user_id"),
         F.col("l_partkey").cast("long").alias("sku_id"),
         F.col("l_orderkey").cast("long").alias("o_id"),
         F.to_date(F.col("o_orderdate")).alias("o_date"),
         F.substring(F.col("o_orderpriority"), 1, 1).cast("int").alias("o_area"),
         F.floor(F.col("l_quantity")).cast("int").alias("o_sku_num"),
+        F.to_date(F.col("l_shipdate")).alias("ship_date"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("order_tm"),
+        F.col("o_orderstatus").alias("status"),
     )
+    if begin:
+        within = [F.col(c).between(F.lit(begin), F.lit(end)) for c in (["o_date", "ship_date"] if shipped else ["o_date"])]
+        lines = lines.where(within[0] | within[-1])
+    return read_back(lines, path) if path else lines
+
+
+def orders_from_lines(lines: DataFrame) -> DataFrame:
+    return lines.select("user_id", "sku_id", "o_id", "o_date", "o_area", "o_sku_num")
+
+
+def orders_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_from_lines(order_lines_from_testdata(spark, sf_dir))
+
+
+def _comment(user: Column, order: Column, tm: Column, status: Column) -> list[Column]:
+    return [user.cast("long").alias("user_id"),
+            (tm.cast("timestamp_ntz") + F.expr(f"INTERVAL {COMMENT_DELAY_DAYS} DAYS")).alias("comment_create_tm"),
+            order.cast("long").alias("o_id"), _case(status, COMMENT_SCORES).cast("int").alias("score_level")]
 
 
 def comments_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     return o.where(F.col("o_orderstatus").isin(*COMMENT_SCORES)).select(
-        F.col("o_custkey").cast("long").alias("user_id"),
-        (F.col("o_orderdate").cast("timestamp_ntz") + F.expr(f"INTERVAL {COMMENT_DELAY_DAYS} DAYS")).alias("comment_create_tm"),
-        F.col("o_orderkey").cast("long").alias("o_id"),
-        _case(F.col("o_orderstatus"), COMMENT_SCORES).cast("int").alias("score_level"),
-    )
+        *_comment(F.col("o_custkey"), F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")))
+
+
+def comments_from_lines(lines: DataFrame) -> DataFrame:
+    """The comments of the orders that have lines, one per order."""
+    orders = lines.where(F.col("status").isin(*COMMENT_SCORES)).select("user_id", "o_id", "order_tm", "status").distinct()
+    return orders.select(*_comment(F.col("user_id"), F.col("o_id"), F.col("order_tm"), F.col("status")))
 
 
 def actions_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,39 +189,28 @@ def actions_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retail_from_testdata(spark: SparkSession, sf_dir: str) -> RetailBundle:
-    """The five retail tables derived from the synthetic parquet tables."""
+def retail_from_testdata(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> RetailBundle:
+    """The five retail tables derived from the synthetic parquet tables.
+
+    With ``lines`` orders and comments come from these order lines instead of
+    a read of their own.
+    """
     return RetailBundle(
         user=users_from_testdata(spark, sf_dir),
         sku=skus_from_testdata(spark, sf_dir),
         action=actions_from_testdata(spark, sf_dir),
-        order=orders_from_testdata(spark, sf_dir),
-        comment=comments_from_testdata(spark, sf_dir),
+        order=orders_from_testdata(spark, sf_dir) if lines is None else orders_from_lines(lines),
+        comment=comments_from_testdata(spark, sf_dir) if lines is None else comments_from_lines(lines),
     )
 
 
-def pair_sources_from_testdata(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def pair_sources_from_testdata(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Action and order sides for the action-to-order gap.
 
     Both come from the same order lines: the action date is the order date and
     the order date is the ship date, so every line pairs with itself.
     """
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    action = j.select(
-        F.col("o_custkey").cast("long").alias("user_id"),
-        F.col("l_partkey").cast("long").alias("sku_id"),
-        F.to_date(F.col("o_orderdate")).alias("a_date"),
-        F.lit(1).alias("a_num"),
-        F.lit(1).alias("a_type"),
-    )
-    order = j.select(
-        F.col("o_custkey").cast("long").alias("user_id"),
-        F.col("l_partkey").cast("long").alias("sku_id"),
-        F.col("l_orderkey").cast("long").alias("o_id"),
-        F.to_date(F.col("l_shipdate")).alias("o_date"),
-        F.substring(F.col("o_orderpriority"), 1, 1).cast("int").alias("o_area"),
-        F.floor(F.col("l_quantity")).cast("int").alias("o_sku_num"),
-    )
+    j = order_lines_from_testdata(spark, sf_dir) if lines is None else lines
+    action = j.select("user_id", "sku_id", F.col("o_date").alias("a_date"), F.lit(1).alias("a_num"), F.lit(1).alias("a_type"))
+    order = j.select("user_id", "sku_id", "o_id", F.col("ship_date").alias("o_date"), "o_area", "o_sku_num")
     return action, order

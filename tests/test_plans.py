@@ -38,8 +38,31 @@ def test_feature_plans_have_no_expand(spark, name):
     assert "Expand" not in _plan(entry.queries()[name](spark, SF))
 
 
+@pytest.mark.parametrize("name", ["x2_order_features", "x2_baseline_order_features", "x3_action_features", "x3_baseline_action_features",
+                                  "x5_build_features", "x5_baseline_features", "x6_labels"])
+def test_final_feature_plans_keep_to_hash_aggregates(spark, name):
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_order_tables_are_read_once_for_all_features(spark, monkeypatch):
+    """x5 joins and writes the order lines in one plan and reads the two tables nowhere else."""
+    from shoprank.sources import retail
+
+    plans, read_back = [], retail.read_back
+    monkeypatch.setattr(retail, "read_back", lambda df, path: plans.append(_plan(df)) or read_back(df, path))
+    final = _plan(entry.queries()["x5_build_features"](spark, SF))
+    assert len(plans) == 1 and all(plans[0].count(f"{SF}/{t}.parquet") == 1 for t in ("lineitem", "orders"))
+    assert "lineitem.parquet" not in final and "orders.parquet" not in final
+
+
 def test_window_filter_reaches_scan(spark):
-    plan = _plan(entry.queries()["x2_order_features"](spark, SF))
+    from shoprank.plans.catalog import WIDEST
+    from shoprank.sources import retail
+
+    plan = _plan(retail.order_lines_from_testdata(spark, SF, WIDEST.begin, WIDEST.end))
     assert "GreaterThanOrEqual(o_orderdate,2000-08-01T00:00)" in plan
     plan = _plan(entry.queries()["x3_action_features"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan
