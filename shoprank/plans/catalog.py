@@ -8,18 +8,19 @@ are the names used by ``__spark_entry__.queries()``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
-
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import enrich, features, graph, labels, pairs, prototype, ranking, scoring
 from ..operators.user_agg import Agg
-from ..plans import models, pipeline
+from ..plans import flows, models, pipeline
 from ..plans.windows import Win, feature_windows
 from ..sources import edges as edges_src
-from ..sources import retail
+from ..sources import retail, sinks
 from ..session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -475,9 +476,8 @@ def _ml_frames(spark, sf_dir):
 
 @query("m3_prepare_matrix")
 def m3_prepare_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: sentinel-filled feature matrix with missing indicators (order features)."""
-    b = retail.retail_from_testdata(spark, sf_dir)
-    f = rounded(features.anchor(_users(b), features.refactored_order_features(enrich.order_fact(b), ORDER_WINDOWS.features)))
+    """M3: the feature matrix of X5 with a sentinel for NULLs and missing indicators."""
+    f = x5_build_features(spark, sf_dir)
     return models.prepare_matrix(f, [c for c in f.columns if c != "user_id"])
 
 
@@ -548,3 +548,153 @@ def x17_holdout_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on January 2001, predict February 2001, score against February's first orders."""
     b, pairs = _shared(spark, sf_dir, TRAIN_WINDOWS.features[-1].begin, LABEL.label_end)
     return models.holdout_validation(b, LABEL.label_begin, action_windows=ACTION_WINDOWS, pair_sources=pairs)
+
+
+# --- sources and sinks as round trips, flows as queries, ranges of model results
+
+@query("s1_retail_csv")
+def s1_retail_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: rows and column sums of the five tables, written as CSV and read back."""
+    folder = shared_path(spark, "csv-files")
+    retail.write_retail_csv(retail.retail_from_testdata(spark, sf_dir), folder, "t_")
+    b = retail.read_retail_csv(spark, folder, "t_")
+    sums = {"user": ("user_id", "age", None), "sku": ("sku_id", "cate", None), "action": ("user_id", "a_num", "a_date"),
+            "comment": ("o_id", "score_level", "comment_create_tm"), "order": ("o_id", "o_sku_num", "o_date")}
+    out = []
+    for name, (key, number, day) in sums.items():
+        days = F.sum(F.unix_date(F.to_date(day))) if day else F.lit(0)
+        out.append(getattr(b, name).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(key).alias("keys"), F.sum(number).cast("long").alias("numbers"),
+                                        days.cast("long").alias("days")).select(F.lit(name).alias("tbl"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("s2_rejected_rows")
+def s2_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 with planted faults in the order file: rows per reason, good ones with an empty reason."""
+    folder = shared_path(spark, "csv-faults")
+    b = retail.retail_from_testdata(spark, sf_dir)
+    retail.write_retail_csv(b, folder)
+    kind = F.pmod(F.col("o_id"), F.lit(50))
+    number = F.col("o_sku_num").cast("string")
+    broken = b.order.select(
+        "user_id", "sku_id", "o_id", F.when(kind == 1, F.lit("2001-02-30")).otherwise(F.col("o_date").cast("string")).alias("o_date"), "o_area",
+        F.when(kind == 2, F.concat(number, F.lit(",9"))).when(kind == 3, F.lit("many")).otherwise(number).alias("o_sku_num"))
+    broken.write.option("header", True).option("quote", "\u0000").csv(f"{folder}/broken.csv")
+    loaded = retail.load_retail_csv(spark, folder, files={"order": "broken.csv"})
+    good = spark.createDataFrame([("", loaded.counts["order"][0])], "reason string, n long")
+    return loaded.rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(good)
+
+
+@query("s3_edges_tsv")
+def s3_edges_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the edges, written as tab-separated lines and read back."""
+    path = shared_path(spark, "edges")
+    edges_src.write_edges_tsv(_edges(spark, sf_dir), path)
+    return edges_src.read_edges_tsv(spark, path)
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a written list with their place over the part files in name order (the list is short)."""
+    lines = sinks.read_submission(spark, path).select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_i"))
+    return lines.select("user_id", "pred_date", F.row_number().over(W.orderBy("_f", "_i")).cast("long").alias("place"))
+
+
+@query("s4_submission_file")
+def s4_submission_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranked list, written and read back, with the place of every line."""
+    path = shared_path(spark, "submission")
+    sinks.write_submission(x9_submission_refactored(spark, sf_dir), path)
+    return _listed(spark, path)
+
+
+@query("s6_rank_vector")
+def s6_rank_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranks after 10 updates, written and read back."""
+    path = shared_path(spark, "ranks")
+    sinks.write_ranks(graph.pagerank(_edges(spark, sf_dir), rtol=None, max_iter=PR_FIXED_ITER), path)
+    return sinks.read_ranks(spark, path).select("id", F.round("rank", 10).alias("rank"))
+
+
+@query("s7_top_rank_lines")
+def s7_top_rank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the 100 highest ranks after 10 updates, read back."""
+    path = shared_path(spark, "top-ranks")
+    sinks.write_top_ranks(graph.pagerank(_edges(spark, sf_dir), rtol=None, max_iter=PR_FIXED_ITER), path, 100)
+    return rounded(sinks.read_top_ranks(spark, path))
+
+
+FEW_ROUNDS = 5  # of the models in the queries that check a result's shape; the x queries take all rounds
+
+
+def _list_facts(spark: SparkSession, b, path: str, last: date) -> DataFrame:
+    """One row on a flow's written list: its length, and whether its users are known and met once and its dates end in time."""
+    got = _listed(spark, path).join(_users(b).withColumn("_known", F.lit(True)), "user_id", "left")
+    return got.agg(F.count(F.lit(1)).alias("listed"), F.count("_known").alias("known"), F.countDistinct("user_id").alias("users"),
+                   F.coalesce(F.max("pred_date") <= F.lit(last), F.lit(True)).alias("in_time"))
+
+
+@query("p_baseline_flow")
+def p_baseline_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P: baseline flow from the tables to the written list, by model output."""
+    b, pairs = _shared(spark, sf_dir, TRAIN_WINDOWS.features[-1].begin, LABEL.label_end)
+    out = shared_path(spark, "baseline-list")
+    flows.run_baseline(b, LABEL.label_begin, BASELINE_CAP, TOP_N, ACTION_WINDOWS, pairs, out, rounds=FEW_ROUNDS)
+    return _list_facts(spark, b, out, BASELINE_CAP)
+
+
+@query("p_refactored_flow")
+def p_refactored_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P' + S5: refactored flow from the tables to the list written under a name with the time."""
+    b, pairs = _shared(spark, sf_dir, TRAIN_WINDOWS.features[-1].begin, LABEL.label_end)
+    out, now = shared_path(spark, "refactored-list"), datetime(2001, 2, 1, 9, 7)
+    flows.run_refactored(b, LABEL.label_begin, False, TOP_N, ACTION_WINDOWS, pairs, out, now, rounds=FEW_ROUNDS)
+    return _list_facts(spark, b, f"{out}_0201_0907.csv", date(2001, 3, 31))
+
+
+@query("p0_prototype_flow")
+def p0_prototype_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype flow over three stacked cutoffs; only users with a valid day are listed, so the length is not stated."""
+    b = retail.retail_from_testdata(spark, sf_dir)
+    out, now = shared_path(spark, "prototype-list"), datetime(2001, 2, 1, 9, 7)
+    flows.run_prototype(b, [date(2000, 11, 1), date(2000, 12, 1), date(2001, 1, 1)], LABEL.label_begin, PROTO_GROUPS, TOP_N, out=out, now=now)
+    facts = _list_facts(spark, b, f"{out}_0201_0907.csv", date(2001, 2, 14))
+    return facts.select((F.col("listed") <= TOP_N).alias("short"), (F.col("listed") == F.col("known")).alias("known"),
+                        (F.col("listed") == F.col("users")).alias("once"), "in_time")
+
+
+@query("x11_prediction_range")
+def x11_prediction_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11: every user gets both predictions, inside the labels' range widened by a tenth."""
+    b, train, test, cols = _ml_frames(spark, sf_dir)
+    names = ("order_num", "pred_date")
+    top = train.agg(*[f(x).alias(f"{k}_{x}") for x in names for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    pred, _ = models.train_predict_two_target(train, test, cols, rounds=FEW_ROUNDS)
+    span = {x: 0.1 * (top[f"hi_{x}"] - top[f"lo_{x}"]) for x in names}
+    return pred.select("user_id", *[F.col(x).between(top[f"lo_{x}"] - span[x], top[f"hi_{x}"] + span[x]).alias(f"{x}_in_range") for x in names])
+
+
+@query("x13_label_range")
+def x13_label_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user of the features gets every label, from -1 (none) to the last day or any count."""
+    pred = x13_per_label_forest(spark, sf_dir)
+    days, nums = ([c for c in pred.columns if c.startswith(f"y_{k}")] for k in ("pred_date", "order_num"))
+    return pred.select("user_id", reduce(Column.__and__, [F.col(c).between(-1, 30) for c in days]).alias("days_in_range"),
+                       reduce(Column.__and__, [(F.col(c) == -1) | (F.col(c) > 0) for c in nums]).alias("counts_in_range"))
+
+
+@query("x17_score_range")
+def x17_score_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hold-out score of a short fit lies in [0, 1] and blends its two parts."""
+    b, pairs = _shared(spark, sf_dir, TRAIN_WINDOWS.features[-1].begin, LABEL.label_end)
+    s = models.holdout_validation(b, LABEL.label_begin, action_windows=ACTION_WINDOWS, pair_sources=pairs, rounds=FEW_ROUNDS)
+    return s.select(*[F.col(c).between(0, 1).alias(f"{c}_in_range") for c in ("s1", "s2", "s")],
+                    (F.abs(F.col("s") - 0.4 * F.col("s1") - 0.6 * F.col("s2")) < 1e-9).alias("blend"))
+
+
+@query("x18_feature_list")
+def x18_feature_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature of X5 is listed for both models, used ones with a gain and most used first."""
+    b, train, test, cols = _ml_frames(spark, sf_dir)
+    targets = {x: (F.col(x), None) for x in ("order_num", "pred_date")}
+    got = models.feature_importance(spark, models.fit_targets(train, cols, targets, rounds=FEW_ROUNDS), list(targets))
+    return got.select("model", "name", ((F.col("splits") > 0) == (F.col("gain") > 0)).alias("gain_where_used"))

@@ -7,7 +7,7 @@
   either the score against the month's first orders (validation) or the
   submission.
 * :func:`run_prototype` — group totals and labels of several cutoffs stacked,
-  one forest per label, merged and capped submission.
+  one forest over the labels, merged and capped submission.
 * :func:`run_pagerank` — edge list to ranks, persisted, with the top list.
 
 Each returns DataFrames (and writes only where a path is given), so a caller
@@ -16,7 +16,7 @@ can inspect the plans or run them on a cluster session.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +51,11 @@ def run_baseline(b: RetailBundle, predict_begin: date, cap: date, n: int = ranki
 
 
 def run_refactored(b: RetailBundle, test_begin: date, validation: bool = False, n: int = ranking.SUBMISSION_SIZE,
-                   action_windows=None, pair_sources=None, out: str | None = None, **kw) -> DataFrame:
-    """Refactored flow: returns the score row in validation mode, else the submission."""
+                   action_windows=None, pair_sources=None, out: str | None = None, now: datetime | None = None, **kw) -> DataFrame:
+    """Refactored flow: returns the score row in validation mode, else the submission.
+
+    The list goes to ``out`` with the time (``now``) in its name (S5).
+    """
     if validation:
         return models.holdout_validation(b, test_begin, n=n, action_windows=action_windows,
                                          pair_sources=pair_sources, **kw)
@@ -65,14 +68,14 @@ def run_refactored(b: RetailBundle, test_begin: date, validation: bool = False,
     pred, _ = models.train_predict_two_target(train_x.join(y, "user_id"), test_x, cols, **kw)
     sub = ranking.submission_refactored(pred, test_w.label_begin, n)
     if out:
-        sinks.write_submission(sub, out)
+        sinks.write_submission(sub, sinks.timestamped_name(out, now))
     return sub
 
 
 def run_prototype(b: RetailBundle, train_label_begins: list[date], predict_begin: date,
                   cate_types=("tg",), n: int = ranking.SUBMISSION_SIZE, feature_months: int = 6,
-                  num_trees: int = 10, out: str | None = None) -> DataFrame:
-    """Prototype flow: stacked cutoffs (U1), per-label forests, merged and capped submission."""
+                  num_trees: int = 10, out: str | None = None, now: datetime | None = None) -> DataFrame:
+    """Prototype flow: stacked cutoffs (U1), one forest over the labels, merged and capped submission."""
     sku = enrich.prototype_skus(b.sku)
     osc = enrich.prototype_order_scores(b.order, b.comment)
     xs, ys = [], []
@@ -92,7 +95,7 @@ def run_prototype(b: RetailBundle, train_label_begins: list[date], predict_begin
     pred = pred.select("user_id", *[F.col(c).alias(c[2:]) for c in ycols])
     sub = ranking.submission_prototype(pred, pb, pe, n)
     if out:
-        sinks.write_submission(sub, out)
+        sinks.write_submission(sub, sinks.timestamped_name(out, now))
     return sub
 
 

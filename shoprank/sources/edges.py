@@ -13,6 +13,11 @@ def read_edges_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", False).schema(EDGE_SCHEMA).csv(path)
 
 
+def write_edges_tsv(edges: DataFrame, path: str) -> None:
+    """Headerless lines of source, tab, target, as ``read_edges_tsv`` takes them."""
+    edges.select("src", "dst").write.option("sep", "\t").option("header", False).csv(path)
+
+
 def edges_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directed edges customer -> part, one per order line, in one id space.
 

@@ -3,9 +3,12 @@ derives the same five tables from the synthetic parquet tables (S8)."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import (
@@ -16,7 +19,7 @@ from ..schema import (
     USER_SCHEMA,
     RetailBundle,
 )
-from ..session import read_back
+from ..session import read_back, shared_path
 
 # Base names of the five retail tables' CSV files (a common
 # prefix, if the files carry one, is passed to ``read_retail_csv``).
@@ -37,37 +40,81 @@ _SCHEMAS = {
 }
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    """Select the declared columns by name and cast them (S2 date parsing)."""
-    cols = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        name = f.dataType.typeName()
-        if name == "date":
-            c = F.to_date(c)
-        elif name == "timestamp":
-            c = F.to_timestamp(c)
-        elif name == "timestamp_ntz":
-            c = F.to_timestamp_ntz(c)
-        else:
-            c = c.cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return df.select(cols)
-
-
-def read_retail_csv(spark: SparkSession, directory: str, prefix: str = "") -> RetailBundle:
-    """S1 + S2: read the five headered CSV files ``<prefix><base name>``.
-
-    Column order of the files is not fixed, so each file is read with its
-    header as strings (no schema inference pass) and columns are selected by
-    name and cast to the declared types.
+def _typed(name: str, field) -> Column:
+    """A text column as its declared type; NULL where it does not parse (S2 date parsing)."""
+    kind = {"date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP_NTZ"}.get(field.dataType.typeName(), field.dataType.simpleString())
+    return F.expr(f"try_cast(trim(`{name}`) AS {kind})")
+
+
+@dataclass
+class RetailCsv:
+    """The typed tables of five CSV files, the rows that do not parse and the counts of both."""
+
+    bundle: RetailBundle
+    rejected: DataFrame  # file, line (as read), reason
+    counts: dict[str, tuple[int, int]]  # table -> good rows, rejected rows
+
+
+def _checked(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The declared columns typed, with the line as read and the first reason against it (NULL if none).
+
+    Column order is not fixed: the header names the columns. A row is refused
+    when it has more or fewer fields than the header, or a value that is not
+    of its column's type; an empty field is a missing value.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    text = ", ".join(f"`{c}` STRING" for c in header)
+    raw = spark.read.schema(f"{text}, `_line` STRING").option("header", True).option("enforceSchema", True).option(
+        "mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path)
+    typed = [_typed(f.name, f).alias(f.name) for f in schema.fields]
+    bad = [F.when(F.col("_line").isNotNull(), F.lit("wrong number of fields"))]
+    bad += [F.when(F.col(f"`{f.name}`").isNotNull() & _typed(f.name, f).isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+            for f in schema.fields]
+    line = F.coalesce("_line", F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header]))
+    return raw.select(*typed, line.alias("_line"), F.coalesce(*bad).alias("_reason"))
+
+
+def load_retail_csv(spark: SparkSession, directory: str, prefix: str = "", files: dict[str, str] | None = None,
+                    path: str | None = None) -> RetailCsv:
+    """S1 + S2: the five headered CSV files, with bad rows set aside instead of failing the job or turning into NULLs.
+
+    Files are named ``<prefix><base name>`` or by ``files`` (table to file
+    name or full path). Each file is read and parsed once: its rows are
+    written to ``path`` (a place in the checkpoint folder by default), good
+    and rejected ones apart, and counted in that same pass.
     """
-    frames = {}
-    for key, fname in RETAIL_FILES.items():
-        path = f"{directory.rstrip('/')}/{prefix}{fname}"
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-        frames[key] = _typed(raw, _SCHEMAS[key])
-    return RetailBundle(**frames)
+    path = path or shared_path(spark, "retail-csv")
+    frames, rejected, counts = {}, [], {}
+    for key, base in RETAIL_FILES.items():
+        name = (files or {}).get(key, f"{prefix}{base}")
+        source = name if "/" in name else f"{directory.rstrip('/')}/{name}"
+        seen = Observation(f"csv_{key}_{uuid.uuid4().hex}")
+        rows = _checked(spark, source, _SCHEMAS[key]).withColumn("_bad", F.col("_reason").isNotNull())
+        rows = rows.observe(seen, F.count(F.when(~F.col("_bad"), 1)).alias("good"), F.count(F.when(F.col("_bad"), 1)).alias("bad"))
+        rows.write.partitionBy("_bad").parquet(f"{path}/{key}")
+        counts[key] = (seen.get["good"], seen.get["bad"])
+        table = spark.read.schema(rows.schema).parquet(f"{path}/{key}")
+        frames[key] = table.where(~F.col("_bad")).select(*[f.name for f in _SCHEMAS[key].fields])
+        rejected.append(table.where("_bad").select(F.lit(source).alias("file"), F.col("_line").alias("line"), F.col("_reason").alias("reason")))
+    return RetailCsv(RetailBundle(**frames), reduce(DataFrame.unionByName, rejected), counts)
+
+
+def read_retail_csv(spark: SparkSession, directory: str, prefix: str = "", files: dict[str, str] | None = None) -> RetailBundle:
+    """S1 + S2: the five typed tables; a row that does not parse is an error (see ``load_retail_csv`` to set such rows aside)."""
+    loaded = load_retail_csv(spark, directory, prefix, files)
+    bad = {k: n for k, (_, n) in loaded.counts.items() if n}
+    if bad:
+        raise ValueError(f"rows that do not parse: {bad}; first: {loaded.rejected.first().asDict()}")
+    return loaded.bundle
+
+
+def write_retail_csv(b: RetailBundle, directory: str, prefix: str = "") -> None:
+    """The five tables as headered CSV files (folders of parts), as ``read_retail_csv`` takes them."""
+    for key, base in RETAIL_FILES.items():
+        getattr(b, key).write.option("header", True).csv(f"{directory.rstrip('/')}/{prefix}{base}")
 
 
 # Fixed values of the adapter from the synthetic tables.

@@ -49,3 +49,8 @@ def write_top_ranks(ranks: DataFrame, path: str, n: int = 100) -> None:
     """The top ``n`` nodes as ``id \\t rank`` lines, descending."""
     top = ranks.orderBy(F.desc("rank"), F.asc("id")).limit(n)
     top.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", False).csv(path)
+
+
+def read_top_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of :func:`write_top_ranks` as ``id, rank``."""
+    return spark.read.option("sep", "\t").option("header", False).schema("id long, rank double").csv(path)
