@@ -39,6 +39,7 @@ from .neardup import word_hashes
 MAX_PAGES = 240
 HIDDEN = 16
 EPOCHS = 8
+STRETCH = 400  # blocks of one training example
 PATH_DIM, WORD_DIM, NUM_DIM = 96, 32, 8
 DIM = PATH_DIM + WORD_DIM + NUM_DIM
 SEED = 5
@@ -56,12 +57,31 @@ SIDE_WORDS = set(("ad ads adv advert advertisement banner promo sponsor sponsore
                   "sharing social comment comments reply replies disqus respond footer foot header masthead topbar toolbar login "
                   "signup search subscribe newsletter popup modal overlay pagination pager tags copyright legal disclaimer").split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_CLOSING = {"<!--": "-->", "<![CDATA[": "]]>"}
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+_STEP = re.compile("[>=]")
+_QUOTE = re.compile(r"\s*([\"'])")
 _NAME = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def tag_end(page: str, at: int) -> int:
+    """The place after the ``>`` that closes a tag, seen from behind its name; -1 if the page ends before.
+
+    A quote opens a value only straight after ``=``. Goes forward once.
+    """
+    while m := _STEP.search(page, at):
+        at = m.end()
+        if m[0] == ">":
+            return at
+        if q := _QUOTE.match(page, at):
+            at = page.find(q[1], q.end()) + 1
+            if not at:
+                return -1
+    return -1
+
+
 def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
     """``(path, text, linked)`` of every leaf block: open elements as ``(tag, names)``, text, code points inside links."""
     out: list[tuple[tuple, str, int]] = []
@@ -89,20 +109,21 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
                 linked += len(t)
 
     at = 0
-    while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            say(page[at:])
-            break
+    while m := _OPEN.search(page, at):
         if m.start() > at:
             say(page[at:m.start()])
-        at = m.end()
         tag = m[2]
         if tag is None:
-            if m[0].startswith("<![CDATA["):
-                say(m[0][9:-3])
+            end = page.find(closing := _CLOSING.get(m[0], ">"), m.end())
+            if m[0] == "<![CDATA[":
+                say(page[m.end():end if end >= 0 else len(page)])
+            at = end + len(closing) if end >= 0 else len(page)
             continue
-        tag = tag.lower()
+        at = tag_end(page, m.end())
+        if at < 0:  # the page ends inside a tag
+            at = len(page)
+            break
+        tag, rest = tag.lower(), page[m.end():at - 1]
         if m[1]:
             if tag == "a":
                 in_link = 0
@@ -114,8 +135,8 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
                         break
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if not rest.endswith("/"):
+                end = _RAW_END[tag].search(page, at)
                 at = end.end() if end else len(page)
             continue
         if tag == "br":
@@ -129,10 +150,11 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
             while stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "option", "dt", "dd", "tr", "td", "th")):
                 stack.pop()
             names = ()
-            if m[3]:
-                names = tuple(w for x in _NAME.findall(m[3]) for w in _WORD.findall((x[0] or x[1] or x[2]).lower()))
+            if rest:
+                names = tuple(w for x in _NAME.findall(rest) for w in _WORD.findall((x[0] or x[1] or x[2]).lower()))
             stack.append((tag, names))
             in_link = 0
+    say(page[at:])
     flush()
     return out
 
@@ -378,7 +400,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max
 def fit_pages(cut: list, seed: int = SEED) -> Labeller:
     """A labeller from pages cut into blocks."""
     model = Labeller()
-    cut = [p[:400] for p in cut if p]  # a training example is at most 400 blocks; labelling reads all
+    cut = [p for p in cut if p]
     if not cut:
         return model
     rng = np.random.default_rng(seed)
@@ -386,7 +408,9 @@ def fit_pages(cut: list, seed: int = SEED) -> Labeller:
     examples = []
     for p in cut + [altered(p, others, rng) for p in cut for _ in range(2)]:
         x, _ = vectors([p])
-        examples.append((x, np.array([teach(b[0]) for b in p], np.float32)))
+        y = np.array([teach(b[0]) for b in p], np.float32)
+        # a long page is learned in stretches, each with its place in the whole page
+        examples += [(x[lo:lo + STRETCH], y[lo:lo + STRETCH]) for lo in range(0, len(p), STRETCH)]
     model.fit(examples)
     return model
 
