@@ -135,7 +135,7 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
         conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
         partitions = int(conf) if conf.isdigit() else spark.sparkContext.defaultParallelism
     paths = {k: shared_path(spark, f"pagerank-{k}") for k in ("pairs", "nodes", "salts", "links")}
-    table = f"shoprank_pagerank_links_{uuid.uuid4().hex}"
+    table, path = f"shoprank_pagerank_links_{uuid.uuid4().hex}", None
     try:
         # One pass over the edge source: parallel edges are counted per pair
         # (self-loops kept for the node set), and all below reads this result.
@@ -158,7 +158,7 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
         links = spark.table(table)
         ranks = nodes.select("id", "deg", "nsalt", F.lit(1.0 / n).alias("rank"))
         dangling = nodes.where(F.col("deg").isNull()).count() / n
-        path, bad = None, 0
+        bad = 0
         for _ in range(max_iter):
             share = ranks.where(F.col("deg").isNotNull()).select(
                 F.col("id").alias("src"), (F.col("rank") / F.col("deg")).alias("share"),
@@ -190,12 +190,14 @@ def pagerank(edges: DataFrame, p: float = DAMPING, rtol: float | None = RTOL, at
             if rtol is not None:
                 raise RuntimeError(f"PageRank: {bad} of {n} nodes are not within tolerance after {max_iter} updates")
         # the nodes' table is still read where no update was asked for
-        keep = {"nodes"} if path is None else set()
-        for k in paths.keys() - keep:
-            remove_path(spark, paths[k])
-        return ranks.select("id", "rank")
-    finally:
+        if path is None:
+            del paths["nodes"]
+        out, path = ranks.select("id", "rank"), None
+        return out
+    finally:  # also after an error, which leaves the last ranks behind
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for p_ in [*paths.values(), *([path] if path else [])]:
+            remove_path(spark, p_)
 
 
 def top_ranks(ranks: DataFrame, n: int = 100) -> DataFrame:
