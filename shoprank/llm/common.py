@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import remove_path as remove
+from ..session import shared_path
 
 #: Fixed value: the ASCII white space of the word definition (space, TAB, LF, VT, FF, CR).
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -16,9 +19,20 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, which the driver and all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end, also after an error, what ``written`` leaves within; results are written after it."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for p in paths:
+            remove(spark, p)
 
 
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
@@ -29,16 +43,12 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if (paths := _scratch.get()) is not None:
+        paths.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder (any Hadoop file system)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

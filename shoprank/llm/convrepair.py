@@ -53,7 +53,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, small_batches, written
+from ..session import read_back, shared_path
+from .common import ASCII_SPACE, scratch, small_batches, written
 
 ENDS = (".", "!", "?")
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
@@ -286,10 +287,12 @@ def plan_repairs(rows: DataFrame) -> DataFrame:
 
     A conversation whose rows all have 0 copies is reported as empty.
     """
-    narrow = written(narrow_rows(rows), "conversation-rows")
-    pieces = written(signature_pieces(narrow), "conversation-pieces")
-    signed = written(signatures(pieces), "conversation-signatures")
-    return written(plans(signed), "conversation-plans")
+    spark = rows.sparkSession
+    with scratch(spark):
+        narrow = written(narrow_rows(rows), "conversation-rows")
+        pieces = written(signature_pieces(narrow), "conversation-pieces")
+        signed = written(signatures(pieces), "conversation-signatures")
+        return read_back(plans(signed), shared_path(spark, "conversation-plans"))
 
 
 def apply_repairs(rows: DataFrame, planned: DataFrame) -> DataFrame:
