@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from shoprank.llm import bpe, mixing, neardup, quality
 from shoprank.llm.oracle import SQL
@@ -67,6 +68,19 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
+def test_stages_keep_further_and_clashing_columns(spark, tmp_path):
+    """Extra columns named like the operators' own, repeated rows, nulls and a very long text."""
+    make(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    long = spark.createDataFrame([(900, "".join(f"word{i} " for i in range(60_000)), "en", "src1", 1), (901, None, None, None, None)] * 2, docs.schema)
+    docs = docs.unionByName(long).withColumns({c: F.lit(c) for c in ("kept", "_doc", "size", "times", "class_id", "node", "host", "_key")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert out.where("kept <> 'kept' OR _doc <> '_doc' OR size <> 'size' OR class_id <> 'class_id'").count() == 0
+        assert out.where("doc_id = 900").select("kept").distinct().count() == 1
+
+
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES if k != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES if k != "pipeline"}
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
