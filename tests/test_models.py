@@ -127,6 +127,74 @@ def test_many_tasks_give_the_same_trees(spark, monkeypatch):
         assert np.allclose(a.value, b.value)
 
 
+def test_shuffled_sums_give_the_same_trees(spark, monkeypatch):
+    df = _frame(spark, 300).repartition(3)
+    fit = lambda: trees.boost(df, ["a", "b"], [F.col("order_num")], [F.lit(1)], rounds=2, rate=0.5, shape=Shape(depth=3))
+    few = fit()
+    for name, value in (("DIRECT_BYTES", 0), ("TASK_BYTES", 1000), ("FEATURE_BLOCK", 1)):
+        monkeypatch.setattr(trees, name, value)
+    for a, b in zip(few.trees[0], fit().trees[0]):
+        assert a.feature.tolist() == b.feature.tolist() and a.cut.tolist() == b.cut.tolist()
+        assert np.allclose(a.value, b.value)
+
+
+def test_a_matrix_fills_all_cores(spark, monkeypatch):
+    monkeypatch.setattr(trees, "TASK_BYTES", 1 << 10)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 12)
+    m = trees.Matrix(spark.range(400).withColumn("f", F.lit(0.0)), 214)
+    try:
+        assert m.files == 12 and m.df().count() == 400
+    finally:
+        m.remove()
+
+
+def test_bin_edges_of_more_columns_than_a_block(spark):
+    names = [f"c{i}" for i in range(37)]
+    df = spark.range(500).select(*[(F.col("id") * (i + 1) % 101).cast("double").alias(c) if i != 20 else F.lit(None).cast("double").alias(c)
+                                   for i, c in enumerate(names)])
+    df = df.withColumn("c3", F.when(F.col("c3") > 50, F.lit(float("nan"))).otherwise(F.col("c3")))
+    got, rows = trees.bin_edges(df, names, 8), df.toPandas()
+    for i, c in enumerate(names):
+        v = np.sort(rows[c].dropna().to_numpy(float))
+        want = sorted({v[max(0, int(np.ceil(len(v) * k / 8)) - 1)] for k in range(1, 8)} - {v[-1]}) if len(v) else []
+        assert got[i].tolist() == want
+    seen = []
+    monkey = trees.F.array
+    trees.F.array = lambda *cols: seen.append(len(cols)) or monkey(*cols)
+    try:
+        trees.bin_edges(df.limit(5), names, 8)
+    finally:
+        trees.F.array = monkey
+    assert seen == [3]  # a row becomes three, not one per column
+
+
+def test_leaves_by_columns_equal_a_walk(spark):
+    t = trees.Tree()
+    for _ in range(5):
+        t.add(1.0, np.zeros(1))
+    t.feature[0], t.cut[0], t.missing_left[0], t.left[0], t.right[0] = 1, 3, True, 1, 2
+    t.feature[2], t.cut[2], t.missing_left[2], t.left[2], t.right[2] = 0, 0, False, 3, 4
+    bins = np.array([[a, b] for a in range(8) for b in range(8)], np.uint8)
+    want = [1 if b <= 3 or b == 7 else 3 if a <= 0 else 4 for a, b in bins.tolist()]
+    assert t.frozen().leaves(np.ascontiguousarray(bins.T), 7, 64).tolist() == want == t.leaves_of(bins, 7).tolist()
+
+
+def test_predictions_carry_only_the_kept_columns(spark):
+    df = _frame(spark)
+    pred, _ = models.train_predict_two_target(df, df, ["a", "b"], rounds=1)
+    assert pred.columns == ["user_id", "order_num", "pred_date"]
+    python = next(x for x in pred._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in x)
+    assert "a#" not in python and "b#" not in python
+
+
+def test_training_frames_join_the_order_lines_once(spark):
+    from shoprank.plans import catalog
+
+    _, train, test, _ = catalog._ml_frames(spark, "/root/testdata/sf0.001")
+    for df in (train, test):
+        assert not any("lineitem" in f or "orders.parquet" in f for f in df.inputFiles())
+
+
 def test_two_targets_beat_the_mean_and_replay_from_the_node_table(spark):
     df = _frame(spark)
     pred, m = models.train_predict_two_target(df, df.drop("order_num", "pred_date"), ["a", "b"],
