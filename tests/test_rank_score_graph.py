@@ -135,3 +135,19 @@ def test_private_folder_only_for_a_local_master():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             private_folder(master)
+
+
+def test_edge_join_tasks_follow_the_lines_and_nodes_take_one_pass(spark, monkeypatch):
+    from shoprank.sources import edges as source
+
+    few = source.edges_from_testdata(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(source, "LINES_A_TASK", 50)
+    e = source.edges_from_testdata(spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in e._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, e.collect())) == sorted(map(tuple, few.collect()))
+    nodes = graph.all_nodes(e)
+    assert nodes._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+    want = {x for r in few.collect() for x in r}
+    assert sorted(r[0] for r in nodes.collect()) == sorted(want)
+    odd = spark.createDataFrame([(1, None), (None, 2), (1, 2)], "src long, dst long")
+    assert {r[0] for r in graph.all_nodes(odd).collect()} == {1, 2, None}
