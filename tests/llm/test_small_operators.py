@@ -56,6 +56,16 @@ def test_top_k_is_exact(spark, kind):
     assert got == brute_top_k(codes, 5)
 
 
+def test_top_k_broadcasts_neither_probes_nor_hits(spark, monkeypatch):
+    plans, write = [], mih.written
+    monkeypatch.setattr(mih, "written", lambda df, name, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, name, *a))
+    df = spark.createDataFrame([(i, (i * 0x9E3779B97F4A7C15) % (1 << 63)) for i in range(400)], "id long, code long")
+    out = mih.top_k(df, df.where("id % 50 = 0"), k=5)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 4 and not any("Broadcast" in p for p in plans)
+    assert out.count() == 40
+
+
 def test_top_k_empty_and_codes(spark):
     df = spark.createDataFrame([], "id long, code long")
     assert mih.top_k(df, df).count() == 0
