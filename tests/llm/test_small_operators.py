@@ -663,3 +663,23 @@ def test_archive_layout(tmp_path):
 
 def test_written_keeps_rows(spark, odd):
     assert written(odd, "t").count() == 9
+
+
+def test_near_pairs_beyond_the_window_of_a_bucket_are_linked(spark, monkeypatch):
+    rnd = random.Random(5)
+    words = lambda n: [f"w{rnd.randrange(5000)}" for _ in range(n)]
+    shared = words(60)
+    texts = [shared + words(30) for _ in range(60)]  # unlike texts of common buckets
+    for i in range(0, 20, 2):  # near pairs: 12 of 90 words differ, so that they share the common passage's buckets only
+        texts.append([w if k < 60 or k % 5 < 3 else f"x{i}{k}" for k, w in enumerate(texts[i])])
+    monkeypatch.setattr(neardup, "WINDOW", 1)
+    monkeypatch.setattr(neardup, "MIN_AGREE", 20)
+    monkeypatch.setattr(neardup, "CHUNK", 8)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df).collect()}
+    sketches = {r["doc"]: {(j, v) for j, v in enumerate(r["sketch"])} for r in neardup.sketch_rows(df).collect()}
+    met = [i for i in range(0, 20, 2) if sketches[i] & sketches[60 + i // 2]]
+    assert len(met) > 5
+    for i in met:
+        assert got[60 + i // 2] == i
+    assert all(got[i] == i for i in range(60))
