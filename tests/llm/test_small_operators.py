@@ -683,3 +683,56 @@ def test_near_pairs_beyond_the_window_of_a_bucket_are_linked(spark, monkeypatch)
     for i in met:
         assert got[60 + i // 2] == i
     assert all(got[i] == i for i in range(60))
+
+
+def test_pairs_just_beyond_the_similarity_are_not_aligned(spark):
+    """Copies with other words put in and near nothing but their original: they share buckets, and few pairs are left to align."""
+    rnd = random.Random(8)
+    vocab = [f"word{i}" for i in range(3000)]
+    base = [rnd.choice(vocab) for _ in range(700)]
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for at in rnd.sample(range(700), 90):
+            text[at] = rnd.choice(vocab)
+        rows.append((i, text))
+    rows += [(60 + i, [*text[:-3], "x", "y", "z"]) for i, text in rows[:5]]
+    known = neardup.sketch_rows(docs(spark, [(i, " ".join(t), "s") for i, t in rows])).cache()
+    members = known.select("doc", F.posexplode("sketch").alias("band", "value")).join(known.select("doc", F.col("doc").alias("label")), "doc")
+    got = {(r["a"], r["b"]) for r in neardup._rest_pairs(known, neardup._contested(members.drop("label"), members.select("doc", "label").distinct()), 0.8)
+           .collect()}
+    sketches = {r["doc"]: set(enumerate(r["sketch"])) for r in known.collect()}
+    tokens = {r["doc"]: np.frombuffer(r["tokens"], "<u4") for r in known.collect()}
+    known.unpersist()
+    met = {(a, b) for a in sketches for b in sketches if a < b and sketches[a] & sketches[b]}
+    near = {p for p in met if neardup.similar(tokens[p[0]], tokens[p[1]])}
+    assert near <= got <= met and len(near) >= 5 and len(met) > 300
+    assert len(got) <= len(near) + len(met) // 20
+
+
+def test_shared_marks_never_refuse_near_texts():
+    rnd = random.Random(9)
+    texts = []
+    for n in (5, 40, 300, 2000):
+        for vocab in (1, 3, 50, 10**6):
+            base = [rnd.randrange(vocab) for _ in range(n)]
+            for edits in (0, n // 20, n // 6, n // 5, n // 4, n // 2):
+                text = list(base)
+                for _ in range(edits):
+                    at = rnd.randrange(len(text))
+                    text[at:at + rnd.choice([0, 1])] = rnd.choice([[], [rnd.randrange(vocab)]])
+                    text = text or [0]
+                texts.append(np.array(text, "<u4"))
+    of = [neardup.marks(t).tobytes() for t in texts]
+    pairs = np.array([(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
+                      if abs(len(texts[i]) - len(texts[j])) <= 0.2 * max(len(texts[i]), len(texts[j]))])
+    longer = [max(len(texts[i]), len(texts[j])) for i, j in pairs]
+    least = np.array([n - int(n * 0.2 + 1e-9) for n in longer])
+    passed = neardup._enough_shared(of, pairs[:, 0], pairs[:, 1], least)
+    near = np.array([neardup.distance(texts[i], texts[j], n) <= n - m for (i, j), n, m in zip(pairs, longer, least)])
+    assert near.sum() > 30 and (~passed).sum() > 30 and passed[near].all()
+    assert [neardup.similar(texts[i], texts[j]) for i, j in pairs] == near.tolist()
+    # a text without marks meets all
+    missing = neardup._enough_shared([b"", *of[1:]], pairs[:, 0], pairs[:, 1], np.full(len(pairs), 10**9))
+    assert missing.tolist() == [i == 0 for i, _ in pairs]
+    assert len(neardup.marks(np.zeros(neardup.MARK_WORDS + 1, "<u4"))) == 0
