@@ -699,8 +699,10 @@ def test_pairs_just_beyond_the_similarity_are_not_aligned(spark):
     rows += [(60 + i, [*text[:-3], "x", "y", "z"]) for i, text in rows[:5]]
     known = neardup.sketch_rows(docs(spark, [(i, " ".join(t), "s") for i, t in rows])).cache()
     members = known.select("doc", F.posexplode("sketch").alias("band", "value")).join(known.select("doc", F.col("doc").alias("label")), "doc")
-    got = {(r["a"], r["b"]) for r in neardup._rest_pairs(known, neardup._contested(members.drop("label"), members.select("doc", "label").distinct()), 0.8)
-           .collect()}
+    members = neardup._contested(members.drop("label"), members.select("doc", "label").distinct())
+    rest = neardup._rest_pairs(known, members, 0.8).collect()
+    got = {(r["a"], r["b"]) for r in rest}
+    first = {(r["a"], r["b"]) for r in rest if r["closest"]}
     sketches = {r["doc"]: set(enumerate(r["sketch"])) for r in known.collect()}
     tokens = {r["doc"]: np.frombuffer(r["tokens"], "<u4") for r in known.collect()}
     known.unpersist()
@@ -708,6 +710,8 @@ def test_pairs_just_beyond_the_similarity_are_not_aligned(spark):
     near = {p for p in met if neardup.similar(tokens[p[0]], tokens[p[1]])}
     assert near <= got <= met and len(near) >= 5 and len(met) > 300
     assert len(got) <= len(near) + len(met) // 20
+    # the pair that every class aligns first
+    assert {(i, 60 + i) for i in range(5)} <= first and {x for p in got for x in p} == {x for p in first for x in p}
 
 
 def test_shared_marks_never_refuse_near_texts():
@@ -728,11 +732,11 @@ def test_shared_marks_never_refuse_near_texts():
                       if abs(len(texts[i]) - len(texts[j])) <= 0.2 * max(len(texts[i]), len(texts[j]))])
     longer = [max(len(texts[i]), len(texts[j])) for i, j in pairs]
     least = np.array([n - int(n * 0.2 + 1e-9) for n in longer])
-    passed = neardup._enough_shared(of, pairs[:, 0], pairs[:, 1], least)
+    passed = neardup._spare_words(of, pairs[:, 0], pairs[:, 1], least) >= 0
     near = np.array([neardup.distance(texts[i], texts[j], n) <= n - m for (i, j), n, m in zip(pairs, longer, least)])
     assert near.sum() > 30 and (~passed).sum() > 30 and passed[near].all()
     assert [neardup.similar(texts[i], texts[j]) for i, j in pairs] == near.tolist()
     # a text without marks meets all
-    missing = neardup._enough_shared([b"", *of[1:]], pairs[:, 0], pairs[:, 1], np.full(len(pairs), 10**9))
+    missing = neardup._spare_words([b"", *of[1:]], pairs[:, 0], pairs[:, 1], np.full(len(pairs), 10**9)) >= 0
     assert missing.tolist() == [i == 0 for i, _ in pairs]
     assert len(neardup.marks(np.zeros(neardup.MARK_WORDS + 1, "<u4"))) == 0
