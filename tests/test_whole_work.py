@@ -5,7 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from shoprank.operators import trees
 from shoprank.plans import catalog as C
+from shoprank.plans import models
 from shoprank.sources import retail
 
 
@@ -32,3 +34,18 @@ def test_training_features_count_the_first_month_of_their_time(spark, tables):
         for w in windows.features:
             want = lines.where(F.col("o_date").between(F.lit(w.begin), F.lit(w.end))).agg(F.countDistinct("o_id")).first()[0]
             assert frame.agg(F.sum(f"{w.label}mo_order_all_num")).first()[0] == want > 0
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """The rounds that a query asks for; it gets one."""
+    seen, boost = [], trees.boost
+    monkeypatch.setattr(trees, "boost", lambda *a, **kw: seen.append(kw["rounds"]) or boost(*a, **{**kw, "rounds": 1}))
+    return seen
+
+
+@pytest.mark.parametrize("query", ["p_baseline_flow"])
+def test_flows_take_all_rounds_and_list_all_users(spark, tables, asked, query):
+    facts = C.QUERIES[query](spark, tables).first()
+    assert asked == [models.ROUNDS] == [100]
+    assert facts["listed"] == facts["known"] == facts["users"] == 320 and facts["in_time"]
