@@ -44,7 +44,7 @@ def asked(monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("query", ["p_baseline_flow"])
+@pytest.mark.parametrize("query", ["p_baseline_flow", "p_refactored_flow"])
 def test_flows_take_all_rounds_and_list_all_users(spark, tables, asked, query):
     facts = C.QUERIES[query](spark, tables).first()
     assert asked == [models.ROUNDS] == [100]
