@@ -49,3 +49,8 @@ def test_flows_take_all_rounds_and_list_all_users(spark, tables, asked, query):
     facts = C.QUERIES[query](spark, tables).first()
     assert asked == [models.ROUNDS] == [100]
     assert facts["listed"] == facts["known"] == facts["users"] == 320 and facts["in_time"]
+
+
+@pytest.mark.parametrize("query", ["x11_prediction_range"])
+def test_checked_models_take_all_rounds(spark, tables, asked, query):
+    assert C.QUERIES[query](spark, tables).count() and asked == [100]
