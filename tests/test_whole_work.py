@@ -51,6 +51,6 @@ def test_flows_take_all_rounds_and_list_all_users(spark, tables, asked, query):
     assert facts["listed"] == facts["known"] == facts["users"] == 320 and facts["in_time"]
 
 
-@pytest.mark.parametrize("query", ["x11_prediction_range"])
+@pytest.mark.parametrize("query", ["x11_prediction_range", "x18_feature_list"])
 def test_checked_models_take_all_rounds(spark, tables, asked, query):
     assert C.QUERIES[query](spark, tables).count() and asked == [100]
